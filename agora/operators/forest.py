@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from agora import fixed_values as fixed
 from agora.functions.text import unescape_html
-from agora.sources.staging import stage_counted
+from agora.sources.staging import stage
 
 #: Longest chain ``ancestor_paths`` follows before it reports a cycle.
 MAX_CHAIN = 1 << 16
@@ -82,15 +82,13 @@ def _rounds(start: DataFrame, label: str, pointed, combine, is_open: Column) ->
     ``pointed`` selects what an ancestor offers, keyed by ``tip``; ``combine``
     maps the columns of an open row and of its ancestor's offer to new ones.
     """
-    table, seen = stage_counted(start, label, open=is_open)
-    done = [table.where(~is_open)]
-    while seen["open"]:
-        still = table.where(is_open)
-        offers = reduce(DataFrame.unionByName, [*done, still]).select(*pointed)
-        moved = still.join(offers, "tip", "left").select(*combine)
-        table, seen = stage_counted(moved, label, open=is_open)
+    table = stage(start, label)
+    done = []
+    while not (still := table.where(is_open)).isEmpty():
         done.append(table.where(~is_open))
-    return reduce(DataFrame.unionByName, done)
+        offers = reduce(DataFrame.unionByName, [*done, still]).select(*pointed)
+        table = stage(still.join(offers, "tip", "left").select(*combine), label)
+    return reduce(DataFrame.unionByName, [*done, table])
 
 
 def reply_levels(comments: DataFrame, max_level: int = fixed.MAX_NESTED_LEVEL) -> DataFrame:

@@ -61,26 +61,35 @@ def split_pairs(
     return split_by_group(preference_pairs(comments, window_seconds), "top_level_parent")
 
 
-def with_prompts(
-    pairs: DataFrame, items: DataFrame, versions: tuple[str, ...] = ("v1", "v2")
-) -> DataFrame:
-    """Add ``chosen_prompt_<v>`` and ``rejected_prompt_<v>``.
-
-    Each comment's prompt is built once, however many pairs it is part of.
-    """
-    ids = (
-        pairs.select(F.explode(F.array("chosen", "rejected")).alias("id")).distinct()
+def _named_prompts(prompts: DataFrame, side: str, versions: tuple[str, ...]) -> DataFrame:
+    return prompts.select(
+        F.col("id").alias(side),
+        *[F.col(f"prompt_{v}").alias(f"{side}_prompt_{v}") for v in versions],
     )
-    prompts = stage(comment_prompt(ids, items, versions), "prompts")
+
+
+def attach_prompts(
+    pairs: DataFrame, prompts: DataFrame, versions: tuple[str, ...]
+) -> DataFrame:
+    """Add ``chosen_prompt_<v>`` and ``rejected_prompt_<v>`` from a prompt table."""
     for side in ("chosen", "rejected"):
-        named = prompts.select(
-            F.col("id").alias(side),
-            *[F.col(f"prompt_{v}").alias(f"{side}_prompt_{v}") for v in versions],
-        )
-        pairs = pairs.join(named, side, "left")
+        pairs = pairs.join(_named_prompts(prompts, side, versions), side, "left")
     return pairs
 
 
+def members(pairs: DataFrame) -> DataFrame:
+    """Ids of all comments in the pairs."""
+    return pairs.select(F.explode(F.array("chosen", "rejected")).alias("id")).distinct()
+
+
+def with_prompts(
+    pairs: DataFrame, items: DataFrame, versions: tuple[str, ...] = ("v1", "v2")
+) -> DataFrame:
+    """Pairs with their prompts; each comment's prompt is built once."""
+    prompts = stage(comment_prompt(members(pairs), items, versions), "prompts")
+    return attach_prompts(pairs, prompts, versions)
+
+
 @dataclass
 class PairDataset:
     pairs: DataFrame      # every pair with its split
@@ -99,15 +108,21 @@ def build_pair_dataset(
     """From items to published pairs and held-out comments."""
     comments = pair_candidates(items)
     pairs = stage(split_pairs(comments, window_seconds), "pairs")
-    sampled = sample_n(pairs, sample_size, PAIR_KEY)
-    sample = stage(with_prompts(sampled, items, versions), "sample")
-    named = sample.withColumn(
+    sampled = sample_n(pairs, sample_size, PAIR_KEY).withColumn(
         "split", F.when(F.col("split") == "val", "validation").otherwise(F.col("split"))
     )
-    splits = sample_per_split(named, split_sizes or fixed.PAIR_SPLIT_SIZES, PAIR_KEY)
-    train = splits.where(F.col("split") == "train")
+    published = sample_per_split(sampled, split_sizes or fixed.PAIR_SPLIT_SIZES, PAIR_KEY)
+    train = published.where(F.col("split") == "train")
     best = comments.where(F.col("sibling_rank") == 1)
     held_out = exclude_in(best, "id", train.select("chosen"), train.select("rejected"))
-    held_out = held_out.join(comment_prompt(held_out.select("id"), items, ("v1",)), "id")
-    return PairDataset(pairs, sample, splits, held_out.withColumnRenamed("prompt_v1", "prompt"))
-
+    # A comment needs a prompt as part of a pair or because it is held out; all
+    # of them are built in one go, which walks the threads once.
+    asked = members(sampled).unionByName(held_out.select("id")).distinct()
+    prompts = stage(comment_prompt(asked, items, versions), "prompts")
+    first = prompts.select("id", F.col(f"prompt_{versions[0]}").alias("prompt"))
+    return PairDataset(
+        pairs,
+        attach_prompts(sampled, prompts, versions),
+        attach_prompts(published, prompts, versions),
+        held_out.join(first, "id"),
+    )

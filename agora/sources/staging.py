@@ -12,8 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -36,22 +35,7 @@ def scratch_root(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return it as a fresh scan."""
-    return stage_counted(df, label)[0]
-
-
-def stage_counted(df: DataFrame, label: str, **counts) -> tuple[DataFrame, dict[str, int]]:
-    """Like ``stage`` but also count rows that meet each condition on the way.
-
-    The counts come from the write itself, no second pass is made.
-    """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/agora-{label}-{uuid.uuid4().hex}"
-    observed = {}
-    if counts:
-        observation = Observation()
-        totals = [F.count(F.when(cond, 1)).alias(name) for name, cond in counts.items()]
-        df.observe(observation, *totals).write.parquet(path)
-        observed = observation.get
-    else:
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), observed
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

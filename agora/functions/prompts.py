@@ -18,8 +18,8 @@ XML_ESCAPES = (
 
 
 def xml_text(value: Column) -> Column:
-    """Escaped text; null becomes empty."""
-    out = F.coalesce(value.cast("string"), F.lit(""))
+    """Escaped text; null stays null."""
+    out = value
     for char, code in XML_ESCAPES:
         out = F.replace(out, F.lit(char), F.lit(code))
     return out
@@ -29,37 +29,33 @@ def element(tag: str, *content: Column) -> Column:
     return F.concat(F.lit(f"<{tag}>"), *content, F.lit(f"</{tag}>"))
 
 
-def optional_leaf(tag: str, value: Column) -> Column:
-    """A leaf only when the value is there."""
-    return F.when(value.isNull(), F.lit("")).otherwise(element(tag, xml_text(value)))
+def author_and_text(author: Column, text: Column) -> Column:
+    """A comment's content; takes escaped values."""
+    return F.concat(element("author", author), element("text", text))
 
 
-def _author_and_text(author: Column, text: Column) -> Column:
-    return F.concat(element("author", xml_text(author)), element("text", xml_text(text)))
+def story_content(title: Column, url: Column, text: Column) -> Column:
+    """A story's content; takes escaped values, url and text only when there are any."""
+    def leaf(tag, value):
+        return F.when(value.isNull(), F.lit("")).otherwise(element(tag, value))
 
+    return F.concat(element("title", title), leaf("url", url), leaf("text", text))
 
-def comment_xml(version: str) -> Column:
-    """The rating prompt of a comment.
 
-    Reads ``by``, ``text``, ``chain`` (array of author/text, nearest ancestor
-    first), ``story_title``, ``story_url`` and ``story_text``.
+def comment_xml(version: str, comment: Column, chain: Column, story: Column) -> Column:
+    """The rating prompt around the given contents.
+
+    ``comment`` and ``story`` are contents as made above, ``chain`` an array of
+    ancestors' contents, the nearest first.
     """
-    me = _author_and_text(F.col("by"), F.col("text"))
-    links = F.transform(
-        F.col("chain"), lambda a: element("item", _author_and_text(a["author"], a["text"]))
-    )
-    chain = element("parent_chain", F.array_join(links, ""))
-    story = element(
-        "story",
-        element("title", xml_text(F.col("story_title"))),
-        optional_leaf("url", F.col("story_url")),
-        optional_leaf("text", F.col("story_text")),
-    )
+    ancestors = F.transform(chain, lambda a: element("item", a))
+    above = element("parent_chain", F.array_join(ancestors, ""))
+    told = element("story", story)
     if version == "v1":
         ask = element("instructions", xml_text(F.lit(fixed.COMMENT_INSTRUCTIONS)))
-        return F.concat(ask, element("comment", me, chain), story)
+        return F.concat(ask, element("comment", comment, above), told)
     if version == "v2":
-        return F.concat(story, chain, element("comment", me))
+        return F.concat(told, above, element("comment", comment))
     raise ValueError(f"unknown prompt version {version!r}")
 
 

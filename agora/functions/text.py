@@ -1,7 +1,6 @@
 """Text expressions.
 
-Everything here stays inside the JVM except the rare entities that only
-Python's HTML table knows; see ``unescape_entities``.
+Everything here stays inside the JVM except ``unescape_entities``.
 """
 
 from __future__ import annotations
@@ -20,21 +19,8 @@ from agora import fixed_values as fixed
 WHITESPACE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680,
                                *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
-# Escapes that forum software itself writes.  "&amp;" comes last: undoing it
-# earlier could create a new escape out of its neighbours.
-COMMON_ESCAPES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#x27;", "'"),
-    ("&#x2F;", "/"),
-    ("&amp;", "&"),
-)
-_UNCOMMON = "&(?!(?:" + "|".join(code[1:-1] for code, _ in COMMON_ESCAPES) + ");)"
-
-
 @F.pandas_udf(T.StringType())
-def _full_unescape(texts: pd.Series) -> pd.Series:
+def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
@@ -46,15 +32,12 @@ def strip(text: Column) -> Column:
 def unescape_entities(text: Column) -> Column:
     """Undo HTML escapes, null stays null.
 
-    Texts whose ampersands all begin a common escape are handled natively.
-    Only the others are sent to Python, as nulls are all the UDF sees of the
-    rest.
+    The full entity table, with its entities that lack a semicolon, is only at
+    hand in Python.  Texts go there in Arrow batches, and only those that hold
+    an ampersand; of the others the UDF sees a null.
     """
-    native = text
-    for code, char in COMMON_ESCAPES:
-        native = F.replace(native, F.lit(code), F.lit(char))
-    rare = F.when(F.regexp_like(text, F.lit(_UNCOMMON)), text)
-    return F.coalesce(_full_unescape(rare), native)
+    escaped = F.when(F.contains(text, F.lit("&")), text)
+    return F.coalesce(_unescape(escaped), text)
 
 
 def paragraphs(text: Column) -> Column:

@@ -182,18 +182,24 @@ def ancestor_paths(items: DataFrame) -> DataFrame:
     ).select("id", "path")
 
 
-def ancestor_rows(comments: DataFrame, items: DataFrame) -> DataFrame:
-    """``(id, depth, author, text)``, one row per ancestor, depth 0 nearest.
+def paths_of(comments: DataFrame, items: DataFrame) -> DataFrame:
+    """``(id, top_level_parent, path)`` of the given comments.
 
-    Ids are resolved first, within the threads asked for, and texts are
-    fetched once at the end.
+    Only the threads asked for are walked.
     """
     roots = comments.select("top_level_parent").distinct()
     edges = items.select("id", "parent", "top_level_parent").join(
         roots, "top_level_parent", "left_semi"
     )
-    paths = ancestor_paths(edges).join(comments.select("id"), "id", "left_semi")
-    steps = paths.select("id", F.posexplode("path").alias("depth", "ancestor"))
+    return comments.select("id", "top_level_parent").join(ancestor_paths(edges), "id")
+
+
+def ancestor_rows(comments: DataFrame, items: DataFrame) -> DataFrame:
+    """``(id, depth, author, text)``, one row per ancestor, depth 0 nearest.
+
+    Ids are resolved first and texts are fetched once at the end.
+    """
+    steps = paths_of(comments, items).select("id", F.posexplode("path").alias("depth", "ancestor"))
     people = items.select(
         F.col("id").alias("ancestor"), F.col("by").alias("author"), F.col("text")
     )
@@ -224,10 +230,18 @@ def ancestor_chain(comments: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def augment_comments(items: DataFrame) -> DataFrame:
-    """Comments with sibling count, sibling rank, level and readable text."""
-    comments = items.where(F.col("type") == "comment").select(
-        "id", "by", "time", "text", "parent", "top_level_parent", "kids"
+    """Comments with sibling count, sibling rank, level and readable text.
+
+    The three numbers are worked out on ids; text is moved once, to meet them.
+    """
+    comments = items.where(F.col("type") == "comment")
+    edges = comments.select("id", "parent", "top_level_parent")
+    numbers = (
+        sibling_rank(siblings_count(edges), items)
+        .join(reply_levels(edges), "id", "left")
+        .drop("parent", "top_level_parent")
     )
-    levels = reply_levels(comments)
-    ranked = sibling_rank(siblings_count(comments), items)
-    return ranked.join(levels, "id", "left").withColumn("text", unescape_html(F.col("text")))
+    return comments.select(
+        "id", "by", "time", unescape_html(F.col("text")).alias("text"),
+        "parent", "top_level_parent", "kids",
+    ).join(numbers, "id")

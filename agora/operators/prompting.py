@@ -5,21 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agora.functions.prompts import comment_xml
-from agora.operators.forest import ancestor_chain
+from agora.functions.prompts import author_and_text, comment_xml, story_content, xml_text
+from agora.operators.forest import paths_of
 from agora.operators.joins import keep_in
 
+# Places of a prompt's parts; ancestors have 0 and up.
+_STORY, _SELF = -2, -1
 
-def with_prompt_parts(ids: DataFrame, items: DataFrame) -> DataFrame:
-    """Comments named by ``ids``, as stored, with their ancestors and their story."""
-    wanted = keep_in(items, "id", ids).select("id", "by", "text", "parent", "top_level_parent")
-    stories = items.select(
-        F.col("id").alias("top_level_parent"),
-        F.col("title").alias("story_title"),
-        F.col("url").alias("story_url"),
-        F.col("text").alias("story_text"),
+
+def prompt_parts(ids: DataFrame, items: DataFrame) -> DataFrame:
+    """``(id, parts)``: the story, the comment and its ancestors as XML contents.
+
+    All a prompt needs are posts looked up by id, so they are looked up
+    together: one join of (comment, place, post id) rows with the posts, and
+    one grouping by comment.  Posts are escaped before the join, once each,
+    however many prompts quote them.  A group is as long as its comment is
+    deep, and the side that may be hot (a story quoted by all its comments)
+    carries ids only.
+    """
+    wanted = keep_in(items, "id", ids).select("id", "top_level_parent")
+    ancestors = F.transform("path", lambda a, i: F.struct(i.alias("place"), a.alias("post")))
+    others = F.array(
+        F.struct(F.lit(_STORY).alias("place"), F.col("top_level_parent").alias("post")),
+        F.struct(F.lit(_SELF).alias("place"), F.col("id").alias("post")),
+    )
+    steps = paths_of(wanted, items).select(
+        "id", F.inline(F.concat(others, ancestors))
+    )
+    posts = items.select(
+        F.col("id").alias("post"), *[xml_text(F.col(c)).alias(c) for c in ("by", "text", "title", "url")]
+    )
+
+    def or_empty(name: str):
+        return F.coalesce(F.col(name), F.lit(""))
+
+    content = F.when(
+        F.col("place") == _STORY, story_content(or_empty("title"), F.col("url"), F.col("text"))
+    ).otherwise(author_and_text(or_empty("by"), or_empty("text")))
+    return (
+        steps.join(posts, "post")
+        .select("id", "place", content.alias("content"))
+        .groupBy("id")
+        .agg(F.array_sort(F.collect_list(F.struct("place", "content"))).alias("parts"))
     )
-    return ancestor_chain(wanted, items).join(stories, "top_level_parent")
 
 
 def comment_prompt(
@@ -27,7 +55,16 @@ def comment_prompt(
 ) -> DataFrame:
     """``id`` plus ``prompt_<version>`` for every requested version.
 
-    Versions share the expensive part, the lookup of ancestors and story.
+    Versions share the lookup of ancestors and story.
     """
-    parts = with_prompt_parts(ids, items)
-    return parts.select("id", *[comment_xml(v).alias(f"prompt_{v}") for v in versions])
+    def part(place: int):
+        found = F.filter("parts", lambda p: p["place"] == place)
+        return F.coalesce(F.get(found, F.lit(0))["content"], F.lit(""))
+
+    chain = F.transform(
+        F.filter("parts", lambda p: p["place"] >= 0), lambda p: p["content"]
+    )
+    made = [
+        comment_xml(v, part(_SELF), chain, part(_STORY)).alias(f"prompt_{v}") for v in versions
+    ]
+    return prompt_parts(ids, items).select("id", *made)

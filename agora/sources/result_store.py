@@ -94,14 +94,21 @@ def score_incremental(
     Failures are reported in ``error`` and never stored.  ``cache_only`` makes
     any miss an error; ``refresh`` recomputes everything.
     """
-    wanted = list(dict.fromkeys([*arg_cols, text_col]))
     keyed = df.withColumn("arg_hash", arg_hash(arg_cols))
-    todo = keyed.select("arg_hash", *wanted)
+    # Misses are found on hashes alone; when they are few, the planner can
+    # broadcast them and texts that were scored before are not moved.
+    missing = keyed.select("arg_hash").distinct()
     if not refresh:
-        todo = todo.join(store.live(fn_id), "arg_hash", "left_anti")
-    todo = todo.groupBy("arg_hash").agg(F.first(text_col).alias(text_col))
-    if cache_only and not todo.isEmpty():
+        missing = missing.join(store.live(fn_id), "arg_hash", "left_anti")
+    missing = stage(missing, "missing")
+    if cache_only and not missing.isEmpty():
         raise KeyError(f"result table has no value for some arguments of {fn_id}")
+    todo = (
+        keyed.select("arg_hash", text_col)
+        .join(missing, "arg_hash", "left_semi")
+        .groupBy("arg_hash")
+        .agg(F.first(text_col).alias(text_col))
+    )
     fresh = stage(batch_score(todo, "arg_hash", text_col, scorer), "scores")
     done = fresh.where(F.col("error").isNull() & F.col("score").isNotNull())
     store.append(

@@ -211,7 +211,8 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
             documents=documents,
         )
         whole = _run(spark, sql("items", "spark"), items_base=base)
-        return whole.withColumn("score", F.col("score").cast("bigint"))
+        # Even files in id order, as a dump of posts would be stored.
+        return whole.repartitionByRange(spark.sparkContext.defaultParallelism, "id")
 
     return _staged_view(spark, sf_dir, "items", build)
 

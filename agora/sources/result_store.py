@@ -18,6 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from agora import schemas
 from agora.operators.scoring import batch_score
@@ -28,10 +29,16 @@ DIRECT_FN = "__direct"
 ALL_FUNCTIONS = "__all"
 
 
-def arg_hash(arg_cols: list[str] | tuple[str, ...]) -> Column:
-    """SHA-256 over the arguments; nulls count as values."""
-    args = F.struct(*[F.col(c) for c in arg_cols])
-    return F.sha2(F.to_json(args, {"ignoreNullFields": "false"}), 256)
+def arg_hash(df: DataFrame, arg_cols: list[str] | tuple[str, ...]) -> Column:
+    """SHA-256 over the arguments, each with its length in front; null is a value of its own."""
+    def marked(name: str) -> Column:
+        kind = df.schema[name].dataType
+        nested = isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+        value = F.to_json(name) if nested else F.col(name).cast("string")
+        sized = F.concat(F.length(value).cast("string"), F.lit(":"), value)
+        return F.coalesce(sized, F.lit("null,"))
+
+    return F.sha2(F.concat(*[marked(name) for name in arg_cols]), 256)
 
 
 class ResultStore:
@@ -94,7 +101,7 @@ def score_incremental(
     Failures are reported in ``error`` and never stored.  ``cache_only`` makes
     any miss an error; ``refresh`` recomputes everything.
     """
-    keyed = df.withColumn("arg_hash", arg_hash(arg_cols))
+    keyed = df.withColumn("arg_hash", arg_hash(df, arg_cols))
     # Misses are found on hashes alone; when they are few, the planner can
     # broadcast them and texts that were scored before are not moved.
     missing = keyed.select("arg_hash").distinct()
@@ -132,7 +139,7 @@ def lookup_results(df: DataFrame, fn_id: str, arg_cols: list[str], store: Result
     """Attach ``hit`` and ``score`` without computing anything."""
     values = store.live(fn_id).withColumn("hit", F.lit(True))
     return (
-        df.withColumn("arg_hash", arg_hash(arg_cols))
+        df.withColumn("arg_hash", arg_hash(df, arg_cols))
         .join(values, "arg_hash", "left")
         .withColumn("hit", F.coalesce("hit", F.lit(False)))
         .withColumn("score", F.col("result").cast("double"))

@@ -106,16 +106,16 @@ def exact_percentiles(
     else:
         values = plain.select(F.lit(0).alias("gid"), "x")
 
-    clean = {g: row for g, row in enumerate(spans) if not row["has_nan"]}
+    clean = {g: row for g, row in enumerate(spans) if row["n"] and not row["has_nan"]}
     places = {(g, p): p * (row["n"] - 1) for g, row in clean.items() for p in probs}
     wanted = {(g, at) for (g, _), h in places.items() for at in (math.floor(h), math.ceil(h))}
     at = _order_statistics(
         values, spark, {g: (row["lo"], row["hi"]) for g, row in clean.items()}, wanted
     )
 
-    def percentile(gid: int, prob: float) -> float:
+    def percentile(gid: int, prob: float) -> float | None:
         if gid not in clean:
-            return float("nan")
+            return float("nan") if spans[gid]["n"] else None
         h = places[gid, prob]
         low, high = at[gid, math.floor(h)], at[gid, math.ceil(h)]
         return low + (high - low) * (h - math.floor(h))

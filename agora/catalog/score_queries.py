@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from agora import fixed_values as fixed
@@ -556,22 +555,21 @@ def generation_table(spark, sf_dir):
 
 
 _CHATS = """
-select a.conv_id, a.turn, string_agg('<|im_start|>' || b.role || chr(10) || b.text || '<|im_end|>'
-       || chr(10), '' order by b.turn) || '<|im_start|>assistant' || chr(10) as chat
-from conversations a join conversations b on b.conv_id = a.conv_id and b.turn < a.turn
-where a.role = 'assistant' group by a.conv_id, a.turn"""
+select a.conv_id, a.turn, '<|im_start|>' || b.role || chr(10) || b.text || '<|im_end|>' || chr(10)
+       || '<|im_start|>' || a.role || chr(10) || a.text || '<|im_end|>' || chr(10)
+       || '<|im_start|>assistant' || chr(10) as chat
+from conversations a join conversations b on b.conv_id = a.conv_id and b.turn = a.turn - 1"""
 _CHAT_TOKENS = r"len(regexp_extract_all(chat, '\S+'))"
 
 
 def chats(spark, sf_dir):
-    """Per assistant turn, the turns before it as a chat (at most a conversation long)."""
+    """Every turn that answers another one, as a chat of the two."""
     turns = table(configure(spark), sf_dir, "conversations")
-    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    history = F.collect_list(F.struct("role", F.col("text").alias("content"))).over(before)
-    return (
-        turns.withColumn("prompt", history)
-        .where((F.col("role") == "assistant") & (F.size("prompt") > 0))
-        .select("conv_id", "turn", "prompt")
+    message = F.struct("role", F.col("text").alias("content"))
+    asked = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), message.alias("asked"))
+    said = turns.select("conv_id", "turn", message.alias("said"))
+    return said.join(asked, ["conv_id", "turn"]).select(
+        "conv_id", "turn", F.array("asked", "said").alias("prompt")
     )
 
 

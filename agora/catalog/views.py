@@ -126,8 +126,8 @@ select conv_id * 1000 + turn as id, conv_id, turn,
                    then concat('<answer>about ', cast(turn * 7 as varchar(10)), ' votes</answer>')
                    when mod(conv_id, 4) = 2 then '<answer>many</answer>'
                    else '' end) as thought,
-       case when mod(turn, 3) = 0 then concat('  "', substr(text, 1, 30), '" ')
-            when mod(turn, 3) = 1 then concat('''', substr(text, 1, 30), ''' ')
+       case when mod(turn, 3) = 0 then concat('  "', text, '" ')
+            when mod(turn, 3) = 1 then concat('''', text, ''' ')
             else text end as raw_title,
        case when mod(turn, 4) = 1 then 'True' when mod(turn, 4) = 3 then 'False'
             else 'tea' end as verdict

@@ -28,21 +28,31 @@ MAX_CHAIN = 1 << 16
 # --- ranks and sibling counts ----------------------------------------------
 
 
+def _ranked(kids: Column) -> Column:
+    """(id, rank) entries of one list; an id listed twice keeps its last place."""
+    unique = F.array_distinct(kids)
+    plain = F.transform(kids, lambda k, i: F.struct(k.alias("id"), (i + 1).alias("rank")))
+    last = F.transform(
+        unique,
+        lambda k: F.struct(
+            k.alias("id"),
+            (F.size(kids) + 1 - F.array_position(F.reverse(kids), k)).cast("int").alias("rank"),
+        ),
+    )
+    return F.when(F.size(unique) == F.size(kids), plain).otherwise(last)
+
+
 def kid_ranks(items: DataFrame) -> DataFrame:
     """``(id, sibling_rank)`` from the display order kept in ``kids``.
 
     An id listed more than once takes its last mention, the one under the
-    highest parent id.
+    highest parent id.  Repeats within a list are settled in the row, which
+    leaves an aggregate over plain numbers that hashes instead of sorting.
     """
     mentions = items.where(F.col("kids").isNotNull()).select(
-        F.col("id").alias("owner"), F.posexplode("kids").alias("pos", "kid")
-    )
-    last = F.max(F.struct("owner", (F.col("pos") + 1).alias("rank")))
-    return (
-        mentions.groupBy(F.col("kid").alias("id"))
-        .agg(last.alias("last"))
-        .select("id", F.col("last.rank").alias("sibling_rank"))
-    )
+        F.col("id").alias("owner"), F.inline(_ranked(F.col("kids")))
+    ).toDF("owner", "id", "rank")
+    return mentions.groupBy("id").agg(F.max_by("rank", "owner").alias("sibling_rank"))
 
 
 def sibling_rank(df: DataFrame, items: DataFrame) -> DataFrame:

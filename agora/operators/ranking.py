@@ -36,10 +36,11 @@ def with_score_diff(df: DataFrame) -> DataFrame:
 
 
 def score_leaderboards(df: DataFrame, n: int = 100) -> DataFrame:
-    """Six top lists, tagged by ``list`` and ``place``.
+    """Six top lists, tagged by ``list``.
 
     The lists are picked on the id and figures alone; the other columns are
-    fetched in one pass for the at most 6 n rows that made a list.
+    fetched in one pass for the at most 6 n rows that made a list.  The limits
+    tell the planner that this is little, so it broadcasts them.
     """
     figures = with_score_diff(df).select("id", "score", "predicted_score", "score_diff")
 
@@ -50,7 +51,7 @@ def score_leaderboards(df: DataFrame, n: int = 100) -> DataFrame:
         return top.select(F.lit(name).alias("list"), "id")
 
     members = reduce(DataFrame.unionByName, [picked(name) for name in LEADERBOARDS])
-    return with_score_diff(df).join(F.broadcast(members), "id")
+    return with_score_diff(df).join(members, "id")
 
 
 def report_rows(df: DataFrame) -> DataFrame:

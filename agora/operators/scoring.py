@@ -120,51 +120,45 @@ def score_titles(
     ``items`` holds id, title (and optionally original_title), by, url, time,
     scraped_body and score; ``generated`` holds item_id, model, content, error,
     api_time and total_time.  A failed row keeps its error and has no title,
-    API time or score.  Original titles are scored once per item, not once per
-    model; an empty one is not scored.
+    API time or score.  Original titles are scored in their row, once per item
+    and not once per model; an empty one is not scored.  Both scorings stay in
+    place around the single join.
     """
     names = ["title"] + ["original_title"] * ("original_title" in items.columns)
+    original = F.col(names[-1])
+    has_title = F.coalesce(original != "", F.lit(False))
     stories = items.select(
         F.col("id").alias("item_id"),
-        F.col(names[-1]).alias("original_title"),
+        original.alias("original_title"),
         F.col("score").alias("original_score"),
         "by",
         "url",
         "time",
         "scraped_body",
+        F.when(has_title, serialize_with_title(original)).alias("_original"),
     )
-    has_title = F.coalesce(F.col("original_title") != "", F.lit(False))
-    originals = batch_score(
-        stories.select(
-            "item_id",
-            F.when(has_title, serialize_with_title(F.col("original_title"))).alias("story"),
-        ),
-        "item_id",
-        "story",
-        scorer,
-    ).select("item_id", F.col("score").alias("rm_score_original"))
+    stories = score_columns(
+        stories, {"_original": "rm_score_original"}, scorer, drop_texts=True
+    ).drop("rm_score_original_error")
     worked = F.col("error").isNull()
     titled = generated.join(stories, "item_id").withColumn(
         "generated_title", F.when(worked, clean_title(F.col("content")))
     )
     ready = titled.withColumn(
         "_story", F.when(worked, serialize_with_title(F.col("generated_title")))
-    ).drop("content", "by", "url", "time", "score")
+    ).drop("content", "by", "url", "time")
     scored = score_columns(ready, {"_story": "score"}, scorer, drop_texts=True)
     failed = F.coalesce(F.col("error"), F.col("score_error"))
-    return (
-        scored.join(originals, "item_id", "left")
-        .select(
-            "item_id",
-            "model",
-            F.when(failed.isNull(), F.col("generated_title")).alias("generated_title"),
-            "original_title",
-            "original_score",
-            "score",
-            "rm_score_original",
-            F.when(failed.isNull(), F.col("api_time")).alias("api_time"),
-            "total_time",
-            failed.alias("error"),
-            "scraped_body",
-        )
+    return scored.select(
+        "item_id",
+        "model",
+        F.when(failed.isNull(), F.col("generated_title")).alias("generated_title"),
+        "original_title",
+        "original_score",
+        "score",
+        "rm_score_original",
+        F.when(failed.isNull(), F.col("api_time")).alias("api_time"),
+        "total_time",
+        failed.alias("error"),
+        "scraped_body",
     )

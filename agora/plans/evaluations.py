@@ -69,7 +69,9 @@ def rate_comments(
     rewards = stage(batch_score(prompts, "id", "prompt_v1", scorer), "rewards").select(
         "id", F.col("score").alias("reward")
     )
-    rated = with_story_info(chosen.join(rewards, "id"), items)
+    # Titles meet rewards on ids; comment texts are moved once, at the end.
+    facts = with_story_info(chosen.select("id", "top_level_parent"), items).join(rewards, "id")
+    rated = chosen.join(facts.select("id", "story_title", "reward"), "id")
     return rated.select(
         "id",
         day(F.col("time"), fixed.LONG_DATE_FORMAT).alias("date"),

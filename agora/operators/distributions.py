@@ -18,17 +18,16 @@ def _finite(value: Column) -> Column:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
-    """``(bin, low, high, count)`` of equal-width bins between minimum and maximum.
+    """``(bin, count)`` of equal-width bins between minimum and maximum.
 
-    Only finite values have a place in a range, others are not counted; empty
-    bins have no row.
+    The range is looked up first, as one row.  Only finite values have a place
+    in a range, others are not counted; empty bins have no row.
     """
     values = df.select(F.col(column).cast("double").alias("x")).where(_finite(F.col("x")))
-    ends = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
-    return (
-        values.groupBy(bucket_of(F.col("x"), lo, hi, bins).alias("bin"))
-        .agg(F.count("x").alias("count"))
+    ends = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    lo, hi = (F.lit(ends[name]).cast("double") for name in ("lo", "hi"))
+    return values.groupBy(bucket_of(F.col("x"), lo, hi, bins).alias("bin")).agg(
+        F.count("x").alias("count")
     )
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from agora.sources.staging import stage
+
 LEADERBOARDS = {
     # list name: (column, descending, only this score)
     "top_predicted": ("predicted_score", True, None),
@@ -38,11 +40,14 @@ def with_score_diff(df: DataFrame) -> DataFrame:
 def score_leaderboards(df: DataFrame, n: int = 100) -> DataFrame:
     """Six top lists, tagged by ``list``.
 
-    The lists are picked on the id and figures alone; the other columns are
-    fetched in one pass for the at most 6 n rows that made a list.  The limits
-    tell the planner that this is little, so it broadcasts them.
+    The lists are picked on ids and figures alone, staged because they are read
+    six times; the other columns are fetched in one pass for the at most 6 n
+    rows that made a list.  The limits tell the planner that this is little,
+    so it broadcasts them.
     """
-    figures = with_score_diff(df).select("id", "score", "predicted_score", "score_diff")
+    figures = stage(
+        with_score_diff(df).select("id", "score", "predicted_score", "score_diff"), "figures"
+    )
 
     def picked(name: str) -> DataFrame:
         column, desc, only = LEADERBOARDS[name]

@@ -17,6 +17,9 @@ from agora import fixed_values as fixed
 
 _SPACE = 2.0**32
 
+#: Up to this many (unit, id) rows are ordered at once to find a sample's last row.
+ORDERED_ROWS = 1_000_000
+
 
 def hash_unit(key: Column, seed: int = fixed.SAMPLE_SEED) -> Column:
     """A number in [0, 1) from the first 32 bits of md5 over ``seed:key``."""
@@ -54,43 +57,49 @@ def with_shuffle_key(df: DataFrame, id_col: str = "id", seed: int = fixed.SAMPLE
     return df.withColumn("shuffle_key", hash_unit(F.col(id_col), seed))
 
 
+def _counts(keys: DataFrame) -> dict[str, int]:
+    rows = keys.groupBy("grp").agg(F.count(F.lit(1)).alias("rows")).collect()
+    return {row["grp"]: row["rows"] for row in rows}
+
+
+def _any(conditions: list[Column]) -> Column:
+    return reduce(Column.__or__, conditions, F.lit(False))
+
+
 def _nth_keys(keys: DataFrame, sizes: dict[str, int]) -> dict[str, tuple | None]:
     """(u, id) of the n-th row in each group of ``(grp, u, id)``; None where rows run out.
 
-    Hash units are uniform, so the n-th of N lies close to n/N.  Only rows
-    below a little more than that are ordered; they number about n.  Should
-    the margin ever fall short, it is widened and the step repeated.
+    Hash units are uniform, so the n-th of N lies close to n/N and only rows
+    around there are ordered: those below a little more than n/N, or, for a
+    large n, a narrow window whose lower rows are merely counted.  Should a
+    window miss the row, it is widened and the step repeated.
     """
     wanted = {g: n for g, n in sizes.items() if n > 0}
-    totals = {
-        row["grp"]: row["rows"]
-        for row in keys.where(F.col("grp").isin(list(wanted)))
-        .groupBy("grp")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .collect()
-    }
-    found: dict[str, tuple | None] = {}
-    todo = {}
-    for g, n in wanted.items():
-        if totals.get(g, 0) <= n:
-            found[g] = None
-        else:
-            todo[g] = min(1.0, (n + 8 * n**0.5 + 32) / totals[g])
+    totals = _counts(keys.where(F.col("grp").isin(list(wanted))))
+    found: dict[str, tuple | None] = {g: None for g, n in wanted.items() if totals.get(g, 0) <= n}
+    todo = {g: 8 * n**0.5 + 32 for g, n in wanted.items() if g not in found}
+    grp, u = F.col("grp"), F.col("u")
     while todo:
-        below = reduce(
-            Column.__or__, [(F.col("grp") == g) & (F.col("u") < cut) for g, cut in todo.items()]
-        )
-        near = keys.where(below)
+        windows = {
+            g: (
+                max(0.0, (wanted[g] - margin) / totals[g]) if wanted[g] > ORDERED_ROWS else 0.0,
+                (wanted[g] + margin) / totals[g],
+            )
+            for g, margin in todo.items()
+        }
+        lower = [(grp == g) & (u < lo) for g, (lo, _) in windows.items() if lo > 0]
+        below = _counts(keys.where(_any(lower))) if lower else {}
         parts = [
-            near.where(F.col("grp") == g)
+            keys.where((grp == g) & (u >= lo) & (u < hi))
             .orderBy("u", "id")
-            .offset(sizes[g] - 1)
+            .offset(wanted[g] - 1 - below.get(g, 0))
             .limit(1)
-            for g in todo
+            for g, (lo, hi) in windows.items()
+            if below.get(g, 0) < wanted[g]
         ]
-        rows = {row["grp"]: (row["u"], row["id"]) for row in reduce(DataFrame.union, parts).collect()}
-        found.update(rows)
-        todo = {g: min(1.0 + 1e-9, cut * 2) for g, cut in todo.items() if g not in rows}
+        rows = reduce(DataFrame.union, parts).collect() if parts else []
+        found |= {row["grp"]: (row["u"], row["id"]) for row in rows}
+        todo = {g: margin * 4 for g, margin in todo.items() if g not in found}
     return found
 
 
@@ -129,7 +138,7 @@ def sample_per_split(
         for name, n in sizes.items()
         if n > 0
     ]
-    return df.where(reduce(Column.__or__, wanted, F.lit(False)))
+    return df.where(_any(wanted))
 
 
 def head_of_split(

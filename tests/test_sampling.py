@@ -75,3 +75,19 @@ def test_equal_units_go_by_id(spark, monkeypatch):
 def test_shuffle_key(numbers):
     rows = sampling.with_shuffle_key(numbers).orderBy("shuffle_key", "id").collect()
     assert [r["id"] for r in rows] == order(range(5000))
+
+
+@pytest.mark.parametrize("n", [1, 40, 2500, 4990])
+def test_large_samples_order_a_window_only(numbers, monkeypatch, n):
+    monkeypatch.setattr(sampling, "ORDERED_ROWS", 10)
+    assert ids(sampling.sample_n(numbers, n)) == set(order(range(5000))[:n])
+
+
+def test_missed_windows_are_widened(spark, monkeypatch):
+    # All units close to 1: the first windows hold no row at all.
+    monkeypatch.setattr(
+        sampling, "hash_unit", lambda key, seed=42: 0.9 + key.cast("double") / 1_000_000
+    )
+    for limit in (10, 1_000_000):
+        monkeypatch.setattr(sampling, "ORDERED_ROWS", limit)
+        assert ids(sampling.sample_n(spark.range(5000), 300)) == set(range(300))

@@ -5,8 +5,9 @@ Here the wanted order statistics are closed in on instead.  Each round splits
 the value range that holds a statistic into equal buckets, counts them (a
 partial aggregate), and goes on inside the one bucket where it lies, whose
 true minimum and maximum become the next range.  A range of one value ends
-the search.  With 1,024 buckets per round a few narrow passes settle any
-number of rows, and all that ever meets in one place is bucket counts.
+the search.  With up to 1,024 buckets per round a few narrow passes settle any
+number of rows.  All that ever meets in one place is bucket counts, at most
+``MAX_COUNTS`` of them per round.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKETS = 1024
+MAX_COUNTS = 1 << 20
 MAX_GROUPS = 10_000
 _RANGES = T.StructType(
     [
@@ -32,11 +34,12 @@ def _bucket_counts(values: DataFrame, spark: SparkSession, ranges: set) -> dict:
     """Bucket statistics of each (gid, lo, hi) range, keyed by range."""
     # At most a few ranges per group and at most MAX_GROUPS groups.
     table = F.broadcast(spark.createDataFrame(sorted(ranges), _RANGES))
-    step = (F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BUCKETS
+    buckets = max(2, min(BUCKETS, MAX_COUNTS // len(ranges)))
+    step = (F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets
     rows = (
         values.join(table, "gid")
         .where(F.col("x").between(F.col("lo"), F.col("hi")))
-        .groupBy("gid", "lo", "hi", F.least(F.floor(step), F.lit(BUCKETS - 1)).alias("bucket"))
+        .groupBy("gid", "lo", "hi", F.least(F.floor(step), F.lit(buckets - 1)).alias("bucket"))
         .agg(F.count("x").alias("n"), F.min("x").alias("first"), F.max("x").alias("last"))
         .collect()
     )

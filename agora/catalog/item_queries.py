@@ -288,12 +288,11 @@ def thread_closure(spark, sf_dir):
     return forest.thread_closure(ranked).select("id")
 
 
-@query("pair_candidates", oracle("items", recursive=True, **_PAIRING) + f"""
-select id, cast(sibling_rank as integer) as sibling_rank, siblings_count,
-       cast(length({CLEAN.format("text")}) as integer) as chars from usable""")
+@query("pair_candidates", oracle("items", recursive=True, **_PAIRING) + """
+select id, parent, cast(sibling_rank as integer) as sibling_rank, siblings_count from usable""")
 def usable_comments(spark, sf_dir):
     return pair_candidates(items(spark, sf_dir)).select(
-        "id", "sibling_rank", "siblings_count", "chars"
+        "id", "parent", "sibling_rank", "siblings_count"
     )
 
 
@@ -493,3 +492,11 @@ where split = 'test' order by u, id limit 100""")
 def head_of_split(spark, sf_dir):
     tagged = sampling.split_rows(items(spark, sf_dir).select("id"))
     return sampling.head_of_split(tagged, "test", 100).select("id")
+
+
+@query("first_stories", oracle("items") + f"""
+select id, title, score from items where type = 'story' and score >= 20
+order by {unit_sql("id")}, id limit 60""")
+def first_stories(spark, sf_dir):
+    stories = filters.filter_type(items(spark, sf_dir), "story").select("id", "title", "score")
+    return sampling.take_first(filters.filter_min_score(stories, 20), 60)

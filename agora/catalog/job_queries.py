@@ -7,21 +7,27 @@ import uuid
 from pyspark.sql import functions as F
 
 from agora.catalog.item_queries import (
-    CHAINS, COMMENTS, PAIRS, PROMPT_FROM, PROMPT_V1, UP, pairing_ctes, split_sql,
+    CHAINS, COMMENTS, PAIRS, PROMPT_FROM, PROMPT_V1, RANKS, UP, pairing_ctes, split_sql,
 )
 from agora.catalog.registry import query
 from agora.catalog.views import comments, items, oracle, table, view
-from agora.operators import metrics, models, training
+from agora.operators import forest, metrics, models, training
+from agora.operators.benchmark import nest_results
+from agora.operators.distributions import histogram_by
+from agora.operators.filters import filter_min_score
 from agora.operators.ranking import top_n
 from agora.operators.sampling import split_rows
 from agora.operators.scoring import batch_score, length_scorer, score_pairs
+from agora.operators.trends import mean_by_group
 from agora.plans import evaluations
 from agora.plans.pair_dataset import pair_candidates, split_pairs, with_prompts
 from agora.plans.story_datasets import build_story_dataset
 from agora.session import configure
 from agora.sources import tables
-from agora.sources.memo import resume_predictions
-from agora.sources.result_store import ResultStore, lookup_results, score_incremental
+from agora.sources.memo import materialize, resume_predictions
+from agora.sources.result_store import (
+    ResultStore, arg_hash, evict_results, lookup_results, score_incremental,
+)
 from agora.sources.staging import scratch_root, stage
 
 
@@ -70,6 +76,49 @@ def looked_up_results(spark, sf_dir):
     return _rounded(found.select("id", "hit", "score"), "score")
 
 
+@query("evicted_results", oracle("items", stories="""
+select text from items where type = 'story' and text is not null and score < 100""") + """
+select id, text is not null and text in (select text from stories) as hit from items""")
+def evicted_results(spark, sf_dir):
+    """Score all stories, then forget those with a high score."""
+    rows = items(spark, sf_dir).select("id", "type", "text", "score")
+    store = ResultStore(spark, _fresh_path(spark, "results"))
+    stories = rows.where((F.col("type") == "story") & F.col("text").isNotNull())
+    score_incremental(stories.drop("score"), "length", ["text"], length_scorer, store, "text")
+    high = filter_min_score(stories, 100)
+    evict_results(store, "length", high.select(arg_hash(high, ["text"]).alias("arg_hash")))
+    return lookup_results(rows, "length", ["text"], store).select("id", "hit")
+
+
+def _ranked_scores(spark, sf_dir):
+    """Comment scores with the comment's rank among its siblings."""
+    scored = batch_score(comments(spark, sf_dir), "id", "text")
+    return forest.sibling_rank(scored, items(spark, sf_dir))
+
+
+_RANKED_SCORES = oracle("items", comments=COMMENTS, ranks=RANKS, scored="""
+select cast(coalesce(r.rk, -1) as integer) as sibling_rank, ln(1 + length(c.text)) as score
+from comments c left join ranks r on r.id = c.id""")
+
+
+@query("mean_score_by_rank", _RANKED_SCORES + """
+select sibling_rank, round(avg(score), 6) as avg_reward from scored group by sibling_rank""")
+def mean_score_by_rank(spark, sf_dir):
+    means = mean_by_group(_ranked_scores(spark, sf_dir), "sibling_rank", "score", "avg_reward")
+    return _rounded(means, "avg_reward")
+
+
+@query("histogram_by_rank", _RANKED_SCORES + """
+select sibling_rank, cast(least(floor((score - lo) / (hi - lo) * 20) + 1, 20) as integer) as bin,
+       count(*) as count
+from scored join (select sibling_rank, min(score) as lo, max(score) as hi
+                  from scored group by sibling_rank) using (sibling_rank)
+group by 1, 2""")
+def histogram_by_rank(spark, sf_dir):
+    scored = stage(_ranked_scores(spark, sf_dir).select("sibling_rank", "score"), "ranked")
+    return histogram_by(scored, "sibling_rank", "score")
+
+
 _PROMPTED = oracle(
     "items", recursive=True, **pairing_ctes(), pairs=PAIRS, up=UP, chains=CHAINS,
     prompts=f"select c.id, length({PROMPT_V1}) as n {PROMPT_FROM}",
@@ -183,8 +232,6 @@ select item_id, model, original_title, original_score, rm_score_original, md5(sc
        generated_title, score, api_time, total_time from title_results""")
 def results_json(spark, sf_dir):
     """Nested results written as JSON and read back."""
-    from agora.operators.benchmark import nest_results
-
     path = _fresh_path(spark, "results")
     tables.write_results_json(nest_results(view(spark, sf_dir, "title_results")), path)
     return tables.scan_results_json(spark, path).select(
@@ -195,6 +242,17 @@ def results_json(spark, sf_dir):
     )
 
 
+@query("materialized_stories", oracle("items") + """
+select id, title, score from items where type = 'story' and time is not null and text is not null
+  and url is null and deleted is null and dead is null and time >= timestamp '2016-01-01'""")
+def materialized_stories(spark, sf_dir):
+    """Built on the first call, read on the second."""
+    path = _fresh_path(spark, "stories")
+    for _ in range(2):
+        stories = materialize(spark, path, lambda: build_story_dataset(items(spark, sf_dir)))
+    return stories.select("id", "title", "score")
+
+
 @query("resumed_predictions", oracle("items") + f"""
 select id, round(ln(1 + length(text)), 6) as predictions, {split_sql("id")} as split
 from items where type = 'story' and text is not null""")

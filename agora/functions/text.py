@@ -49,6 +49,17 @@ def unescape_html(text: Column) -> Column:
     return F.regexp_replace(paragraphs(unescape_entities(text)), fixed.ANCHOR_PATTERN, "$1")
 
 
+def is_longer_than(text: Column, chars: int) -> Column:
+    """Whether the text has more than ``chars`` characters once it is cleaned.
+
+    Cleaning leaves everything before the first ``&`` or ``<`` as it is, so a
+    long enough beginning without them settles most texts without cleaning.
+    """
+    clear = F.regexp_like(text, F.lit(rf"\A[^&<]{{{chars + 1}}}"))
+    cleaned = unescape_html(F.when(~clear, text))
+    return clear | (F.char_length(cleaned) > chars)
+
+
 def truncate_text(text: Column, chars: int = fixed.MAX_BODY_CHARS) -> Column:
     return F.substring(F.coalesce(text, F.lit("")), 1, chars)
 

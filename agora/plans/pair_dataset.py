@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agora import fixed_values as fixed
-from agora.functions.text import unescape_html
+from agora.functions.text import is_longer_than
 from agora.operators import forest
 from agora.operators.filters import filter_min_score, filter_sibling_band, filter_type
 from agora.operators.joins import exclude_in, keep_in
@@ -22,9 +22,9 @@ PAIR_KEY = "rejected"
 
 
 def candidate_comments(items: DataFrame, min_score: int = fixed.MIN_ROOT_SCORE) -> DataFrame:
-    """Comments below well-scored roots with rank, sibling count and text length.
+    """Comments below well-scored roots with rank, sibling count and a text check.
 
-    Text is measured during the scan and left there; only ids and numbers move
+    Text is looked at during the scan and left there; only ids and numbers move
     on.  The sibling count and rank look at all comments, before any filter.
     """
     comments = filter_type(items, "comment").select(
@@ -32,7 +32,7 @@ def candidate_comments(items: DataFrame, min_score: int = fixed.MIN_ROOT_SCORE)
         "parent",
         "top_level_parent",
         "time",
-        F.char_length(unescape_html(F.col("text"))).alias("chars"),
+        is_longer_than(F.col("text"), fixed.MIN_TEXT_CHARS).alias("long_enough"),
     )
     roots = filter_min_score(items, min_score).select("id")
     sizes = (
@@ -49,7 +49,7 @@ def pair_candidates(items: DataFrame) -> DataFrame:
     candidates = stage(candidate_comments(items), "candidates")
     closed = forest.thread_closure(candidates)
     usable = filter_sibling_band(closed).where(
-        (F.col("chars") > fixed.MIN_TEXT_CHARS) & (F.col("sibling_rank") > 0)
+        F.col("long_enough") & (F.col("sibling_rank") > 0)
     )
     return stage(usable, "usable")
 

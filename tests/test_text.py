@@ -164,3 +164,12 @@ def test_story_layouts(frame):
         "<submitter>ann</submitter>\n<url>http://x</url>\n<date>2020-05-03</date>\n\n"
         "<body>body</body>\n<title>None</title>"
     )
+
+
+def test_length_of_the_cleaned_text(frame, noise):
+    values = [None, "", "x" * 10, "x" * 11, "é" * 11, "\n" * 11, "&amp;" * 10, "&amp;" * 11,
+              "1234567890&", '<a href="u">a very long link text</a>', "x&lt;p&gt;" * 4,
+              'ab<a href="http://long.example.org">t</a>', "😀" * 11, "😀" * 10, *noise]
+    assert evaluate(frame, values, lambda c: text.is_longer_than(c, 10)) == [
+        None if v is None else len(readable(v)) > 10 for v in values
+    ]

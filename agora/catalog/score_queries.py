@@ -9,7 +9,9 @@ from agora.catalog.item_queries import split_sql, unit_sql
 from agora.catalog.registry import query
 from agora.catalog.views import oracle, table, view
 from agora.functions import prompts, rewards, text
-from agora.functions.stories import serialize_story, with_link
+from agora.functions.stories import (
+    parse_iso_time, request_problem, score_request, serialize_story, with_link,
+)
 from agora.operators import (
     benchmark, distributions, filters, generations, joins, metrics, ranking, training, trends,
 )
@@ -259,14 +261,15 @@ from scraped_stories, (select 'a' as model, 1 as k union all select 'b', 2) m"""
 
 
 @query("score_titles", oracle("scraped_stories", generated=_GENERATED, cleaned="""
-select g.*, s.title as original_title, s.score as original_score, s."by", s.url, s.time,
-       s.scraped_body, case when g.error is null
-         then coalesce(substr(trim(g.content), 2, length(trim(g.content)) - 2), '') end as made
+select g.* exclude (error), s.title as original_title, s.score as original_score, s."by", s.url,
+       s.time, s.scraped_body, case when g.error is null
+         then coalesce(substr(trim(g.content), 2, length(trim(g.content)) - 2), '') end as made,
+       coalesce(g.error, case when s."by" is null then 'by is missing' end) as error
 from generated g join scraped_stories s on s.id = g.item_id""") + f"""
 select item_id, model, made as generated_title, original_title, original_score, error, total_time,
-       case when error is null then api_time end as api_time,
+       case when made is not null then api_time end as api_time,
        case when error is null then round(ln(1 + length({_tagged_sql("made")})), 6) end as score,
-       case when coalesce(original_title, '') <> ''
+       case when coalesce(original_title, '') <> '' and "by" is not null
             then round(ln(1 + length({_tagged_sql("original_title")})), 6) end as rm_score_original
 from cleaned""")
 def titles_scored(spark, sf_dir):
@@ -287,6 +290,21 @@ def titles_scored(spark, sf_dir):
     return _rounded(found, "score", "rm_score_original")
 
 
+@query("score_requests", oracle("scraped_stories") + """
+select id, strftime(time, '%Y-%m-%dT%H:%M:%S') as sent, time as received,
+       case when title is null then 'title is missing' when "by" is null then 'by is missing' end
+         as problem
+from scraped_stories""")
+def score_requests(spark, sf_dir):
+    rows = scraped(spark, sf_dir).withColumn("request", score_request(F.col("title")))
+    return rows.select(
+        "id",
+        F.col("request.time").alias("sent"),
+        parse_iso_time(F.col("request.time")).alias("received"),
+        request_problem(F.col("request")).alias("problem"),
+    )
+
+
 # --- scraped stories ---------------------------------------------------------------------
 
 

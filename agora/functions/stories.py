@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from agora import fixed_values as fixed
+from agora import schemas
 from agora.functions.text import or_none, paragraphs, unescape_entities
 
 
@@ -13,6 +14,36 @@ def day(time: Column, pattern: str = fixed.DAY_FORMAT) -> Column:
     return F.date_format(time, pattern)
 
 
+def iso_time(time: Column) -> Column:
+    """ISO text of a time; the fraction is left out when it is zero."""
+    whole = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss")
+    fraction = F.date_format(time, ".SSSSSS")
+    return F.when(fraction == ".000000", whole).otherwise(F.concat(whole, fraction))
+
+
+def parse_iso_time(text: Column) -> Column:
+    return F.to_timestamp_ntz(text)
+
+
+def score_request(title: Column) -> Column:
+    """What a scorer is told about a story, with its time as ISO text."""
+    return F.struct(
+        title.alias("title"),
+        F.col("by"),
+        iso_time(F.col("time")).alias("time"),
+        F.col("scraped_body"),
+        F.col("url"),
+    )
+
+
+def request_problem(request: Column) -> Column:
+    """Which required field a request lacks, null for a valid one; url may be missing."""
+    required = [f.name for f in schemas.SCORE_REQUEST.fields if not f.nullable]
+    return F.coalesce(
+        *[F.when(request[name].isNull(), F.lit(f"{name} is missing")) for name in required]
+    )
+
+
 def _plain() -> Column:
     return F.concat(
         F.lit("\n"), or_none(F.col("title")),

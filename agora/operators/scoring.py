@@ -11,11 +11,11 @@ import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agora.functions.stories import serialize_with_title
+from agora.functions.stories import request_problem, score_request, serialize_with_title
 from agora.functions.text import clean_title
 
 Scorer = Callable[[], Callable[[list[str]], list[float | None]]]
@@ -119,14 +119,17 @@ def score_titles(
 
     ``items`` holds id, title (and optionally original_title), by, url, time,
     scraped_body and score; ``generated`` holds item_id, model, content, error,
-    api_time and total_time.  A failed row keeps its error and has no title,
-    API time or score.  Original titles are scored in their row, once per item
-    and not once per model; an empty one is not scored.  Both scorings stay in
-    place around the single join.
+    api_time and total_time.  A failed generation has no title, API time or
+    score.  A story that lacks a required field, or that the scorer fails on,
+    keeps its title but has no score.  ``error`` says which.
+
+    Original titles are scored in their row, once per item and not once per
+    model; an empty one is not scored.  Both scorings stay in place around the
+    single join.
     """
     names = ["title"] + ["original_title"] * ("original_title" in items.columns)
     original = F.col(names[-1])
-    has_title = F.coalesce(original != "", F.lit(False))
+    scorable = F.coalesce(original != "", F.lit(False)) & _is_valid(original)
     stories = items.select(
         F.col("id").alias("item_id"),
         original.alias("original_title"),
@@ -135,30 +138,35 @@ def score_titles(
         "url",
         "time",
         "scraped_body",
-        F.when(has_title, serialize_with_title(original)).alias("_original"),
+        F.when(scorable, serialize_with_title(original)).alias("_original"),
     )
     stories = score_columns(
         stories, {"_original": "rm_score_original"}, scorer, drop_texts=True
     ).drop("rm_score_original_error")
     worked = F.col("error").isNull()
-    titled = generated.join(stories, "item_id").withColumn(
-        "generated_title", F.when(worked, clean_title(F.col("content")))
+    title = F.col("generated_title")
+    ready = (
+        generated.join(stories, "item_id")
+        .withColumn("generated_title", F.when(worked, clean_title(F.col("content"))))
+        .withColumn("error", F.coalesce("error", request_problem(score_request(title))))
+        .withColumn("_story", F.when(F.col("error").isNull(), serialize_with_title(title)))
+        .withColumn("api_time", F.when(title.isNotNull(), F.col("api_time")))
+        .drop("content", "by", "url", "time")
     )
-    ready = titled.withColumn(
-        "_story", F.when(worked, serialize_with_title(F.col("generated_title")))
-    ).drop("content", "by", "url", "time")
-    scored = score_columns(ready, {"_story": "score"}, scorer, drop_texts=True)
-    failed = F.coalesce(F.col("error"), F.col("score_error"))
-    return scored.select(
+    return score_columns(ready, {"_story": "score"}, scorer, drop_texts=True).select(
         "item_id",
         "model",
-        F.when(failed.isNull(), F.col("generated_title")).alias("generated_title"),
+        "generated_title",
         "original_title",
         "original_score",
         "score",
         "rm_score_original",
-        F.when(failed.isNull(), F.col("api_time")).alias("api_time"),
+        "api_time",
         "total_time",
-        failed.alias("error"),
+        F.coalesce("error", "score_error").alias("error"),
         "scraped_body",
     )
+
+
+def _is_valid(title: Column) -> Column:
+    return request_problem(score_request(title)).isNull()

@@ -68,6 +68,17 @@ RESULT_LOG = _struct(
     fn_id=STRING,
 )
 
+#: A request to score a story under a title; the time is ISO text.
+SCORE_REQUEST = T.StructType(
+    [
+        T.StructField("title", STRING, False),
+        T.StructField("by", STRING, False),
+        T.StructField("time", STRING, False),
+        T.StructField("scraped_body", STRING, False),
+        T.StructField("url", STRING, True),
+    ]
+)
+
 CHAT_MESSAGE = _struct(role=STRING, content=STRING)
 
 

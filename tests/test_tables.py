@@ -184,20 +184,36 @@ def test_nested_results(frame):
     assert [tuple(m) for m in means] == [("x", 2.0), ("Original", 0.2)]
 
 
+def by_length():
+    def score(texts):
+        if any("fail" in t for t in texts):
+            raise RuntimeError("no score")
+        return [float(len(t)) for t in texts]
+    return score
+
+
 def test_score_titles(frame):
-    items = frame([(1, "Old", "me", "u", "body", 7), (2, "", None, None, "b2", 8)],
+    items = frame([(1, "Old", "me", "u", "body", 7), (2, "", "you", None, "b2", 8),
+                   (3, "Lost", None, None, "b3", 9)],
                   "id long, title string, by string, url string, scraped_body string, score long")
     items = items.withColumn("time", F.lit("2020-01-02 00:00:00").cast("timestamp_ntz"))
     generated = frame(
-        [(1, "m", ' "New" ', None, 1.0, 2.0), (1, "k", None, "boom", 1.0, 2.0), (2, "m", None, None, 1.0, 2.0)],
+        [(1, "m", ' "New" ', None, 1.0, 2.0), (1, "k", None, "boom", 1.0, 2.0),
+         (1, "f", "fail", None, 1.0, 2.0), (2, "m", None, None, 1.0, 2.0),
+         (3, "m", "T", None, 1.0, 2.0)],
         "item_id long, model string, content string, error string, api_time double, total_time double")
-    got = {(r["item_id"], r["model"]): r for r in score_titles(items, generated).collect()}
-    fine, broken, empty = got[1, "m"], got[1, "k"], got[2, "m"]
-    assert fine["generated_title"] == "New" and fine["score"] is not None and fine["error"] is None
+    got = {(r["item_id"], r["model"]): r for r in score_titles(items, generated, by_length).collect()}
+    fine, broken, unscored = got[1, "m"], got[1, "k"], got[1, "f"]
+    assert fine["generated_title"] == "New" and fine["score"] > 0 and fine["error"] is None
     assert broken["generated_title"] is None and broken["score"] is None
     assert broken["error"] == "boom" and broken["api_time"] is None
-    assert broken["rm_score_original"] == fine["rm_score_original"]
-    assert empty["generated_title"] == "" and empty["rm_score_original"] is None
+    assert broken["rm_score_original"] == fine["rm_score_original"] > 0
+    assert unscored["generated_title"] == "fail" and unscored["api_time"] == 1.0
+    assert unscored["score"] is None and unscored["error"] == "RuntimeError: no score"
+    empty, anonymous = got[2, "m"], got[3, "m"]
+    assert empty["generated_title"] == "" and empty["score"] > 0 and empty["rm_score_original"] is None
+    assert anonymous["generated_title"] == "T" and anonymous["error"] == "by is missing"
+    assert anonymous["score"] is None and anonymous["rm_score_original"] is None
 
 
 def test_cross_models(frame):

@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from agora.fixed_values import CLOCK_DATE_FORMAT
 from agora.functions import prompts, rewards, stories, text
 
 PIECES = [
@@ -173,3 +174,15 @@ def test_length_of_the_cleaned_text(frame, noise):
     assert evaluate(frame, values, lambda c: text.is_longer_than(c, 10)) == [
         None if v is None else len(readable(v)) > 10 for v in values
     ]
+
+
+def test_times(frame):
+    times = ["2020-05-03 22:10:00", "2020-05-03 09:10:07.25"]
+    df = frame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp_ntz"))
+    rows = df.select(
+        "t", stories.iso_time(F.col("t")).alias("iso"), stories.day(F.col("t"), CLOCK_DATE_FORMAT).alias("clock"),
+        stories.parse_iso_time(stories.iso_time(F.col("t"))).alias("back"),
+    ).collect()
+    assert [r["iso"] for r in rows] == [r["t"].isoformat() for r in rows]
+    assert [r["back"] for r in rows] == [r["t"] for r in rows]
+    assert [r["clock"] for r in rows] == [r["t"].strftime("%A %I:%M %p, %Y-%m-%d") for r in rows]

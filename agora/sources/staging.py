@@ -33,9 +33,24 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def _folder(spark: SparkSession) -> str:
+    """Where this application's staged tables lie."""
+    return f"{scratch_root(spark)}/agora-{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return it as a fresh scan."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/agora-{label}-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all staged tables of this application.
+
+    To be called when every result has been written; DataFrames that still
+    read staged tables can no longer be evaluated.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

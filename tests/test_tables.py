@@ -84,6 +84,16 @@ def test_staging_uses_the_sessions_folder(spark):
     assert staged.count() == 3 and root.split(":")[-1] in staged.inputFiles()[0]
 
 
+def test_release_deletes_this_applications_tables(spark, fresh_path, monkeypatch):
+    folder = fresh_path()
+    monkeypatch.setattr(staging, "_folder", lambda _: folder)
+    staged = staging.stage(spark.range(3), "test")
+    assert staged.count() == 3
+    staging.release(spark)
+    with pytest.raises(Exception, match="(?i)not.?exist|not.?found"):
+        spark.read.parquet(staged.inputFiles()[0]).count()
+
+
 # --- filters and joins ----------------------------------------------------------
 
 

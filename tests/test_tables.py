@@ -285,6 +285,16 @@ def test_pair_rows_pad_and_cut(frame):
     assert row["input_ids_rejected"] == ["e", "", ""] and row["attention_mask_rejected"] == [1, 0, 0]
 
 
+def test_python_tokenizers_plug_in(frame):
+    tokenizer = training.arrow_tokenizer(lambda: lambda text: [len(word) for word in text.split()])
+    df = frame([(1, 2, "aa b", "ccc"), (3, 4, None, "d")],
+               "chosen long, rejected long, chosen_prompt string, rejected_prompt string")
+    row = training.pair_rows(df, tokenizer, 3, F.lit(0).cast("bigint")).orderBy("chosen").first()
+    assert row["input_ids_chosen"] == [2, 1, 0] and row["attention_mask_chosen"] == [1, 1, 0]
+    assert row["input_ids_rejected"] == [3, 0, 0]
+    assert df.select(tokenizer(F.col("chosen_prompt"))).collect()[1][0] is None
+
+
 def test_chat_length(frame):
     chat = T.ArrayType(schemas.CHAT_MESSAGE)
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("prompt", chat)])

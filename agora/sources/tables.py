@@ -51,16 +51,26 @@ def write_splits(
 
 
 def write_csv_report(df: DataFrame, path: str) -> None:
-    """A ranked report as CSV with a header; quotes are doubled, newlines kept.
+    """A ranked report as CSV with a header; quotes are doubled, whitespace is kept.
 
     Meant for results that already carry a limit, hence the single file.
     """
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    df.coalesce(1).write.mode("overwrite").csv(
+        path,
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
-def scan_csv_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def scan_csv_report(
+    spark: SparkSession, path: str, schema: T.StructType | str
+) -> DataFrame:
+    """Read a report back; a null mark that no text holds keeps empty texts from turning null."""
     return spark.read.csv(
-        path, schema=schema, header=True, quote='"', escape='"', multiLine=True
+        path, schema=schema, header=True, quote='"', escape='"', multiLine=True, nullValue="\0"
     )
 
 

@@ -29,7 +29,7 @@ def test_splits_round_trip(spark, frame, fresh_path):
 
 def test_csv_keeps_quotes_and_newlines(spark, frame, fresh_path):
     path = fresh_path()
-    df = frame([("a \"b\"\n, c", 1), ("plain", 2), ("back\\slash", None)], "text string, n int")
+    df = frame([("a \"b\"\n, c", 1), ("plain", 2), ("back\\slash", None), ("\n padded \n", 4), ("", 5), (None, 6)], "text string, n int")
     tables.write_csv_report(df, path)
     got = tables.scan_csv_report(spark, path, df.schema).collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, df.collect()), key=str)

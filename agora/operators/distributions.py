@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agora.functions.numbers import bucket_of
+from agora.operators.joins import attach
 from agora.operators.quantiles import exact_percentiles
 
 SUMMARY_PROBS = (0.05, 0.5, 0.95)
@@ -34,12 +35,9 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 def histogram_by(df: DataFrame, key: str, column: str, bins: int = 20) -> DataFrame:
     """``(key, bin, count)``, every group over its own range."""
     values = df.select(key, F.col(column).cast("double").alias("x")).where(_finite(F.col("x")))
-    ends = values.groupBy(F.col(key).alias("_key")).agg(
-        F.min("x").alias("lo"), F.max("x").alias("hi")
-    )
-    same = values[key].eqNullSafe(ends["_key"])
+    ends = values.groupBy(key).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     return (
-        values.join(ends, same)
+        attach(values, ends, [key], "inner")
         .groupBy(key, bucket_of(F.col("x"), F.col("lo"), F.col("hi"), bins).alias("bin"))
         .agg(F.count("x").alias("count"))
     )

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from agora import fixed_values as fixed
 from agora.functions.text import unescape_html
+from agora.operators.joins import attach, keep_in
 from agora.sources.staging import stage
 
 #: Longest chain ``ancestor_paths`` follows before it reports a cycle.
@@ -76,11 +77,8 @@ def siblings_count(comments: DataFrame) -> DataFrame:
     shorter, but it holds a parent's whole group in one task, and one parent
     may own a large part of the table.
     """
-    sizes = comments.groupBy(F.col("parent").alias("_parent")).agg(
-        F.count("id").alias("siblings_count")
-    )
-    same = comments["parent"].eqNullSafe(sizes["_parent"])
-    return comments.join(sizes, same, "left").drop("_parent")
+    sizes = comments.groupBy("parent").agg(F.count("id").alias("siblings_count"))
+    return attach(comments, sizes, ["parent"])
 
 
 # --- pointer doubling --------------------------------------------------------
@@ -195,12 +193,11 @@ def ancestor_paths(items: DataFrame) -> DataFrame:
 def paths_of(comments: DataFrame, items: DataFrame) -> DataFrame:
     """``(id, top_level_parent, path)`` of the given comments.
 
-    Only the threads asked for are walked.
+    Only the threads asked for are walked.  Their roots are staged, so that few
+    of them are broadcast and many are met in a plain shuffle.
     """
-    roots = comments.select("top_level_parent").distinct()
-    edges = items.select("id", "parent", "top_level_parent").join(
-        roots, "top_level_parent", "left_semi"
-    )
+    roots = stage(comments.select("top_level_parent").distinct(), "roots")
+    edges = keep_in(items.select("id", "parent", "top_level_parent"), "top_level_parent", roots)
     return comments.select("id", "top_level_parent").join(ancestor_paths(edges), "id")
 
 
@@ -242,7 +239,8 @@ def ancestor_chain(comments: DataFrame, items: DataFrame) -> DataFrame:
 def augment_comments(items: DataFrame) -> DataFrame:
     """Comments with sibling count, sibling rank, level and readable text.
 
-    The three numbers are worked out on ids; text is moved once, to meet them.
+    The three numbers are worked out on ids; text is moved once, to meet them,
+    and not at all when the items are stored in buckets of ``id``.
     """
     comments = items.where(F.col("type") == "comment")
     edges = comments.select("id", "parent", "top_level_parent")
@@ -251,7 +249,8 @@ def augment_comments(items: DataFrame) -> DataFrame:
         .join(reply_levels(edges), "id", "left")
         .drop("parent", "top_level_parent")
     )
-    return comments.select(
-        "id", "by", "time", unescape_html(F.col("text")).alias("text"),
-        "parent", "top_level_parent", "kids",
-    ).join(numbers, "id")
+    return (
+        comments.select("id", "by", "time", "text", "parent", "top_level_parent", "kids")
+        .join(numbers, "id")
+        .withColumn("text", unescape_html(F.col("text")))
+    )

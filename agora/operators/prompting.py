@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agora.functions.prompts import author_and_text, comment_xml, story_content, xml_text
 from agora.operators.forest import paths_of
-from agora.operators.joins import keep_in
+from agora.operators.joins import keep_in, keep_posts
 from agora.sources.staging import stage
 
 # Places of a prompt's parts; ancestors have 0 and up.
@@ -19,12 +19,11 @@ def prompt_parts(ids: DataFrame, items: DataFrame) -> DataFrame:
 
     All a prompt needs are posts looked up by id, so they are looked up
     together: one join of (comment, place, post id) rows with the posts, and
-    one grouping by comment.  The rows are staged, so their size is known: for
-    a sample of comments the planner can broadcast them and leave the posts
-    where they are.  Posts nobody quotes are dropped first; the others are
-    escaped once each, however many prompts quote them.  A group is as long as
-    its comment is deep, and the side that may be hot (a story quoted by all
-    its comments) carries ids only.
+    one grouping by comment.  For a sample of comments, posts nobody quotes are
+    dropped where they are stored.  The others are escaped once each, however
+    many prompts quote them.  A group is as long as its comment is deep, and
+    the side that may be hot (a story quoted by all its comments) carries ids
+    only.
     """
     wanted = keep_in(items, "id", ids).select("id", "top_level_parent")
     ancestors = F.transform("path", lambda a, i: F.struct(i.alias("place"), a.alias("post")))
@@ -36,10 +35,8 @@ def prompt_parts(ids: DataFrame, items: DataFrame) -> DataFrame:
         paths_of(wanted, items).select("id", F.inline(F.concat(others, ancestors))), "steps"
     )
     fields = ("by", "text", "title", "url")
-    posts = (
-        keep_in(items.select("id", *fields), "id", steps.select("post").distinct())
-        .select(F.col("id").alias("post"), *[xml_text(F.col(c)).alias(c) for c in fields])
-    )
+    posts = keep_posts(items.select("id", *fields), "id", steps.select("post").distinct())
+    posts = posts.select(F.col("id").alias("post"), *[xml_text(F.col(c)).alias(c) for c in fields])
 
     def or_empty(name: str):
         return F.coalesce(F.col(name), F.lit(""))

@@ -11,7 +11,7 @@ from agora import fixed_values as fixed
 from agora.functions.text import is_longer_than
 from agora.operators import forest
 from agora.operators.filters import filter_min_score, filter_sibling_band, filter_type
-from agora.operators.joins import exclude_in, keep_in
+from agora.operators.joins import attach, exclude_in, keep_in
 from agora.operators.pairs import preference_pairs
 from agora.operators.prompting import comment_prompt
 from agora.operators.sampling import sample_n, sample_per_split, split_by_group
@@ -40,7 +40,7 @@ def candidate_comments(items: DataFrame, min_score: int = fixed.MIN_ROOT_SCORE)
         .groupBy("parent")
         .agg(F.count("id").alias("siblings_count"))
     )
-    kept = keep_in(comments, "top_level_parent", roots).join(sizes, "parent", "left")
+    kept = attach(keep_in(comments, "top_level_parent", roots), sizes, ["parent"])
     return forest.sibling_rank(kept, items)
 
 

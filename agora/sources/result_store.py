@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agora import schemas
+from agora.operators.joins import attach
 from agora.operators.scoring import batch_score
 from agora.sources.memo import table_exists
 from agora.sources.staging import stage
@@ -127,20 +128,20 @@ def score_incremental(
         )
     )
     values = store.live(fn_id).select(
-        "arg_hash", F.col("result").cast("double").alias("score")
-    )
-    failures = fresh.where(F.col("error").isNotNull()).select("arg_hash", "error")
-    return (
-        keyed.join(values, "arg_hash", "left").join(failures, "arg_hash", "left")
+        "arg_hash",
+        F.col("result").cast("double").alias("score"),
+        F.lit(None).cast("string").alias("error"),
     )
+    failures = fresh.where(F.col("error").isNotNull()).select("arg_hash", "score", "error")
+    known = values.join(failures, "arg_hash", "left_anti").unionByName(failures)
+    return attach(keyed, known, ["arg_hash"])
 
 
 def lookup_results(df: DataFrame, fn_id: str, arg_cols: list[str], store: ResultStore) -> DataFrame:
     """Attach ``hit`` and ``score`` without computing anything."""
     values = store.live(fn_id).withColumn("hit", F.lit(True))
     return (
-        df.withColumn("arg_hash", arg_hash(df, arg_cols))
-        .join(values, "arg_hash", "left")
+        attach(df.withColumn("arg_hash", arg_hash(df, arg_cols)), values, ["arg_hash"])
         .withColumn("hit", F.coalesce("hit", F.lit(False)))
         .withColumn("score", F.col("result").cast("double"))
         .drop("result")

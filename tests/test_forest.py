@@ -146,6 +146,11 @@ def test_siblings_count_includes_self_and_survives_a_hot_parent(spark):
     assert found.where("parent = 7").select("siblings_count").distinct().first()[0] == 20_000
 
 
+def test_comments_without_parent_are_one_group(frame):
+    found = forest.siblings_count(frame([(1, None), (2, None), (3, 9)], "id long, parent long"))
+    assert {r["id"]: r["siblings_count"] for r in found.collect()} == {1: 2, 2: 2, 3: 1}
+
+
 def test_augmented_columns(frame):
     rows = [
         (1, "story", "a", None, None, "S", None, 5, None, None, 1, None, None, [2, 3]),

@@ -5,17 +5,24 @@ import contextlib
 import pytest
 from pyspark.sql import functions as F
 
-from agora.operators import forest, joins
+from agora.operators import distributions, forest, joins
 from agora.operators.pairs import preference_pairs
+from agora.operators.prompting import comment_prompt
+from agora.operators.scoring import length_scorer
+from agora.sources.result_store import ResultStore, lookup_results, score_incremental
 
 #: Settings that make this small data look like much: no broadcast, tiny skew limits.
 LARGE = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "5KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
     "spark.sql.shuffle.partitions": "16",
+    # A hot partition is split by the tasks that wrote it, so there have to be several.
+    "spark.sql.files.maxPartitionBytes": "50KB",
+    "spark.sql.files.openCostInBytes": "0",
+    "parquet.block.size": "20000",
 }
 
 
@@ -57,7 +64,7 @@ def hot_comments(spark, rows=60_000):
 def test_sibling_counts_split_the_hot_parent(large):
     comments = hot_comments(large).withColumn("pad", F.sha2(F.col("id").cast("string"), 512))
     found = forest.siblings_count(comments)
-    assert "isSkew=true" in final_plan(found).replace("skew=true", "isSkew=true")
+    assert "skew=true" in final_plan(found)
     sizes = {r["siblings_count"] for r in found.select("siblings_count").distinct().collect()}
     assert 20_000 in sizes and found.count() == 60_000
 
@@ -74,7 +81,8 @@ def test_story_lookup_splits_the_hot_story(large):
 
 def test_pairs_of_a_hot_parent(large):
     comments = hot_comments(large, 6000)
-    shuffled = {tuple(r) for r in preference_pairs(comments).collect()}
+    pairs = preference_pairs(comments)
+    shuffled = {tuple(r) for r in pairs.collect()}
     groups = {}
     for row in comments.collect():
         groups.setdefault(row["parent"], []).append(row)
@@ -88,6 +96,60 @@ def test_pairs_of_a_hot_parent(large):
     assert shuffled == wanted
 
 
+def test_pair_joins_split_the_hot_parent(large):
+    pairs = preference_pairs(hot_comments(large, 90_000), window_seconds=3000)
+    assert final_plan(pairs).count("skew=true") >= 2
+
+
+def test_group_histograms_split_the_hot_group(large):
+    comments = hot_comments(large).withColumn("x", F.col("id").cast("double"))
+    found = distributions.histogram_by(comments, "parent", "x")
+    assert "skew=true" in final_plan(found)
+    assert found.agg(F.sum("count")).first()[0] == 60_000
+
+
+def test_result_lookups_split_a_text_with_many_copies(large, fresh_path):
+    texts = large.range(60_000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "same").otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("t"),
+        F.sha2(F.hex("id"), 512).alias("pad"),
+    )
+    store = ResultStore(large, fresh_path())
+    scored = score_incremental(texts, "f", ["t"], length_scorer, store, "t")
+    assert "skew=true" in final_plan(scored)
+    assert scored.where("score is null").count() == 0 and scored.count() == 60_000
+    found = lookup_results(texts, "f", ["t"], store)
+    assert "skew=true" in final_plan(found)
+    assert found.where("hit").count() == 60_000
+
+
+def test_prompts_below_one_hot_story(large, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_IDS", 0)
+    posts = hot_comments(large, 90_000).select("id", "parent", "top_level_parent").unionByName(
+        large.range(2100).select("id", F.lit(None).cast("bigint").alias("parent"), F.col("id").alias("top_level_parent"))
+    )
+    items = posts.withColumns({
+        "by": F.lit("ann"), "title": F.when(F.col("parent").isNull(), "T"), "url": F.lit(None).cast("string"),
+        "text": F.when(F.col("parent").isNotNull(), F.concat(F.lit("t"), F.col("id"))),
+    })
+    comments = items.where("parent is not null").select("id")
+    prompts = comment_prompt(comments, items, ("v2",))
+    assert "skew=true" in final_plan(prompts)
+    assert prompts.count() == 90_000
+    wanted = F.concat(
+        F.lit("<story><title>T</title></story><parent_chain></parent_chain><comment><author>ann</author><text>t"),
+        F.col("id"), F.lit("</text></comment>"),
+    )
+    assert prompts.where(F.col("prompt_v2") != wanted).count() == 0
+
+
+def test_few_ids_are_broadcast_and_many_are_not(large, monkeypatch):
+    posts, ids = large.range(1000), large.range(10)
+    assert joins.keep_posts(posts, "id", ids).count() == 10
+    monkeypatch.setattr(joins, "BROADCAST_IDS", 9)
+    assert joins.keep_posts(posts, "id", ids).count() == 1000
+
+
 def row_root(row):
     return row["top_level_parent"]
 

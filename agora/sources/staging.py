@@ -20,7 +20,7 @@ _local_roots: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     """Folder for staged tables, taken from the session's own settings."""
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not context.master.startswith("local"):

@@ -1,5 +1,6 @@
 import datetime as dt
 import sys
+import types
 
 import pytest
 from pyspark import cloudpickle
@@ -84,6 +85,23 @@ def test_staging_uses_the_sessions_folder(spark):
     assert staged.count() == 3 and root.split(":")[-1] in staged.inputFiles()[0]
 
 
+def stub_session(master, configured=None):
+    context = types.SimpleNamespace(
+        master=master, applicationId=f"app-{master}", getCheckpointDir=lambda: None
+    )
+    settings = {"spark.checkpoint.dir": configured}
+    conf = types.SimpleNamespace(get=lambda key, default=None: settings.get(key) or default)
+    return types.SimpleNamespace(sparkContext=context, conf=conf)
+
+
+def test_clusters_need_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.scratch_root(stub_session("spark://host:7077"))
+    assert staging.scratch_root(stub_session("yarn", "hdfs://shared/")) == "hdfs://shared"
+    local = stub_session("local[2]")
+    assert staging.scratch_root(local) == staging.scratch_root(local)
+
+
 def test_release_deletes_this_applications_tables(spark, fresh_path, monkeypatch):
     folder = fresh_path()
     monkeypatch.setattr(staging, "_folder", lambda _: folder)

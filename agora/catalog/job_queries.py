@@ -115,8 +115,7 @@ from scored join (select sibling_rank, min(score) as lo, max(score) as hi
                   from scored group by sibling_rank) using (sibling_rank)
 group by 1, 2""")
 def histogram_by_rank(spark, sf_dir):
-    scored = stage(_ranked_scores(spark, sf_dir).select("sibling_rank", "score"), "ranked")
-    return histogram_by(scored, "sibling_rank", "score")
+    return histogram_by(_ranked_scores(spark, sf_dir), "sibling_rank", "score")
 
 
 _PROMPTED = oracle(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agora.operators.quantiles import exact_percentiles
+from agora.operators.quantiles import percentiles_of_staged
+from agora.sources.staging import stage
 
 ORIGINAL = "Original"
 _ITEM_FIELDS = ("original_title", "original_score", "rm_score_original", "scraped_body")
@@ -18,13 +19,15 @@ def benchmark_summary(results: DataFrame) -> DataFrame:
     Scores and times are averaged over scored rows only and are 0 for a model
     without any; the original score is averaged wherever present.
     """
+    figures = ("model", "score", "total_time", "api_time", "rm_score_original")
+    results = stage(results.select(*figures), "figures")
     scored = F.col("score").isNotNull()
 
     def mean_scored(column: str) -> Column:
         mean = F.avg(F.when(scored, F.col(column).cast("double")))
         return F.coalesce(mean, F.lit(0.0))
 
-    figures = results.groupBy("model").agg(
+    means = results.groupBy("model").agg(
         mean_scored("score").alias("avg_score"),
         mean_scored("total_time").alias("avg_total_time"),
         mean_scored("api_time").alias("avg_api_time"),
@@ -32,10 +35,10 @@ def benchmark_summary(results: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("sample_count"),
         F.count("score").alias("valid_sample_count"),
     )
-    medians = exact_percentiles(results, ["model"], "score", [0.5])
+    medians = percentiles_of_staged(results, ["model"], "score", [0.5])
     return (
         # One row per model.
-        figures.join(F.broadcast(medians), "model", "left")
+        means.join(F.broadcast(medians), "model", "left")
         .withColumn("median_score", F.coalesce("p0", F.lit(0.0)))
         .drop("p0")
     )

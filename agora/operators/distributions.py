@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from agora.functions.numbers import bucket_of
 from agora.operators.joins import attach
-from agora.operators.quantiles import exact_percentiles
+from agora.operators.quantiles import percentiles_of_staged
+from agora.sources.staging import stage
 
 SUMMARY_PROBS = (0.05, 0.5, 0.95)
 
@@ -18,13 +19,18 @@ def _finite(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
 
 
+def _values(df: DataFrame, column: str, *keys: str) -> DataFrame:
+    return df.select(*keys, F.col(column).cast("double").alias("x")).where(_finite(F.col("x")))
+
+
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """``(bin, count)`` of equal-width bins between minimum and maximum.
 
-    The range is looked up first, as one row.  Only finite values have a place
-    in a range, others are not counted; empty bins have no row.
+    The values are staged and their range looked up, as one row.  Only finite
+    values have a place in a range, others are not counted; empty bins have no
+    row.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).where(_finite(F.col("x")))
+    values = stage(_values(df, column), "values")
     ends = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     lo, hi = (F.lit(ends[name]).cast("double") for name in ("lo", "hi"))
     return values.groupBy(bucket_of(F.col("x"), lo, hi, bins).alias("bin")).agg(
@@ -34,7 +40,7 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
 def histogram_by(df: DataFrame, key: str, column: str, bins: int = 20) -> DataFrame:
     """``(key, bin, count)``, every group over its own range."""
-    values = df.select(key, F.col(column).cast("double").alias("x")).where(_finite(F.col("x")))
+    values = stage(_values(df, column, key), "values")
     ends = values.groupBy(key).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     return (
         attach(values, ends, [key], "inner")
@@ -61,11 +67,12 @@ def density_grid(
 
 def _summary(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     """mean, p5, median, p95 and population deviation per group."""
+    df = stage(df.select(*keys, column), "values")
     shape = df.groupBy(*keys).agg(
         F.avg(column).alias("mean"), F.stddev_pop(column).alias("std_dev")
     )
     p5, median, p95 = (f"p{i}" for i in range(3))
-    cuts = exact_percentiles(df, keys, column, list(SUMMARY_PROBS)).select(
+    cuts = percentiles_of_staged(df, keys, column, list(SUMMARY_PROBS)).select(
         *[F.col(k).alias(f"_{k}") for k in keys],
         F.col(p5).alias("p5"),
         F.col(median).alias("median"),

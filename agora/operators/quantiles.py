@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from agora.sources.staging import stage
+
 BUCKETS = 1024
 MAX_COUNTS = 1 << 20
 MAX_GROUPS = 10_000
@@ -80,7 +82,15 @@ def exact_percentiles(
 
     Linear interpolation between order statistics; nulls are skipped and a NaN
     makes the group's results NaN.  Meant for few groups (models, metrics).
+    The values are staged, so ``df`` is evaluated once.
     """
+    return percentiles_of_staged(stage(df.select(*keys, value), "values"), keys, value, probs)
+
+
+def percentiles_of_staged(
+    df: DataFrame, keys: list[str], value: str, probs: list[float]
+) -> DataFrame:
+    """``exact_percentiles`` of a table that is cheap to read several times."""
     spark = df.sparkSession
     plain = df.select(*keys, F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull())
     spans = (

@@ -3,7 +3,8 @@
 Random order is an expression of the row's key and a seed, so it survives
 retries and does not depend on partitioning.  Taking n rows means finding the
 key value of the n-th row first and filtering by it: the wide rows are never
-sorted, shuffled or gathered.
+sorted, shuffled or gathered.  The key is looked for in two or three passes
+over the id column, so stage an input whose ids are costly to compute.
 """
 
 from __future__ import annotations

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agora import schemas
 from agora.session import configure
 from agora.sources.staging import stage
 
@@ -211,6 +212,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
             documents=documents,
         )
         whole = _run(spark, sql("items", "spark"), items_base=base)
+        schemas.require_columns(whole, schemas.ITEMS)
         # Even files in id order, as a dump of posts would be stored.
         return whole.repartitionByRange(spark.sparkContext.defaultParallelism, "id")
 

@@ -29,13 +29,17 @@ def length_scorer() -> Callable[[list[str]], list[float]]:
 
 
 def _values_and_errors(score, texts: list[str]) -> list[tuple[float | None, str | None]]:
-    """Results of one batch; when a batch fails, its rows are tried one by one."""
+    """Results of one batch; a batch that fails is halved until the bad rows stand alone."""
     try:
-        return [(value, None) for value in score(texts)]
+        values = list(score(texts))
+        if len(values) != len(texts):
+            raise ValueError(f"scorer returned {len(values)} values for {len(texts)} texts")
+        return [(value, None) for value in values]
     except Exception as failure:  # a scorer may raise anything
-        if len(texts) == 1:
-            return [(None, f"{type(failure).__name__}: {failure}")]
-        return [result for text in texts for result in _values_and_errors(score, [text])]
+        if len(texts) < 2:
+            return [(None, f"{type(failure).__name__}: {failure}") for _ in texts]
+        half = len(texts) // 2
+        return _values_and_errors(score, texts[:half]) + _values_and_errors(score, texts[half:])
 
 
 def score_columns(

@@ -12,8 +12,9 @@ from agora import schemas
 
 
 def scan_items(spark: SparkSession, path: str) -> DataFrame:
-    """The full item table, read with its fixed schema."""
-    return spark.read.schema(schemas.ITEMS).parquet(path)
+    """The full item table; a missing column or another type is an error."""
+    found = schemas.require_columns(spark.read.parquet(path), schemas.ITEMS)
+    return found.select(*schemas.ITEMS.fieldNames())
 
 
 def scan_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

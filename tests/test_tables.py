@@ -40,10 +40,11 @@ def test_items_round_trip(spark, frame, fresh_path):
     path = fresh_path()
     row = (1, "story", "a", dt.datetime(2020, 1, 1), "t", "T", None, 3, 0, None, 1, None, None, [2])
     tables.write_table(frame([row], schemas.ITEMS), path)
-    items = schemas.require_columns(tables.scan_items(spark, path), schemas.ITEMS)
+    items = tables.scan_items(spark, path)
     assert tuple(items.first()) == row
-    with pytest.raises(TypeError, match="id"):
-        schemas.require_columns(items.withColumn("id", F.lit("x")), schemas.ITEMS)
+    tables.write_table(items.withColumn("id", F.lit("x")).drop("kids"), odd := fresh_path())
+    with pytest.raises(TypeError, match="id: expected bigint, found string; kids: .* found nothing"):
+        tables.scan_items(spark, odd)
 
 
 def test_union_splits(frame):
@@ -267,6 +268,20 @@ def test_batch_score_keeps_errors_and_nulls(frame):
     assert got[2] == (None, "RuntimeError: no")
 
 
+def test_a_scorer_that_loses_rows_is_an_error(frame):
+    def short():
+        return lambda texts: [1.0] * (len(texts) - 1) if len(texts) > 1 else [2.0]
+
+    df = frame([(i, "t") for i in range(5)], "id long, text string").coalesce(1)
+    assert {r["score"] for r in batch_score(df, "id", "text", short).collect()} == {2.0}
+
+    def silent():
+        return lambda texts: []
+
+    errors = {r["error"] for r in batch_score(df, "id", "text", silent).collect()}
+    assert errors == {"ValueError: scorer returned 0 values for 1 texts"}
+
+
 def in_order():
     """Scores a text by its place in the stream."""
     count = iter(range(10_000))

@@ -13,9 +13,11 @@ itself, by its first four and five bytes and by its last five, as related words
 share these; each has a weight by its hash.  Weights are never negative: harmless
 words around an offence do not excuse it.
 
-The fit uses a bounded sample of the labelled documents: ``train_docs`` of them
-(the smallest hashes of ``doc_id``), of those as many as have ``train_words``
-features together.  Scoring reads every document.
+Only features that toxic documents have more often than chance (``LIKELIER``
+standard deviations, in at least ``LEAST_DOCS`` documents) can have a weight;
+they are counted over a bounded sample of the labelled documents, ``train_docs`` of
+them (the smallest hashes of ``doc_id``).  The weights are fitted to as many of these
+as have ``train_words`` such features together.  Scoring reads every document.
 
 Nulls: a null or empty text has no sentence and gets the score of a text without
 evidence, 0.  Unlabelled rows and null labels do not train; if a document has
@@ -37,8 +39,10 @@ from agora.llm.common import batches, spread
 from agora.llm.words import ALNUM, Block, Powers, blocks, scan
 
 BUCKETS = 1 << 19
-TRAIN_DOCS = 12_000
-TRAIN_WORDS = 16_000_000
+TRAIN_DOCS = 20_000
+TRAIN_WORDS = 4_000_000
+LEAST_DOCS = 5
+LIKELIER = 4.0
 ROUNDS = 100
 #: How much log-likelihood a unit of weight has to bring.
 LASSO = 1.0
@@ -94,30 +98,26 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(bags: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = ROUNDS, lasso: float = LASSO) -> Model:
-    """Fit to documents (buckets of the features, features per sentence, label)."""
+def fit(
+    bags: list[tuple[np.ndarray, np.ndarray, int]], guess: np.ndarray, rounds: int = ROUNDS, lasso: float = LASSO
+) -> Model:
+    """Fit to documents (buckets of the features, features per sentence, label).
+
+    ``guess`` has a log-odds ratio per bucket; where it is 0 the weight stays 0.
+    """
     labels = np.array([x[2] for x in bags], np.float64)
     if not len(bags) or labels.min() == labels.max():
         return Model(np.zeros(BUCKETS, np.float32), -40.0)
-    bucket = np.concatenate([x[0] for x in bags]).astype(np.int64)
-    size = np.concatenate([x[1] for x in bags]).astype(np.int64)
-    doc = np.repeat(np.arange(len(bags)), [len(x[1]) for x in bags])
-    sentence = np.repeat(np.arange(len(size)), size)
-    # words of too few documents teach nothing
-    pair = np.sort(bucket * len(bags) + doc[sentence])
-    pair = pair[np.concatenate(([True], pair[1:] != pair[:-1]))] if len(pair) else pair
-    seen_in = np.bincount(pair // len(bags), minlength=BUCKETS)
-    toxic_in = np.bincount(pair // len(bags), weights=labels[pair % len(bags)], minlength=BUCKETS)
-    prior = labels.mean()
-    known = seen_in >= 5
+    bucket = np.concatenate([x[0] for x in bags]).astype(np.int32)
+    size = np.concatenate([x[1] for x in bags]).astype(np.int32)
+    doc = np.repeat(np.arange(len(bags), dtype=np.int32), [len(x[1]) for x in bags])
+    sentence = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    known = guess > 0
     number = np.cumsum(known) - 1
     use = known[bucket]
-    word, sentence = number[bucket[use]], sentence[use]
+    word, sentence = number[bucket[use]].astype(np.int32), sentence[use]
     n = int(known.sum())
-    # first guess: how much likelier a toxic document is, given the word
-    seen, hits = seen_in[known], toxic_in[known]
-    odds = np.log((hits + 5 * prior) / (seen - hits + 5 * (1 - prior))) - np.log(prior / (1 - prior))
-    weights, bias = np.maximum(odds * 0.5, 0), -6.0
+    weights, bias = guess[known] * 0.5, -6.0
     m, v = np.zeros(n + 1), np.zeros(n + 1)
     for step in range(1, rounds + 1):
         z = bias + np.bincount(sentence, weights=weights[word], minlength=len(size))
@@ -126,7 +126,8 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = ROUNDS, la
         pull = np.where(labels > 0, clean / np.maximum(1 - clean, 1e-6), -1.0)  # d log-likelihood over sum of p
         slope = pull[doc] * p
         grad = np.append(
-            np.bincount(word, weights=slope[sentence], minlength=n) / len(bags) - (lasso + weights / 10) / len(bags), slope.sum() / len(bags)
+            np.bincount(word, weights=slope[sentence], minlength=n) / len(bags) - (lasso + weights / 10) / len(bags),
+            slope.sum() / len(bags),
         )
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         move = 0.08 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
@@ -136,51 +137,105 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = ROUNDS, la
     return Model(out, float(bias))
 
 
+def first_guess(seen: np.ndarray, hits: np.ndarray, docs: int, toxic: int) -> np.ndarray:
+    """Log-odds ratio of features in ``seen`` documents, ``hits`` of them toxic; 0 where it is not clearly above 0."""
+    prior = toxic / max(docs, 1)
+    if not 0 < prior < 1:
+        return np.zeros(len(seen))
+    odds = np.log((hits + 5 * prior) / (seen - hits + 5 * (1 - prior))) - np.log(prior / (1 - prior))
+    above = (hits - seen * prior) / np.sqrt(np.maximum(seen, 1) * prior * (1 - prior))
+    return np.where((seen >= LEAST_DOCS) & (above >= LIKELIER), odds, 0.0)
+
+
 def sentence_scores(found: Sentences, model: Model) -> np.ndarray:
     z = np.bincount(found.sentence, weights=model.weights[found.bucket], minlength=len(found.doc))
     return _sigmoid(z + model.bias)
 
 
-def _bags(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _occurrences(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents and toxic documents per feature, summed over what a task reads; feature -1 counts all."""
     powers = Powers()
+    seen, hits = np.zeros(BUCKETS + 1, np.int64), np.zeros(BUCKETS + 1, np.int64)
     for batch in batches(source):
+        toxic = batch.column("toxic").to_numpy() > 0
         for block in blocks(batch.column("text")):
+            docs, own = block.last - block.first, toxic[block.first : block.last]
             found = sentences(block, powers)
-            docs = block.last - block.first
-            per = np.bincount(found.sentence, minlength=len(found.doc))
-            by_doc = np.searchsorted(found.doc, np.arange(docs + 1))
-            ends = np.concatenate(([0], np.cumsum(per)))
-            words = [found.bucket[ends[a] : ends[b]] for a, b in zip(by_doc[:-1], by_doc[1:])]
-            piece = batch.slice(block.first, docs)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    piece.column("order"),
-                    piece.column("toxic").cast(pa.int32()),
-                    pa.array([len(x) for x in words], pa.int64()),
-                    pa.array([x.astype(np.int32).tobytes() for x in words], pa.binary()),
-                    pa.array([per[a:b].astype(np.int32).tobytes() for a, b in zip(by_doc[:-1], by_doc[1:])], pa.binary()),
-                ],
-                names=["order", "toxic", "n", "words", "sizes"],
-            )
+            key = np.sort(found.doc[found.sentence] * BUCKETS + found.bucket)
+            key = key[np.concatenate(([True], key[1:] != key[:-1]))] if len(key) else key
+            doc, bucket = key // BUCKETS, key % BUCKETS
+            seen[:-1] += np.bincount(bucket, minlength=BUCKETS)
+            hits[:-1] += np.bincount(bucket[own[doc]], minlength=BUCKETS)
+            seen[-1] += docs
+            hits[-1] += int(own.sum())
+    some = np.flatnonzero(seen)
+    names = ["bucket", "seen", "hits"]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.where(some == BUCKETS, -1, some), pa.int64()), pa.array(seen[some]), pa.array(hits[some])], names=names
+    )
+
+
+def _bags(sent):
+    def rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers, known = Powers(), sent.value > 0
+        for batch in batches(source):
+            for block in blocks(batch.column("text")):
+                found = sentences(block, powers)
+                docs = block.last - block.first
+                use = known[found.bucket]
+                bucket = found.bucket[use]
+                per = np.bincount(found.sentence[use], minlength=len(found.doc))
+                by_doc = np.searchsorted(found.doc, np.arange(docs + 1))
+                ends = np.concatenate(([0], np.cumsum(per)))
+                cut = list(zip(by_doc[:-1].tolist(), by_doc[1:].tolist()))
+                words = [bucket[ends[a] : ends[b]] for a, b in cut]
+                piece = batch.slice(block.first, docs)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column("order"),
+                        piece.column("toxic").cast(pa.int32()),
+                        pa.array([len(x) + b - a for x, (a, b) in zip(words, cut)], pa.int64()),
+                        pa.array([x.astype(np.int32).tobytes() for x in words], pa.binary()),
+                        pa.array([per[a:b].astype(np.int32).tobytes() for a, b in cut], pa.binary()),
+                    ],
+                    names=["order", "toxic", "n", "words", "sizes"],
+                )
+
+    return rows
 
 
 def train(
     docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_words: int = TRAIN_WORDS
 ) -> Model:
-    """Fit to a bounded sample of labelled documents; ``labels`` has doc_id and toxic."""
+    """Fit to labelled documents; ``labels`` has doc_id and toxic."""
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
+        .agg(F.max("toxic").cast("int").alias("toxic"))
         .withColumn("order", spread(F.col("doc_id")))
         .orderBy("order", "doc_id")
         .limit(train_docs)
     )
+    labelled = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most train_docs rows of three numbers
+    counted = (
+        labelled.select("toxic", "text")
+        .mapInArrow(_occurrences, "bucket long, seen long, hits long")
+        .groupBy("bucket")
+        .agg(F.sum("seen").alias("seen"), F.sum("hits").alias("hits"))
+        .where((F.col("bucket") < 0) | (F.col("hits") > 0) & (F.col("seen") >= LEAST_DOCS))
+        .toArrow()  # at most a row per bucket
+    )
+    bucket, seen, hits = (counted.column(x).to_numpy() for x in ("bucket", "seen", "hits"))
+    everything = bucket < 0
+    guess = np.zeros(BUCKETS)
+    if everything.any():
+        guess[bucket[~everything]] = first_guess(
+            seen[~everything], hits[~everything], int(seen[everything][0]), int(hits[everything][0])
+        )
+    sent = docs.sparkSession.sparkContext.broadcast(guess)
     bags = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(known), "doc_id")  # at most train_docs rows of three numbers
-        .select("order", "toxic", "text")
-        .mapInArrow(_bags, "order long, toxic int, n long, words binary, sizes binary")
+        labelled.select("order", "toxic", "text")
+        .mapInArrow(_bags(sent), "order long, toxic int, n long, words binary, sizes binary")
         .orderBy("order", "n")
         .limit(2 * train_docs)
         .withColumn("upto", F.sum("n").over(Window.orderBy("order", "n").rowsBetween(Window.unboundedPreceding, 0)))
@@ -192,7 +247,8 @@ def train(
         [
             (np.frombuffer(w, np.int32), np.frombuffer(s, np.int32), int(t > 0))
             for t, w, s in zip(*(rows.column(i).to_pylist() for i in range(3)))
-        ]
+        ],
+        guess,
     )
 
 

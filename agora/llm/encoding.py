@@ -13,6 +13,8 @@ from __future__ import annotations
 import gc
 import os
 import re
+import sys
+import types
 from collections.abc import Sequence
 
 import numpy as np
@@ -31,7 +33,7 @@ class Encoder:
     ``cached`` bounds the number of remembered chunks; beyond it they are forgotten.
     """
 
-    def __init__(self, path: str, literal_specials: bool = False, cached: int = 600_000):
+    def __init__(self, path: str, literal_specials: bool = False, cached: int = 1_200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -125,3 +127,17 @@ class Encoder:
             head if chunks is None else head + b"".join(map(known, chunks[1:]))
             for head, chunks in zip(heads, split)
         ]
+
+
+def worker_encoder(path: str, literal_specials: bool = False) -> Encoder:
+    """The encoder of this Python process.
+
+    Workers are reused from task to task, but functions arrive anew with each
+    one, so the encoder and its table of chunks hang on a module of the process.
+    """
+    home = sys.modules.setdefault("agora_llm_worker", types.ModuleType("agora_llm_worker"))
+    encoders = home.__dict__.setdefault("encoders", {})
+    key = (path, literal_specials)
+    if key not in encoders:
+        encoders[key] = Encoder(path, literal_specials)
+    return encoders[key]

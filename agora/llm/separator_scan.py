@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agora.llm.common import batches
-from agora.llm.encoding import Encoder
+from agora.llm.encoding import worker_encoder
 
 END_ID = 50256
 BLOCK_TOKENS = 1 << 16
@@ -38,7 +38,7 @@ _PIECES = "file int, block long, n_ends long, first long, tail long, inner array
 
 def _blocks(path: str, end_id: int, block_tokens: int):
     def rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, literal_specials=True)
+        encoder = worker_encoder(path, literal_specials=True)
         small = max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
         kind, file = (np.uint16 if small else np.uint32), TaskContext.get().partitionId()
         end = np.array([end_id], np.uint32).tobytes()

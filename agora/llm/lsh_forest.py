@@ -50,6 +50,8 @@ TREES = 24
 STEP = 4
 DEPTHS = (3, 5, 8, 12, 20, 36, 68)
 REGION_SHINGLES = 1_000_000
+#: Values by which a region's nodes are ordered.
+ORDERED = 16
 _VALUES = TREES * STEP
 _SEEDS = mix(np.arange(1, 2 * _VALUES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
@@ -171,21 +173,14 @@ def _resolve(group: pa.Table) -> pa.Table:
 def _regions(nodes: DataFrame, region_shingles: int) -> tuple[DataFrame, DataFrame | None]:
     """Members of all regions (key, node, order, members), and candidates (a, b) from regions that were cut."""
     circle = F.concat("signature", "signature")
-    each = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(t).alias("tree"), F.substring(circle, 4 * STEP * t + 1, 4 * _VALUES).alias("order"))
-                for t in range(TREES)
-            ]
-        )
-    )
-    prefix = lambda depth: F.substring(F.col("order"), 1, 4 * depth)
-    wide = nodes.select("node", F.col("n").alias("weight"), each.alias("t")).select("node", "weight", "t.tree", "t.order")
-    level = wide.select(F.xxhash64("tree", prefix(DEPTHS[0])).alias("key"), "node", "weight", "tree", "order")
+    values = lambda count, tree: F.substring(circle, 4 * STEP * tree + 1, 4 * count)
+    prefixes = F.array(*[F.xxhash64(F.lit(t), values(DEPTHS[0], F.lit(t))) for t in range(TREES)])
+    signatures = nodes.select("node", "signature")
+    level = nodes.select("node", F.col("n").alias("weight"), F.posexplode(prefixes).alias("tree", "key"))
     found: list[DataFrame] = []
     stars: list[DataFrame] = []
-    for step, depth in enumerate(DEPTHS):
-        last = step == len(DEPTHS) - 1
+    # only ids move until the regions are known; signatures are fetched for members of regions
+    for step in range(len(DEPTHS)):
         sizes = stage(
             level.groupBy("key")
             .agg(F.count("*").alias("members"), F.sum("weight").alias("total"), F.min("node").alias("centre"))
@@ -194,24 +189,25 @@ def _regions(nodes: DataFrame, region_shingles: int) -> tuple[DataFrame, DataFra
         )
         light = (F.col("total") <= region_shingles) | (F.col("members") == 2)
         heavy = sizes.where(~light)
-        found.append(level.join(sizes.where(light).select("key", "members"), "key").select("key", "node", "order", "members"))
+        found.append(level.join(sizes.where(light).select("key", "members"), "key").select("key", "node", "tree", "members"))
         if not heavy.take(1):
             break
         inner = level.join(heavy.select("key", "centre", "members"), "key")
         stars.append(inner.where(F.col("node") != F.col("centre")).select(F.col("centre").alias("a"), F.col("node").alias("b")))
-        if last:  # equal in this many values: chains over hashed parts, next to the star around the centre
+        if step == len(DEPTHS) - 1:  # equal in this many values: chains over hashed parts, next to the star
             part = F.xxhash64("key", F.pmod(F.col("node"), F.ceil(F.col("members") / 1000)))
-            found.append(inner.select(part.alias("key"), "node", "order", F.lit(2).cast("long").alias("members")))
+            found.append(inner.select(part.alias("key"), "node", "tree", F.lit(2).cast("long").alias("members")))
             break
-        deeper = F.xxhash64("key", prefix(DEPTHS[step + 1])).alias("key")
-        level = stage(inner.select(deeper, "node", "weight", "tree", "order"), "region-members")
+        deeper = F.xxhash64("key", values(DEPTHS[step + 1], F.col("tree"))).alias("key")
+        level = stage(inner.join(signatures, "node").select(deeper, "node", "weight", "tree"), "region-members")
     members = found[0]
     for more in found[1:]:
         members = members.unionByName(more)
     star = None
     for more in stars:
         star = more if star is None else star.unionByName(more)
-    return members, star
+    order = values(ORDERED, F.col("tree")).alias("order")
+    return members.join(signatures, "node").select("key", "node", "members", order), star
 
 
 def near_duplicates(docs: DataFrame, region_shingles: int = REGION_SHINGLES) -> DataFrame:

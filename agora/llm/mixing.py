@@ -31,7 +31,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agora.llm.common import running_start
+from agora.llm.common import running_start, shuffle_parts
 from agora.sources.staging import stage
 
 BLOCK_WORDS = 32
@@ -41,7 +41,7 @@ SHARE = 1.5
 MOST = 2
 ROUNDS = 10
 #: Documents (and shards) of a source that one task orders at a time.
-PIECE_ROWS = 20_000
+PIECE_ROWS = 2_000
 
 
 class Mix(NamedTuple):
@@ -187,6 +187,7 @@ def mix(
     numbered = running_start(draws, ["rank"], "piece", ["shard"], "slots", "first")
     taken = (
         numbered.where(F.col("slots") > 0)
+        .repartition(shuffle_parts(docs.sparkSession), "rank", "shard")  # few rows that become many
         .select("rank", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("slots") - 1)).alias("slot"))
         .join(sources.select("rank", "blocks"), "rank")
         .where(F.col("slot") < F.col("blocks") * most)

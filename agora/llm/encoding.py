@@ -33,7 +33,7 @@ class Encoder:
     ``cached`` bounds the number of remembered chunks; beyond it they are forgotten.
     """
 
-    def __init__(self, path: str, literal_specials: bool = False, cached: int = 1_200_000):
+    def __init__(self, path: str, literal_specials: bool = False, cached: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 

@@ -42,7 +42,7 @@ WINDOW = 13
 SHARE = 20
 SAMPLE = 16
 BLOCK_WORDS = 2_000_000
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 3 << 19
 
 HITS = "doc_id long, n_words long, n_hit long, spans array<struct<start:int,end:int>>, items array<bigint>"
 

@@ -250,9 +250,11 @@ def mixed_documents(docs: DataFrame, mixed: Mix, block_words: int = BLOCK_WORDS)
         F.col("row_key").alias("_key"), F.col("size").alias("_size"), "runs", "got"
     )
     words = F.regexp_extract_all(F.col("text"), F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
-    cut = F.array_join(
-        F.flatten(F.transform("runs", lambda r: F.slice(words, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))), " "
+    # the words are an argument of the inner function, or they would be cut out again for each run
+    pick = lambda w: F.flatten(
+        F.transform("runs", lambda r: F.slice(w, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))
     )
+    cut = F.array_join(F.element_at(F.transform(F.array(words), pick), 1), " ")
     # rows with the same id and text share a key and differ at most in their source: one of them stands for all
     joined = docs.withColumn("_key", F.xxhash64("doc_id", "text")).dropDuplicates(["_key"]).join(chosen, "_key")
     text = F.when(F.col("got") == F.col("_size"), F.col("text")).otherwise(cut)

@@ -138,14 +138,14 @@ def op10_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = """
 with usable as (
-  select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as v
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
   from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ),
 scored as (
   select q.vec_id as query_id, r.vec_id,
-    cast(list_sum(list_transform(range(1, len(r.v) + 1), i -> q.v[i] * r.v[i])) as bigint) as score
+    cast(list_sum(list_transform(range(1, len(r.v) + 1), lambda i: q.v[i] * r.v[i])) as bigint) as score
   from usable q join usable r on q.vec_id % 50 = 0 and r.vec_id <> q.vec_id
 ),
 ranked as (

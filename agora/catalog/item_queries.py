@@ -473,6 +473,15 @@ def sample_n(spark, sf_dir):
     return sampling.sample_n(items(spark, sf_dir).select("id", "type"), 1500)
 
 
+@query("sample_nullable", oracle("items") + f"""
+select key, type from (select case when parent is not null then id end as key, type from items)
+where key is not null order by {unit_sql('key')}, key limit 700""")
+def sample_nullable(spark, sf_dir):
+    """Rows without a key are never sampled."""
+    key = F.when(F.col("parent").isNotNull(), F.col("id")).alias("key")
+    return sampling.sample_n(items(spark, sf_dir).select(key, "type"), 700, "key")
+
+
 @query("sample_per_split", oracle("items") + f"""
 select id, split from (
   select *, row_number() over (partition by split order by u, id) as rn

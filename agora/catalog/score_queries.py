@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from agora import fixed_values as fixed
 from agora.catalog.item_queries import split_sql, unit_sql
 from agora.catalog.registry import query
-from agora.catalog.views import oracle, table, view
+from agora.catalog.views import items, oracle, table, view
 from agora.functions import prompts, rewards, text
 from agora.functions.stories import (
     parse_iso_time, request_problem, score_request, serialize_story, with_link,
@@ -173,6 +173,33 @@ def distribution_summary(spark, sf_dir):
     return _rounded(found, "mean", "p5", "median", "p95", "std_dev")
 
 
+_PLACES = ", ".join(
+    f"""max(case when i = floor({p} * (n - 1)) then x end) as low{k},
+    max(case when i = ceil({p} * (n - 1)) then x end) as high{k}, max({p} * (n - 1)) as at{k}"""
+    for k, p in enumerate(distributions.SUMMARY_PROBS)
+)
+_BETWEEN = ", ".join(
+    f"""case when low{k} = high{k} or low{k} = '-infinity'::double then low{k}
+    else round(low{k} + (high{k} - low{k}) * (at{k} - floor(at{k})), 6) end as {name}"""
+    for k, name in enumerate(("p5", "median", "p95"))
+)
+
+
+@query("log_score_summary", oracle("items") + f"""
+, ranked as (
+  select x, row_number() over (order by x) - 1 as i, count(*) over () as n
+  from (select case when score > 30 then ln(score - 30) else '-infinity'::double end as x
+        from items where score >= 0)
+), places as (select {_PLACES} from ranked)
+select {_BETWEEN} from places""")
+def log_score_summary(spark, sf_dir):
+    """Percentiles of the logarithm of points beyond 30; none at all counts as -inf."""
+    beyond = F.greatest(F.col("score") - 30, F.lit(0)).alias("score")
+    rows = items(spark, sf_dir).where(F.col("score") >= 0).select(beyond)
+    found = distributions.distribution_summary(metrics.with_log_score(rows), "log_score")
+    return _rounded(found, "p5", "median", "p95").select("p5", "median", "p95")
+
+
 @query("mean_by_group", oracle("scored_rows") + """
 select grp, round(avg(predictions), 6) as avg_reward from scored_rows group by grp""")
 def mean_by_group(spark, sf_dir):

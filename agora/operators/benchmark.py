@@ -38,7 +38,7 @@ def benchmark_summary(results: DataFrame) -> DataFrame:
     medians = percentiles_of_staged(results, ["model"], "score", [0.5])
     return (
         # One row per model.
-        means.join(F.broadcast(medians), "model", "left")
+        means.join(medians, "model", "left")
         .withColumn("median_score", F.coalesce("p0", F.lit(0.0)))
         .drop("p0")
     )

@@ -81,7 +81,7 @@ def _summary(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     same = [shape[k].eqNullSafe(cuts[f"_{k}"]) for k in keys]
     on = reduce(Column.__and__, same, F.lit(True))
     # One row per group on both sides.
-    joined = shape.join(F.broadcast(cuts), on, "left")
+    joined = shape.join(cuts, on, "left")
     return joined.select(*keys, "mean", "p5", "median", "p95", "std_dev")
 
 

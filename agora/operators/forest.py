@@ -22,25 +22,22 @@ from agora.functions.text import unescape_html
 from agora.operators.joins import attach, keep_in
 from agora.sources.staging import stage
 
-#: Longest chain ``ancestor_paths`` follows before it reports a cycle.
-MAX_CHAIN = 1 << 16
-
-
 # --- ranks and sibling counts ----------------------------------------------
 
 
 def _ranked(kids: Column) -> Column:
     """(id, rank) entries of one list; an id listed twice keeps its last place."""
-    unique = F.array_distinct(kids)
     plain = F.transform(kids, lambda k, i: F.struct(k.alias("id"), (i + 1).alias("rank")))
+    # in order of id and rank, the last one of each id; the sorted list is an
+    # argument of the inner function so that it is sorted once
     last = F.transform(
-        unique,
-        lambda k: F.struct(
-            k.alias("id"),
-            (F.size(kids) + 1 - F.array_position(F.reverse(kids), k)).cast("int").alias("rank"),
+        F.array(F.array_sort(plain)),
+        lambda ordered: F.filter(
+            ordered, lambda k, i: ~F.get(ordered, i + 1)["id"].eqNullSafe(k["id"])
         ),
     )
-    return F.when(F.size(unique) == F.size(kids), plain).otherwise(last)
+    repeats = F.size(F.array_distinct(kids)) < F.size(kids)
+    return F.when(repeats, F.element_at(last, 1)).otherwise(plain)
 
 
 def kid_ranks(items: DataFrame) -> DataFrame:
@@ -163,7 +160,11 @@ def thread_closure(
 
 
 def ancestor_paths(items: DataFrame) -> DataFrame:
-    """``(id, path)``: ids from the direct parent up to below the story, nearest first."""
+    """``(id, path)``: ids from the direct parent up to below the story, nearest first.
+
+    A comment that turns up among its own ancestors is on a cycle, an error; every
+    cycle has such a comment once paths are as long as the cycle.
+    """
     inner = F.col("parent").isNotNull() & ~F.col("parent").eqNullSafe(F.col("top_level_parent"))
     ids = T.ArrayType(T.LongType())
     start = items.select(
@@ -184,7 +185,7 @@ def ancestor_paths(items: DataFrame) -> DataFrame:
         combine=(
             F.col("id"),
             F.col("tip_tip").alias("tip"),
-            F.when(F.size("path") > MAX_CHAIN, too_long.cast(ids)).otherwise(longer).alias("path"),
+            F.when(F.array_contains(longer, F.col("id")), too_long.cast(ids)).otherwise(longer).alias("path"),
         ),
         is_open=F.col("tip").isNotNull(),
     ).select("id", "path")

@@ -7,8 +7,7 @@ It can do so only where both sides of the join come straight out of a shuffle.
 An aggregate joined back on its own keys does not, as its partitioning is
 reused; ``attach`` is the join for that case.
 
-Nothing is broadcast by hand unless its rows have been counted; otherwise the
-planner broadcasts on measured sizes.
+Nothing is broadcast by hand: the planner does so on measured sizes.
 """
 
 from __future__ import annotations
@@ -20,10 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-#: Ids up to this number may be broadcast, about 8 MB.
-BROADCAST_IDS = 1_000_000
-
-
 def attach(df: DataFrame, facts: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join facts that were aggregated per key to all rows of their key.
 
@@ -36,17 +31,6 @@ def attach(df: DataFrame, facts: DataFrame, keys: list[str], how: str = "left")
     return df.join(named, reduce(Column.__and__, same), how).drop(*[f"_fact_{k}" for k in keys])
 
 
-def keep_posts(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """Drop rows whose value is not in the (distinct) ids, if that takes no shuffle.
-
-    Beyond a million ids the rows stay as they are: a later join on the same
-    column leaves the others out anyway, at the price of moving them.
-    """
-    if ids.limit(BROADCAST_IDS + 1).count() > BROADCAST_IDS:
-        return df
-    return df.join(F.broadcast(_keys(ids, column)), column, "left_semi")
-
-
 def _keys(ids: DataFrame, column: str) -> DataFrame:
     """The first column of ``ids`` under the name to join on."""
     return ids.select(F.col(ids.columns[0]).alias(column))

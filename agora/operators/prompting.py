@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agora.functions.prompts import author_and_text, comment_xml, story_content, xml_text
 from agora.operators.forest import paths_of
-from agora.operators.joins import keep_in, keep_posts
+from agora.operators.joins import keep_in
 from agora.sources.staging import stage
 
 # Places of a prompt's parts; ancestors have 0 and up.
@@ -35,7 +35,7 @@ def prompt_parts(ids: DataFrame, items: DataFrame) -> DataFrame:
         paths_of(wanted, items).select("id", F.inline(F.concat(others, ancestors))), "steps"
     )
     fields = ("by", "text", "title", "url")
-    posts = keep_posts(items.select("id", *fields), "id", steps.select("post").distinct())
+    posts = keep_in(items.select("id", *fields), "id", steps.select("post").distinct())
     posts = posts.select(F.col("id").alias("post"), *[xml_text(F.col(c)).alias(c) for c in fields])
 
     def or_empty(name: str):

@@ -1,78 +1,66 @@
-"""Exact percentiles without gathering a group in one task.
+"""Exact percentiles without gathering a group in one task or on the driver.
 
 ``percentile`` keeps every distinct value of a group in one task's memory.
 Here the wanted order statistics are closed in on instead.  Each round splits
 the value range that holds a statistic into equal buckets, counts them (a
 partial aggregate), and goes on inside the one bucket where it lies, whose
 true minimum and maximum become the next range.  A range of one value ends
-the search.  With up to 1,024 buckets per round a few narrow passes settle any
-number of rows.  All that ever meets in one place is bucket counts, at most
-``MAX_COUNTS`` of them per round.
+the search.  The ends of a range lie in different buckets, so every round
+makes every open range smaller, and with ``BUCKETS`` buckets a few narrow passes
+settle any number of rows.  Groups, ranges and results are tables joined by
+group: any number of groups will do.
+
+Infinite values are ranks of their own below and above all others.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from agora.sources.staging import stage
 
 BUCKETS = 1024
-MAX_COUNTS = 1 << 20
-MAX_GROUPS = 10_000
-_RANGES = T.StructType(
-    [
-        T.StructField("gid", T.IntegerType()),
-        T.StructField("lo", T.DoubleType()),
-        T.StructField("hi", T.DoubleType()),
-    ]
-)
-
-
-def _bucket_counts(values: DataFrame, spark: SparkSession, ranges: set) -> dict:
-    """Bucket statistics of each (gid, lo, hi) range, keyed by range."""
-    # At most a few ranges per group and at most MAX_GROUPS groups.
-    table = F.broadcast(spark.createDataFrame(sorted(ranges), _RANGES))
-    buckets = max(2, min(BUCKETS, MAX_COUNTS // len(ranges)))
-    step = (F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets
-    rows = (
-        values.join(table, "gid")
-        .where(F.col("x").between(F.col("lo"), F.col("hi")))
-        .groupBy("gid", "lo", "hi", F.least(F.floor(step), F.lit(buckets - 1)).alias("bucket"))
-        .agg(F.count("x").alias("n"), F.min("x").alias("first"), F.max("x").alias("last"))
-        .collect()
+_INF = float("inf")
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    return reduce(Column.__and__, [left[n].eqNullSafe(right[f"_r_{n}"]) for n in names], F.lit(True))
+
+
+def _renamed(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({n: f"_r_{n}" for n in names})
+
+
+def _narrowed(values: DataFrame, open_: DataFrame, groups: list[str]) -> DataFrame:
+    """Open searches with the bucket of their range in which their place lies as the new range."""
+    span = [*groups, "lo", "hi"]
+    ranges = _renamed(open_.select(*span).distinct(), groups)
+    inside = values.join(ranges, _same(values, ranges, groups) & F.col("x").between(F.col("lo"), F.col("hi")))
+    wide = F.col("hi") - F.col("lo")
+    # halves keep the width finite where the ends are far apart
+    part = F.when(
+        F.abs(wide) == _INF, (F.col("x") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+    ).otherwise((F.col("x") - F.col("lo")) / wide)
+    counts = inside.groupBy(*span, F.least(F.floor(part * BUCKETS), F.lit(BUCKETS - 1)).alias("bucket")).agg(
+        F.count("x").alias("n"), F.min("x").alias("first"), F.max("x").alias("last")
+    )
+    # at most BUCKETS rows to a range
+    upto = F.sum("n").over(
+        Window.partitionBy(*span).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    counts = _renamed(counts.withColumn("upto", upto), span)
+    holds = (F.col("place") < F.col("upto")) & (F.col("place") >= F.col("upto") - F.col("n"))
+    return open_.join(counts, _same(open_, counts, span) & holds).select(
+        *groups,
+        "prob",
+        "side",
+        (F.col("place") - (F.col("upto") - F.col("n"))).alias("place"),
+        F.col("first").alias("lo"),
+        F.col("last").alias("hi"),
     )
-    found: dict[tuple, list[Row]] = {}
-    for row in sorted(rows, key=lambda r: r["bucket"]):
-        found.setdefault((row["gid"], row["lo"], row["hi"]), []).append(row)
-    return found
-
-
-def _order_statistics(
-    values: DataFrame, spark: SparkSession, spans: dict[int, tuple], wanted: set
-) -> dict[tuple[int, int], float]:
-    """Values at 0-based places; ``wanted`` holds (gid, place)."""
-    open_ = {(g, k): (spans[g][0], spans[g][1], k) for g, k in wanted}
-    solved: dict[tuple[int, int], float] = {}
-    while open_:
-        for key, (lo, hi, _) in list(open_.items()):
-            if lo == hi:
-                solved[key] = lo
-                del open_[key]
-        if not open_:
-            break
-        ranges = {(key[0], lo, hi) for key, (lo, hi, _) in open_.items()}
-        buckets = _bucket_counts(values, spark, ranges)
-        for key, (lo, hi, place) in open_.items():
-            for row in buckets[(key[0], lo, hi)]:
-                if place < row["n"]:
-                    open_[key] = (row["first"], row["last"], place)
-                    break
-                place -= row["n"]
-    return solved
 
 
 def exact_percentiles(
@@ -81,8 +69,9 @@ def exact_percentiles(
     """``keys`` plus one double column per entry of ``probs``, named ``p0``, ``p1``, ...
 
     Linear interpolation between order statistics; nulls are skipped and a NaN
-    makes the group's results NaN.  Meant for few groups (models, metrics).
-    The values are staged, so ``df`` is evaluated once.
+    makes the group's results NaN.  Between an infinite and a finite value lies
+    the infinite one, between both infinities NaN.  The values are staged, so
+    ``df`` is evaluated once.
     """
     return percentiles_of_staged(stage(df.select(*keys, value), "values"), keys, value, probs)
 
@@ -91,50 +80,67 @@ def percentiles_of_staged(
     df: DataFrame, keys: list[str], value: str, probs: list[float]
 ) -> DataFrame:
     """``exact_percentiles`` of a table that is cheap to read several times."""
-    spark = df.sparkSession
-    plain = df.select(*keys, F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull())
-    spans = (
-        plain.groupBy(*keys)
-        .agg(
+    groups = [f"_g{i}" for i in range(max(len(keys), 1))]
+    named = [F.col(k).alias(g) for k, g in zip(keys, groups)] or [F.lit(0).alias(groups[0])]
+    plain = df.select(*named, F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull())
+    x = F.col("x")
+    finite = ~F.isnan(x) & (F.abs(x) != _INF)
+    values = plain.where(finite)
+    spans = stage(
+        plain.groupBy(*(groups if keys else [])).agg(
             F.count("x").alias("n"),
-            F.min("x").alias("lo"),
-            F.max("x").alias("hi"),
-            F.max(F.isnan("x")).alias("has_nan"),
-        )
-        .limit(MAX_GROUPS + 1)
-        .collect()
+            F.count(F.when(x == -_INF, 1)).alias("below"),
+            F.count(F.when(finite, 1)).alias("finite"),
+            F.min(F.when(finite, x)).alias("lo"),
+            F.max(F.when(finite, x)).alias("hi"),
+            F.max(F.isnan(x)).alias("has_nan"),
+        ),
+        "spans",
     )
-    if len(spans) > MAX_GROUPS:
-        raise ValueError(f"exact_percentiles is meant for at most {MAX_GROUPS} groups")
-
-    key_fields = [df.schema[k] for k in keys]
-    ids = T.StructType([*key_fields, T.StructField("gid", T.IntegerType())])
-    groups = [(*[row[k] for k in keys], gid) for gid, row in enumerate(spans)]
-    same = F.lit(True)
-    numbered = F.broadcast(spark.createDataFrame(groups, ids))
-    if keys:
-        for key in keys:
-            same = same & plain[key].eqNullSafe(numbered[key])
-        values = plain.join(numbered, same).select("gid", "x")
-    else:
-        values = plain.select(F.lit(0).alias("gid"), "x")
-
-    clean = {g: row for g, row in enumerate(spans) if row["n"] and not row["has_nan"]}
-    places = {(g, p): p * (row["n"] - 1) for g, row in clean.items() for p in probs}
-    wanted = {(g, at) for (g, _), h in places.items() for at in (math.floor(h), math.ceil(h))}
-    at = _order_statistics(
-        values, spark, {g: (row["lo"], row["hi"]) for g, row in clean.items()}, wanted
+    if not keys:
+        spans = spans.withColumn(groups[0], F.lit(0))
+    wanted = []
+    for i, p in enumerate(probs):
+        height = F.lit(float(p)) * (F.col("n") - 1)
+        for side, place in ((0, F.floor(height)), (1, F.ceil(height))):
+            wanted.append(F.struct(F.lit(i).alias("prob"), F.lit(side).alias("side"), place.cast("long").alias("place")))
+    beyond = F.when(F.col("w.place") < F.col("below"), F.lit(-_INF)).when(
+        F.col("w.place") >= F.col("below") + F.col("finite"), F.lit(_INF)
     )
-
-    def percentile(gid: int, prob: float) -> float | None:
-        if gid not in clean:
-            return float("nan") if spans[gid]["n"] else None
-        h = places[gid, prob]
-        low, high = at[gid, math.floor(h)], at[gid, math.ceil(h)]
-        return low + (high - low) * (h - math.floor(h))
-
-    out = T.StructType(
-        [*key_fields, *[T.StructField(f"p{i}", T.DoubleType()) for i in range(len(probs))]]
+    table = stage(
+        spans.where((F.col("n") > 0) & ~F.col("has_nan"))
+        .withColumn("w", F.explode(F.array(*wanted)))
+        .select(
+            *groups,
+            "w.prob",
+            "w.side",
+            (F.col("w.place") - F.col("below")).alias("place"),
+            F.coalesce(beyond, F.col("lo")).alias("lo"),
+            F.coalesce(beyond, F.col("hi")).alias("hi"),
+        ),
+        "places",
     )
-    result = [(*group[:-1], *[percentile(group[-1], p) for p in probs]) for group in groups]
-    return spark.createDataFrame(result, out)
+    is_open = F.col("lo") < F.col("hi")
+    done = []
+    while not (still := table.where(is_open)).isEmpty():
+        done.append(table.where(~is_open))
+        table = stage(_narrowed(values, still, groups), "places")
+    solved = reduce(DataFrame.unionByName, [*done, table])
+    picks = [
+        F.max(F.when((F.col("prob") == i) & (F.col("side") == side), F.col("lo"))).alias(f"_at{i}_{side}")
+        for i in range(len(probs))
+        for side in (0, 1)
+    ]
+    found = _renamed(solved.groupBy(*groups).agg(*picks), groups)
+    joined = spans.join(found, _same(spans, found, groups), "left")
+
+    def percentile(i: int, p: float) -> Column:
+        low, high = F.col(f"_at{i}_0"), F.col(f"_at{i}_1")
+        height = F.lit(float(p)) * (F.col("n") - 1)
+        between = low + (high - low) * (height - F.floor(height))
+        one_end = F.when(low == high, low).when((low == -_INF) & (high == _INF), float("nan"))
+        settled = one_end.when(low == -_INF, low).when(high == _INF, high).otherwise(between)
+        return F.when(F.col("has_nan"), F.lit(float("nan"))).otherwise(settled).alias(f"p{i}")
+
+    out = [F.col(g).alias(k) for g, k in zip(groups, keys)]
+    return joined.select(*out, *[percentile(i, p) for i, p in enumerate(probs)])

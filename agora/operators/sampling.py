@@ -18,9 +18,6 @@ from agora import fixed_values as fixed
 
 _SPACE = 2.0**32
 
-#: Up to this many (unit, id) rows are ordered at once to find a sample's last row.
-ORDERED_ROWS = 1_000_000
-
 
 def hash_unit(key: Column, seed: int = fixed.SAMPLE_SEED) -> Column:
     """A number in [0, 1) from the first 32 bits of md5 over ``seed:key``."""
@@ -31,13 +28,14 @@ def hash_unit(key: Column, seed: int = fixed.SAMPLE_SEED) -> Column:
 def split_label(
     key: Column, weights=fixed.SPLIT_WEIGHTS, seed: int = fixed.SAMPLE_SEED
 ) -> Column:
+    """Split of a key by its hash; a null key belongs to no split and gets null."""
     unit, label, upto = hash_unit(key, seed), None, 0.0
     for name, weight in weights[:-1]:
         upto = round(upto + weight, 9)
         test = unit < upto
         label = F.when(test, name) if label is None else label.when(test, name)
     last = F.lit(weights[-1][0])
-    return last if label is None else label.otherwise(last)
+    return F.when(unit.isNotNull(), last if label is None else label.otherwise(last))
 
 
 def split_by_group(
@@ -70,12 +68,13 @@ def _any(conditions: list[Column]) -> Column:
 def _nth_keys(keys: DataFrame, sizes: dict[str, int]) -> dict[str, tuple | None]:
     """(u, id) of the n-th row in each group of ``(grp, u, id)``; None where rows run out.
 
-    Hash units are uniform, so the n-th of N lies close to n/N and only rows
-    around there are ordered: those below a little more than n/N, or, for a
-    large n, a narrow window whose lower rows are merely counted.  Should a
-    window miss the row, it is widened and the step repeated.
+    Hash units are uniform, so the n-th of N lies close to n/N and only rows in
+    a narrow window around there are ordered; those below it are merely counted.
+    Should a window miss the row, it is widened and the step repeated, until it
+    covers all units.  Rows without id have no unit and are no part of a sample.
     """
     wanted = {g: n for g, n in sizes.items() if n > 0}
+    keys = keys.where(F.col("u").isNotNull())
     totals = _counts(keys.where(F.col("grp").isin(list(wanted))))
     found: dict[str, tuple | None] = {g: None for g, n in wanted.items() if totals.get(g, 0) <= n}
     todo = {g: 8 * n**0.5 + 32 for g, n in wanted.items() if g not in found}
@@ -83,7 +82,7 @@ def _nth_keys(keys: DataFrame, sizes: dict[str, int]) -> dict[str, tuple | None]
     while todo:
         windows = {
             g: (
-                max(0.0, (wanted[g] - margin) / totals[g]) if wanted[g] > ORDERED_ROWS else 0.0,
+                max(0.0, (wanted[g] - margin) / totals[g]),
                 (wanted[g] + margin) / totals[g],
             )
             for g, margin in todo.items()
@@ -106,7 +105,7 @@ def _nth_keys(keys: DataFrame, sizes: dict[str, int]) -> dict[str, tuple | None]
 
 def _up_to(unit: Column, id_col: Column, last: tuple | None) -> Column:
     if last is None:
-        return F.lit(True)
+        return unit.isNotNull()
     u, key = last
     return (unit < u) | ((unit == u) & (id_col <= key))
 

@@ -54,9 +54,9 @@ def write_splits(
 def write_csv_report(df: DataFrame, path: str) -> None:
     """A ranked report as CSV with a header; quotes are doubled, whitespace is kept.
 
-    Meant for results that already carry a limit, hence the single file.
+    A report that was sorted and limited is one file, any other as many as it has partitions.
     """
-    df.coalesce(1).write.mode("overwrite").csv(
+    df.write.mode("overwrite").csv(
         path,
         header=True,
         quote='"',

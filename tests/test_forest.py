@@ -80,25 +80,26 @@ def test_levels_with_gaps_cycles_and_nulls(frame):
     assert found == {1: 0, 2: 1, 3: -1, 4: -1, 5: -1, 6: -1, 7: -1, 8: -1, 9: 1, 10: -1}
 
 
-def closure_by_hand(rows, max_rank, rounds):
-    kept = {i for i, p, r, k in rows if k <= max_rank and p == r}
-    for _ in range(rounds):
-        more = kept | {i for i, p, r, k in rows if k <= max_rank and p in kept}
-        if more == kept:
-            break
-        kept = more
-    return kept
-
-
 @pytest.mark.parametrize("seed,rounds", [(4, 6), (5, 2), (6, 0)])
-def test_closure_matches_rounds(frame, seed, rounds):
+def test_closure_holds_chains_of_well_ranked_comments(frame, seed, rounds):
     rng = random.Random(seed)
     rows = [(*e, rng.choice([-1, 1, 1, 2, 3, 4])) for e in random_forest(seed, deep=0.7)]
     found = forest.thread_closure(
         frame(rows, EDGE + ", sibling_rank int"), max_rank=3, rounds=rounds
     )
     ids = {row["id"] for row in found.collect()}
-    assert ids == closure_by_hand(rows, 3, rounds)
+    of = {i: (p, r, k) for i, p, r, k in rows}
+
+    def depth(i):
+        """Replies between a comment and its story if all of them are well ranked."""
+        steps = 0
+        while i in of and of[i][2] <= 3 and steps <= len(of):
+            if of[i][0] == of[i][1]:
+                return steps
+            i, steps = of[i][0], steps + 1
+        return None
+
+    assert ids == {i for i in of if depth(i) is not None and depth(i) <= rounds}
 
 
 @pytest.mark.parametrize("seed", [7, 8])
@@ -121,13 +122,21 @@ def test_chains_match_walk(frame, seed):
     assert {r["id"]: tuple(map(tuple, r["chain"])) for r in found} == {i: walk(i) for i in asked}
 
 
-def test_endless_chain_is_reported(frame, monkeypatch):
-    monkeypatch.setattr(forest, "MAX_CHAIN", 64)
-    edges = frame([(1, 2, 0), (2, 1, 0)], EDGE)
+@pytest.mark.parametrize("length", [1, 2, 3, 7])
+def test_endless_chain_is_reported(frame, length):
+    circle = [(i, i % length + 1, 0) for i in range(1, length + 1)]
+    edges = frame([*circle, (100, 1, 0), (101, 100, 0)], EDGE)
     with pytest.raises(Exception, match="cycle"):
         forest.ancestor_paths(edges).collect()
 
 
+def test_a_list_with_many_repeats_is_settled_in_one_sort(frame):
+    kids = [k for k in range(30_000) for _ in (0, 1)]
+    items = frame([(1, kids), (2, [7, None, 7])], "id long, kids array<long>")
+    ranks = collected(forest.kid_ranks(items).where("id is not null"), "sibling_rank")
+    assert ranks == {k: 2 * k + 2 for k in range(30_000)} | {7: 3}
+
+
 def test_kid_ranks(frame):
     items = frame([(1, [11, 12, 11]), (2, [12, 13]), (3, None), (4, [])], "id long, kids array<long>")
     # 11 is listed twice by 1, 12 by 1 and 2: the last mention holds.

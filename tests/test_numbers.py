@@ -140,3 +140,32 @@ def test_value_counts(frame):
     df = frame([("x",), ("x",), (None,)], "v string")
     got = [tuple(r) for r in trends.value_counts(df, "v", pct=True).collect()]
     assert got == [("x", 2, 66.67), (None, 1, 33.33)]
+
+
+def test_percentiles_with_infinities_and_far_ends(frame):
+    inf = float("inf")
+    groups = {
+        "low": [-inf, 2.0, 3.0, 4.0],
+        "both": [-inf, -inf, 0.0, inf, inf],
+        "far": [-1e308, -1.0, 0.0, 1.0, 1e308],
+        "tiny": [5e-324, 1e-323, 1.0],
+        "nan": [1.0, float("nan"), inf],
+        "only": [inf, inf],
+        "none": [None],
+    }
+    rows = [(g, v) for g, values in groups.items() for v in values]
+    got = exact_percentiles(frame(rows, "g string, x double"), ["g"], "x", [0.0, 0.5, 1.0]).collect()
+    found = {r["g"]: (r["p0"], r["p1"], r["p2"]) for r in got}
+    assert found["low"] == (-inf, 2.5, 4.0)
+    assert found["both"] == (-inf, 0.0, inf)
+    assert found["far"] == (-1e308, 0.0, 1e308)
+    assert found["tiny"] == (5e-324, 1e-323, 1.0)
+    assert all(str(x) == "nan" for x in found["nan"])
+    assert found["only"] == (inf, inf, inf)
+    assert "none" not in found
+
+
+def test_percentiles_of_many_groups(spark):
+    df = spark.range(150_000).selectExpr("id % 50000 as g", "cast(id as double) as x")
+    got = exact_percentiles(df, ["g"], "x", [0.5])
+    assert got.count() == 50_000 and got.where("p0 <> g + 50000").count() == 0

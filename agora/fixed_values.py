@@ -66,3 +66,17 @@ Your step-by-step reasoning here...
 Here is the submission:
 
 """
+
+# Columns of the story dataset.
+STORY_COLUMNS = (
+    "id", "title", "by", "text", "score", "descendants", "time", "log_score", "serialized", "split"
+)
+
+# Tags of the tag reward, points per tag and per trailing character.
+REASONING_OPEN = "<reasoning>\n"
+REASONING_CLOSE = "\n</reasoning>\n"
+ANSWER_OPEN = "\n<answer>\n"
+ANSWER_CLOSE_LINE = "\n</answer>\n"
+ANSWER_CLOSE = "\n</answer>"
+TAG_POINTS = 0.125
+TRAILING_POINTS = 0.001

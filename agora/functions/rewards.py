@@ -46,13 +46,14 @@ def reward_tag_count(completion: Column) -> Column:
     def trailing(tag: str) -> Column:
         return F.length(F.split_part(completion, F.lit(tag), F.lit(-1)))
 
-    eighth, zero = F.lit(0.125), F.lit(0.0)
-    open_answer, close_line, close = "\n<answer>\n", "\n</answer>\n", "\n</answer>"
+    points, zero = F.lit(fixed.TAG_POINTS), F.lit(0.0)
+    after_line = trailing(fixed.ANSWER_CLOSE_LINE) * fixed.TRAILING_POINTS
+    after = (trailing(fixed.ANSWER_CLOSE) - 1) * fixed.TRAILING_POINTS
     return (
-        F.when(once("<reasoning>\n"), eighth).otherwise(zero)
-        + F.when(once("\n</reasoning>\n"), eighth).otherwise(zero)
-        + F.when(once(open_answer), eighth - trailing(close_line) * 0.001).otherwise(zero)
-        + F.when(once(close), eighth - (trailing(close) - 1) * 0.001).otherwise(zero)
+        F.when(once(fixed.REASONING_OPEN), points).otherwise(zero)
+        + F.when(once(fixed.REASONING_CLOSE), points).otherwise(zero)
+        + F.when(once(fixed.ANSWER_OPEN), points - after_line).otherwise(zero)
+        + F.when(once(fixed.ANSWER_CLOSE), points - after).otherwise(zero)
     )
 
 

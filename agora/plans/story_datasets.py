@@ -15,10 +15,6 @@ from agora.operators.sampling import split_rows, take_first, with_shuffle_key
 from agora.operators.training import Tokenizer, filter_chat_length
 from agora.sources.tables import union_splits
 
-STORY_COLUMNS = (
-    "id", "title", "by", "text", "score", "descendants", "time", "log_score", "serialized", "split"
-)
-
 
 def build_story_dataset(items: DataFrame, style: str = "plain") -> DataFrame:
     """Live text posts since the start date, with label, text and split.
@@ -32,7 +28,7 @@ def build_story_dataset(items: DataFrame, style: str = "plain") -> DataFrame:
     stories = with_log_score(stories).withColumn("serialized", serialize_story(style))
     if "descendants" not in stories.columns:
         stories = stories.withColumn("descendants", F.lit(None).cast("bigint"))
-    return split_rows(stories).select(*STORY_COLUMNS)
+    return split_rows(stories).select(*fixed.STORY_COLUMNS)
 
 
 def build_scraped_dataset(splits: dict[str, DataFrame] | DataFrame) -> DataFrame:

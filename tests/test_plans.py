@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from agora import fixed_values
 from agora.catalog import views
 from agora.operators import forest
 from agora.plans import evaluations, pair_dataset, story_datasets
@@ -64,7 +65,7 @@ def test_levels_grow_by_one(items):
 def test_story_styles_share_rows(items):
     plain = story_datasets.build_story_dataset(items)
     by = story_datasets.build_story_dataset(items, "by")
-    assert plain.columns == list(story_datasets.STORY_COLUMNS)
+    assert plain.columns == list(fixed_values.STORY_COLUMNS)
     assert {r["id"] for r in plain.select("id").collect()} == {r["id"] for r in by.select("id").collect()}
 
 

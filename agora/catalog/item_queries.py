@@ -124,7 +124,7 @@ def pairing_ctes() -> dict[str, str]:
     return dict(_PAIRING)
 
 
-_TEXT_STORY = """type = 'story' and time is not null and text is not null
+TEXT_STORY = """type = 'story' and time is not null and text is not null
   and url is null and deleted is null and dead is null"""
 
 
@@ -157,7 +157,7 @@ def distinct_roots(spark, sf_dir):
 
 
 @query("text_stories", oracle("items") + f"""
-select id, title, "by", score, descendants, time from items where {_TEXT_STORY}""")
+select id, title, "by", score, descendants, time from items where {TEXT_STORY}""")
 def text_stories(spark, sf_dir):
     kept = filters.filter_text_stories(items(spark, sf_dir))
     return kept.select("id", "title", "by", "score", "descendants", "time")
@@ -166,12 +166,11 @@ def text_stories(spark, sf_dir):
 @query("stories_by_month", oracle("items") + f"""
 select strftime(time, '%Y-%m') as month, count(id) as num_stories,
        round(avg(score), 6) as avg_upvotes
-from items where {_TEXT_STORY} group by 1""")
+from items where {TEXT_STORY} group by 1""")
 def stories_by_month(spark, sf_dir):
     kept = filters.filter_text_stories(items(spark, sf_dir))
-    counts = trends.count_by_period(kept, "month")
-    means = trends.mean_by_period(kept, "month", alias="avg_upvotes")
-    return counts.join(means, "month").withColumn("avg_upvotes", F.round("avg_upvotes", 6))
+    found = trends.count_by_period(kept, "month", mean_of="score", mean_alias="avg_upvotes")
+    return found.withColumn("avg_upvotes", F.round("avg_upvotes", 6))
 
 
 @query("stories_by_quarter", oracle("items") + """
@@ -407,7 +406,7 @@ _PLAIN = f"""chr(10) || coalesce(title, 'None') || chr(10) || coalesce("by", 'No
 
 
 @query("serialized_plain", oracle("items") + f"""
-select id, {_PLAIN} as serialized from items where {_TEXT_STORY}""")
+select id, {_PLAIN} as serialized from items where {TEXT_STORY}""")
 def serialized_plain(spark, sf_dir):
     kept = filters.filter_text_stories(items(spark, sf_dir))
     return kept.select("id", serialize_story("plain").alias("serialized"))
@@ -416,7 +415,7 @@ def serialized_plain(spark, sf_dir):
 @query("serialized_by", oracle("items") + f"""
 select id, chr(10) || coalesce(title, 'None') || chr(10) || 'by ' || coalesce("by", 'None') || ', '
   || strftime(time, '%B %d, %Y') || chr(10) || chr(10) || {_BODY} || chr(10) as serialized
-from items where {_TEXT_STORY}""")
+from items where {TEXT_STORY}""")
 def serialized_by(spark, sf_dir):
     kept = filters.filter_text_stories(items(spark, sf_dir))
     return kept.select("id", serialize_story("by").alias("serialized"))
@@ -426,7 +425,7 @@ _STORY_SET = f"""
 select id, title, "by", score, descendants, time,
        case when score = 0 then '-Infinity'::double else ln(score) end as log_score,
        {_PLAIN} as serialized, {split_sql("id")} as split, {unit_sql("id")} as u
-from items where {_TEXT_STORY} and time >= timestamp '2016-01-01'"""
+from items where {TEXT_STORY} and time >= timestamp '2016-01-01'"""
 
 
 @query("story_dataset", oracle("items", stories=_STORY_SET) + """
@@ -441,15 +440,15 @@ def story_dataset(spark, sf_dir):
 
 
 @query("training_rows", oracle("items", stories=_STORY_SET) + r"""
-select id, label, tokens from (
-  select id, round(log_score, 6) as label,
-         len(regexp_extract_all(serialized, '\S+')) as tokens
+select id, label, len(tokens) as tokens, md5(array_to_string(tokens, ' ')) as md5 from (
+  select id, round(log_score, 6) as label, regexp_extract_all(serialized, '\S+') as tokens
   from stories where split = 'train' order by u, id limit 200)
-where tokens <= 600""")
+where len(tokens) <= 600""")
 def story_training_rows(spark, sf_dir):
     rows = training_rows(build_story_dataset(items(spark, sf_dir)), "train", 200, max_len=600)
     return rows.select(
-        "id", F.round("label", 6).alias("label"), F.size("tokens").cast("bigint").alias("tokens")
+        "id", F.round("label", 6).alias("label"), F.size("tokens").cast("bigint").alias("tokens"),
+        F.md5(F.array_join("tokens", " ")).alias("md5"),
     )
 
 

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from agora import fixed_values as fixed
 from agora.catalog.item_queries import (
-    CHAINS, COMMENTS, PAIRS, PROMPT_FROM, PROMPT_V1, RANKS, UP, pairing_ctes, split_sql,
+    CHAINS, CLEAN, COMMENTS, PAIRS, PROMPT_FROM, PROMPT_V1, RANKS, TEXT_STORY, UP, pairing_ctes,
+    split_sql, unit_sql,
 )
 from agora.catalog.registry import query
 from agora.catalog.views import comments, items, oracle, table, view
@@ -90,6 +95,72 @@ def evicted_results(spark, sf_dir):
     return lookup_results(rows, "length", ["text"], store).select("id", "hit")
 
 
+_ALL_LENGTHS = oracle("items") + """
+select id, case when text is not null then round(ln(1 + length(text)), 6) end as score from items"""
+
+
+@query("cache_only_scoring", _ALL_LENGTHS)
+def cache_only_scoring(spark, sf_dir):
+    """A second run that may not score anything any more."""
+    rows = items(spark, sf_dir).where(F.col("text").isNotNull()).select("id", "text")
+    store = ResultStore(spark, _fresh_path(spark, "results"))
+    score_incremental(rows, "length", ["text"], length_scorer, store, "text")
+    found = score_incremental(rows, "length", ["text"], length_scorer, store, "text", cache_only=True)
+    others = items(spark, sf_dir).where(F.col("text").isNull())
+    found = found.select("id", "score").unionByName(others.select("id", F.lit(None).cast("double").alias("score")))
+    return _rounded(found, "score")
+
+
+def _first_scorer():
+    return lambda texts: [1.0 for _ in texts]
+
+
+@query("refreshed_scoring", _ALL_LENGTHS)
+def refreshed_scoring(spark, sf_dir):
+    """Values of another scorer are replaced by a run that recomputes everything."""
+    rows = items(spark, sf_dir).select("id", "text")
+    store = ResultStore(spark, _fresh_path(spark, "results"))
+    score_incremental(rows, "length", ["text"], _first_scorer, store, "text")
+    score_incremental(rows, "length", ["text"], length_scorer, store, "text", refresh=True)
+    return _rounded(lookup_results(rows, "length", ["text"], store).select("id", "score"), "score")
+
+
+def _two_functions(spark, sf_dir):
+    """Stories scored under two functions."""
+    rows = items(spark, sf_dir).select("id", "type", "text")
+    store = ResultStore(spark, _fresh_path(spark, "results"))
+    stories = rows.where((F.col("type") == "story") & F.col("text").isNotNull())
+    for name in ("length", "other"):
+        score_incremental(stories, name, ["text"], length_scorer, store, "text")
+    return rows, store
+
+
+def _hits(rows, store):
+    return reduce(DataFrame.unionByName, [
+        lookup_results(rows, name, ["text"], store).select("id", F.lit(name).alias("fn"), "hit")
+        for name in ("length", "other")
+    ])
+
+
+@query("evicted_function", oracle("items", stories="""
+select text from items where type = 'story' and text is not null""") + """
+select id, fn, fn = 'other' and text is not null and text in (select text from stories) as hit
+from items, (select unnest(['length', 'other']) as fn)""")
+def evicted_function(spark, sf_dir):
+    """One of two functions is forgotten; the log is compacted before it is read."""
+    rows, store = _two_functions(spark, sf_dir)
+    evict_results(store, "length")
+    return _hits(rows, store.compacted(_fresh_path(spark, "compacted")))
+
+
+@query("evicted_all", oracle("items") + """
+select id, fn, false as hit from items, (select unnest(['length', 'other']) as fn)""")
+def evicted_all(spark, sf_dir):
+    rows, store = _two_functions(spark, sf_dir)
+    evict_results(store)
+    return _hits(rows, store)
+
+
 def _ranked_scores(spark, sf_dir):
     """Comment scores with the comment's rank among its siblings."""
     scored = batch_score(comments(spark, sf_dir), "id", "text")
@@ -157,44 +228,63 @@ def pair_accuracy(spark, sf_dir):
     return metrics.correct_counts(judged).withColumn("accuracy", share)
 
 
-@query("pair_rows", _PROMPTED + """
-select chosen, rejected, least(a.words, 64) as chosen_real, least(b.words, 64) as rejected_real,
-       cast(64 as bigint) as width
-from pairs p
-join (select id, len(regexp_extract_all(p, '\\S+')) as words
-      from (select c.id, PROMPT as p FROM_)) a on a.id = p.chosen
-join (select id, len(regexp_extract_all(p, '\\S+')) as words
-      from (select c.id, PROMPT as p FROM_)) b on b.id = p.rejected
-""".replace("PROMPT", PROMPT_V1).replace("FROM_", PROMPT_FROM))
-def pair_rows(spark, sf_dir):
-    rows = training.pair_rows(prompted_pairs(spark, sf_dir), max_len=64)
+_CUT = "least(len(w), 4096)"
 
-    def real(side: str):
-        mask = F.col(f"attention_mask_{side}")
-        return F.aggregate(mask, F.lit(0), lambda a, m: a + m).cast("bigint").alias(f"{side}_real")
 
-    width = F.least(F.size("input_ids_chosen"), F.size("input_ids_rejected")).cast("bigint")
-    return rows.select(
-        "chosen", "rejected", real("chosen"), real("rejected"), width.alias("width")
-    )
+@query("pair_rows",
+       oracle("items", recursive=True, **pairing_ctes(), pairs=PAIRS, up=UP, chains=CHAINS, cut=f"""
+select id, md5(array_to_string(w[1:4096], ' ') || repeat(' ', 4096 - {_CUT})) as ids,
+       md5(repeat('1', {_CUT}) || repeat('0', 4096 - {_CUT})) as mask
+from (select c.id, regexp_extract_all({PROMPT_V1}, '\\S+') as w {PROMPT_FROM})""") + """
+select chosen, rejected, a.ids as chosen_ids, a.mask as chosen_mask, b.ids as rejected_ids,
+       b.mask as rejected_mask
+from pairs p join cut a on a.id = p.chosen join cut b on b.id = p.rejected""")
+def pair_rows(spark, sf_dir):
+    """Tokens and masks of both sides, each as the md5 of all its entries."""
+    rows = training.pair_rows(prompted_pairs(spark, sf_dir))
+    digests = [
+        F.md5(F.array_join(column, between)).alias(f"{side}_{name}")
+        for side in ("chosen", "rejected")
+        for name, column, between in (
+            ("ids", f"input_ids_{side}", " "), ("mask", F.col(f"attention_mask_{side}").cast("array<string>"), "")
+        )
+    ]
+    return rows.select("chosen", "rejected", *digests)
+
+
+_RATED = f"""
+select c.id, strftime(c.time, '%B %d, %Y') as date, c."by", '{fixed.LINK_PREFIX}' || c.id as link,
+       t.title as story_title, md5({CLEAN.format("c.text")}) as text_md5,
+       round(ln(1 + length({PROMPT_V1})), 6) as reward
+{PROMPT_FROM} left join items t on t.id = c.top_level_parent and t.type = 'story'"""
+_RATED_COLUMNS = ("id", "date", "by", "link", "story_title", "text_md5", "reward")
+
+
+def _rated(rows):
+    """Rated comments with their text as its md5."""
+    return _rounded(rows.withColumn("text_md5", F.md5("text")), "reward").select(*_RATED_COLUMNS)
+
+
+@query("rated_sample",
+       oracle("items", recursive=True, comments=COMMENTS, up=UP, chains=CHAINS, rated=_RATED) + f"""
+select * from rated order by {unit_sql("id")}, id limit 300""")
+def rated_sample(spark, sf_dir):
+    """A sample of the comments, rated."""
+    asked = comments(spark, sf_dir).select("id", "by", "time", "text", "top_level_parent")
+    return _rated(evaluations.rate_comments(asked, items(spark, sf_dir), sample_size=300))
 
 
 @query("rated_comments",
-       oracle("items", recursive=True, comments=COMMENTS, up=UP, chains=CHAINS,
-              rated=f"select c.id, round(ln(1 + length({PROMPT_V1})), 6) as reward {PROMPT_FROM}")
-       + """
-select list, r.id, strftime(c.time, '%B %d, %Y') as date, c."by", s.title as story_title, reward
+       oracle("items", recursive=True, comments=COMMENTS, up=UP, chains=CHAINS, rated=_RATED) + """
+select *
 from ((select 'top' as list, * from rated order by reward desc, id limit 100)
-      union all (select 'bottom', * from rated order by reward, id limit 100)) r
-join comments c on c.id = r.id
-left join items s on s.id = c.top_level_parent and s.type = 'story'""")
+      union all (select 'bottom', * from rated order by reward, id limit 100)) r""")
 def rated_comments(spark, sf_dir):
     everything = items(spark, sf_dir)
     asked = comments(spark, sf_dir).select("id", "by", "time", "text", "top_level_parent")
     rated = evaluations.rate_comments(asked, everything, sample_size=None)
-    rated = stage(_rounded(rated, "reward"), "rated")
-    reports = evaluations.rating_reports(rated)
-    return tables_tagged(reports).select("list", "id", "date", "by", "story_title", "reward")
+    reports = evaluations.rating_reports(stage(_rated(rated), "rated"))
+    return tables_tagged(reports).select("list", *_RATED_COLUMNS)
 
 
 def tables_tagged(reports):
@@ -206,13 +296,42 @@ def tables_tagged(reports):
 
 
 @query("split_table", oracle("items") + f"""
-select id, title from items where type = 'story' and {split_sql("id")} = 'val'""")
+select id, title, case {split_sql("id")} when 'val' then 'validation' else {split_sql("id")} end as split
+from items where type = 'story'""")
 def split_table(spark, sf_dir):
-    """Write all splits as one table and read one split back."""
+    """Write all splits as one table and read each of them back."""
     stories = split_rows(items(spark, sf_dir).where(F.col("type") == "story").select("id", "title"))
     path = _fresh_path(spark, "splits")
     tables.write_splits(stories, path, {"val": "validation"})
-    return tables.scan_split(spark, path, "validation").select("id", "title")
+    parts = [
+        tables.scan_split(spark, path, name).select("id", "title", F.lit(name).alias("split"))
+        for name in ("train", "test", "validation")
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("scanned_items", oracle("items") + """
+select id, type, "by", time, title, score, parent, len(kids) as kids, md5(text) as md5 from items""")
+def scanned_items(spark, sf_dir):
+    """The item table written, and read back through the scan that checks its schema."""
+    path = _fresh_path(spark, "items")
+    tables.write_table(items(spark, sf_dir), path)
+    return tables.scan_items(spark, path).select(
+        "id", "type", "by", "time", "title", "score", "parent",
+        F.when(F.col("kids").isNotNull(), F.size("kids")).cast("bigint").alias("kids"),
+        F.md5("text").alias("md5"),
+    )
+
+
+@query("scanned_table", oracle(reviewed="""
+select doc_id, md5(text) as md5, lang from documents where n_chars > 100""") + "select * from reviewed")
+def scanned_table(spark, sf_dir):
+    """Any table written and read back with a schema of its own."""
+    rows = table(configure(spark), sf_dir, "documents").where(F.col("n_chars") > 100)
+    path = _fresh_path(spark, "documents")
+    tables.write_table(rows.select("doc_id", F.md5("text").alias("md5"), "lang"), path)
+    schema = T.StructType.fromDDL("doc_id long, md5 string, lang string")
+    return tables.scan_table(spark, path, schema)
 
 
 @query("csv_report", oracle("items") + """
@@ -228,7 +347,7 @@ def csv_report(spark, sf_dir):
 
 @query("results_json", oracle("title_results") + """
 select item_id, model, original_title, original_score, rm_score_original, md5(scraped_body) as md5,
-       generated_title, score, api_time, total_time from title_results""")
+       generated_title, score, api_time, total_time, full_response, error from title_results""")
 def results_json(spark, sf_dir):
     """Nested results written as JSON and read back."""
     path = _fresh_path(spark, "results")
@@ -272,21 +391,38 @@ def resumed_predictions(spark, sf_dir):
 # --- fitted models -----------------------------------------------------------------------
 
 
-@query("score_regressor")
+def _judged_fit(found):
+    """What of a fit does not depend on the optimiser: on its training rows it beats the mean."""
+    learned = (F.col("split") != "train") | (F.col("model_rmse") < F.col("baseline_rmse"))
+    return _rounded(found.withColumn("learned", learned), "baseline_rmse").select(
+        "split", "num_rows", "baseline_rmse", "learned"
+    )
+
+
+_FIT = """
+select split, count(*) as num_rows,
+       round(sqrt(var_pop(label) * count(label) / count(*)), 6) as baseline_rmse, true as learned
+from labelled group by split"""
+
+
+@query("score_regressor", oracle("items", labelled=f"""
+select {split_sql("id")} as split, ln(score) as label from items
+where {TEXT_STORY} and time >= timestamp '2016-01-01' and score > 0""") + _FIT)
 def score_regressor(spark, sf_dir):
-    """Fit on the training split of the stories, report errors on every split."""
+    """Fit on the training split of the stories with points, report errors on every split."""
     stories = stage(
-        build_story_dataset(items(spark, sf_dir)).select("id", "split", "log_score", "serialized"),
+        build_story_dataset(filter_min_score(items(spark, sf_dir), 1)).select(
+            "id", "split", "log_score", "serialized"
+        ),
         "stories",
     )
     model = models.fit_score_regressor(stories.where(F.col("split") == "train"))
-    return _rounded(
-        metrics.metrics_by_split(models.predict_scores(model, stories)),
-        "baseline_rmse", "model_rmse", "model_correlation",
-    )
+    return _judged_fit(metrics.metrics_by_split(models.predict_scores(model, stories)))
 
 
-@query("quality_regressor")
+@query("quality_regressor", oracle(labelled=f"""
+select {split_sql("doc_id")} as split, cast(quality as double) as label
+from documents join labels using (doc_id)""") + _FIT)
 def quality_regressor(spark, sf_dir):
     """The same fit with document texts and their quality labels."""
     spark = configure(spark)
@@ -296,15 +432,14 @@ def quality_regressor(spark, sf_dir):
     )
     rows = stage(split_rows(documents.join(labels, "id")), "labelled")
     model = models.fit_score_regressor(rows.where(F.col("split") == "train"), "text", "label")
-    return _rounded(
-        metrics.metrics_by_split(models.predict_scores(model, rows), "label"),
-        "baseline_rmse", "model_rmse", "model_correlation",
-    )
+    return _judged_fit(metrics.metrics_by_split(models.predict_scores(model, rows), "label"))
 
 
-@query("preference_model")
+@query("preference_model", oracle("items", recursive=True, **pairing_ctes(), pairs=PAIRS) + f"""
+select {split_sql("top_level_parent")} as split, count(*) as pairs, true as learned
+from pairs group by 1""")
 def preference_model(spark, sf_dir):
-    """Fit on training pairs, report the accuracy on every split."""
+    """Fit on training pairs; they are mostly in the right order afterwards."""
     rows = stage(
         prompted_pairs(spark, sf_dir).select(
             "chosen", "rejected", "split", "chosen_prompt", "rejected_prompt"
@@ -315,5 +450,5 @@ def preference_model(spark, sf_dir):
     judged = metrics.with_correct(model.score_pairs(rows))
     return judged.groupBy("split").agg(
         F.count(F.lit(1)).alias("pairs"),
-        F.round(F.avg(F.col("correct").cast("int")) * 100, 2).alias("accuracy"),
+        ((F.col("split") != "train") | (F.avg(F.col("correct").cast("int")) > 0.5)).alias("learned"),
     )

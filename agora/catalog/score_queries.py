@@ -229,7 +229,7 @@ def benchmark_summary(spark, sf_dir):
 
 @query("nested_results", oracle("title_results") + """
 select item_id, model, original_title, original_score, rm_score_original, md5(scraped_body) as md5,
-       generated_title, score, api_time, total_time from title_results""")
+       generated_title, score, api_time, total_time, full_response, error from title_results""")
 def nested_results(spark, sf_dir):
     nested = benchmark.nest_results(results(spark, sf_dir), ["a", "b", "c"])
     return nested.select(
@@ -293,7 +293,8 @@ select g.* exclude (error), s.title as original_title, s.score as original_score
          then coalesce(substr(trim(g.content), 2, length(trim(g.content)) - 2), '') end as made,
        coalesce(g.error, case when s."by" is null then 'by is missing' end) as error
 from generated g join scraped_stories s on s.id = g.item_id""") + f"""
-select item_id, model, made as generated_title, original_title, original_score, error, total_time,
+select item_id, model, made as generated_title, content as full_response, original_title,
+       original_score, error, total_time,
        case when made is not null then api_time end as api_time,
        case when error is null then round(ln(1 + length({_tagged_sql("made")})), 6) end as score,
        case when coalesce(original_title, '') <> '' and "by" is not null
@@ -317,6 +318,46 @@ def titles_scored(spark, sf_dir):
     return _rounded(found, "score", "rm_score_original")
 
 
+@query("title_requests", oracle("scraped_stories") + f"""
+select s.id as item_id, m.model, s.title as original_title, s.score as original_score,
+       md5('{fixed.TITLE_SYSTEM}' || '|' || '{fixed.TITLE_REQUEST}'
+           || substr(coalesce(s.scraped_body, ''), 1, {fixed.MAX_BODY_CHARS})) as asked
+from (select * from scraped_stories where split = 'val' and score >= 20
+      order by {unit_sql("id")}, id limit 50) s, (select unnest(['a', 'b', 'c']) as model) m""")
+def title_requests(spark, sf_dir):
+    """What the title benchmark sends out: a chat per chosen story and model."""
+    asked = story_datasets.build_title_requests(scraped(spark, sf_dir), ["a", "b", "c"], max_items=50)
+    return asked.select(
+        "item_id", "model", "original_title", "original_score",
+        F.md5(F.array_join(F.transform("prompt", lambda m: m["content"]), "|")).alias("asked"),
+    )
+
+
+_PROPOSED = """
+select id, 'new ' || id as title, case mod(id, 4) when 0 then 'False' when 1 then 'tea' else 'True' end as verdict,
+       s."by", s.url, s.time, s.scraped_body from scraped_stories s"""
+
+
+@query("title_rewards", oracle("scraped_stories", proposed=_PROPOSED, judged=f"""
+select id, case when verdict = 'False' then 0 else 1 end as matches,
+       case when "by" is not null then ln(1 + length({_tagged_sql("title")})) end as rm,
+       cast(length(title) as double) as length from proposed""") + """
+select id, round(case when matches = 0 then 0.0 else rm end, 6) as reward,
+       cast(matches as double) as matches, round(rm, 6) as rm, length from judged""")
+def title_rewards(spark, sf_dir):
+    """The reward step of title tuning: new titles scored, checked for support and gated."""
+    stories = scraped(spark, sf_dir)
+    number = F.pmod("id", F.lit(4))
+    proposed = stories.select(
+        "id",
+        F.concat(F.lit("new "), F.col("id").cast("string")).alias("title"),
+        F.when(number == 0, "False").when(number == 1, "tea").otherwise("True").alias("verdict"),
+    )
+    found = evaluations.reward_titles(stories, proposed)
+    shown = [F.col("metrics")[name].alias(name) for name in ("matches", "rm", "length")]
+    return _rounded(found.select("id", "reward", *shown), "reward", "rm")
+
+
 @query("score_requests", oracle("scraped_stories") + """
 select id, strftime(time, '%Y-%m-%dT%H:%M:%S') as sent, time as received,
        case when title is null then 'title is missing' when "by" is null then 'by is missing' end
@@ -507,10 +548,12 @@ select {split_sql("id")} as split, ln(1 + turn) as label, reasoning,
        {_NUMBER} as p from parsed""") + """
 select split, round(sqrt(var_pop(label) * count(label) / count(*)), 6) as baseline_rmse,
        case when count(p) = count(*) then round(sqrt(sum(pow(label - p, 2)) / count(*)), 6)
-            else 'NaN'::double end as model_rmse, count(*) as num_rows,
+            else 'NaN'::double end as model_rmse, coalesce(round(max(r), 6), 'NaN'::double) as model_correlation,
+       count(*) as num_rows,
        round(avg(case when reasoning is not null then 1 else 0 end), 6) as reasoning_presence_rate,
        round(avg(case when p is not null then 1 else 0 end), 6) as answer_presence_rate
-from judged group by split""")
+from (select *, case when count(p) over (partition by split) = count(*) over (partition by split)
+             then corr(label, p) over (partition by split) end as r from judged) group by split""")
 def evaluated_reasoning(spark, sf_dir):
     rows = completions(spark, sf_dir)
     stories = split_rows(rows.select("id", F.ln(1 + F.col("turn")).alias("label")))
@@ -518,8 +561,8 @@ def evaluated_reasoning(spark, sf_dir):
         stories, rows.select("id", F.col("thought").alias("completion"))
     )
     return _rounded(
-        found.drop("model_correlation"),
-        "baseline_rmse", "model_rmse", "reasoning_presence_rate", "answer_presence_rate",
+        found, "baseline_rmse", "model_rmse", "model_correlation", "reasoning_presence_rate",
+        "answer_presence_rate",
     )
 
 
@@ -600,22 +643,20 @@ def generation_table(spark, sf_dir):
 
 
 _CHATS = """
-select a.conv_id, a.turn, '<|im_start|>' || b.role || chr(10) || b.text || '<|im_end|>' || chr(10)
-       || '<|im_start|>' || a.role || chr(10) || a.text || '<|im_end|>' || chr(10)
+select a.conv_id, a.turn,
+       coalesce(string_agg('<|im_start|>' || b.role || chr(10) || b.text || '<|im_end|>' || chr(10), ''
+                           order by b.turn, b.role, b.text), '')
        || '<|im_start|>assistant' || chr(10) as chat
-from conversations a join conversations b on b.conv_id = a.conv_id and b.turn = a.turn - 1"""
+from (select conv_id, turn, row_number() over () as place from conversations) a
+left join conversations b on b.conv_id = a.conv_id and b.turn < a.turn
+group by a.conv_id, a.turn, a.place"""
 _CHAT_TOKENS = r"len(regexp_extract_all(chat, '\S+'))"
 
 
 def chats(spark, sf_dir):
-    """Every turn that answers another one, as a chat of the two."""
+    """Every turn with the whole conversation before it."""
     turns = table(configure(spark), sf_dir, "conversations")
-    message = F.struct("role", F.col("text").alias("content"))
-    asked = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), message.alias("asked"))
-    said = turns.select("conv_id", "turn", message.alias("said"))
-    return said.join(asked, ["conv_id", "turn"]).select(
-        "conv_id", "turn", F.array("asked", "said").alias("prompt")
-    )
+    return training.earlier_turns(turns)
 
 
 @query("chat_length_filter", oracle(chats=_CHATS) + f"""

@@ -7,6 +7,8 @@ out once per session, like the item table a user would have on disk.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,7 +88,9 @@ select p.page_id as item_id, p.model, concat('title ', p.model) as generated_tit
                  else mod(p.page_id, 50) / 10.0 end as double) as rm_score_original,
        cast(case when mod(p.page_id * p.k, 7) = 0 then null
                  else mod(p.page_id * p.k, 9) / 10.0 end as double) as api_time,
-       cast(mod(p.page_id * p.k, 9) / 10.0 + 0.5 as double) as total_time
+       cast(mod(p.page_id * p.k, 9) / 10.0 + 0.5 as double) as total_time,
+       concat('<title>title ', p.model, '</title>') as full_response,
+       case when mod(p.page_id * p.k, 7) = 0 then 'timeout' end as error
 from (select *, case model when 'a' then 3 when 'b' then 5 else 11 end as k
       from (select *, {models} as model from pages) each_model) p
 """
@@ -185,10 +189,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, text: str, args: dict | None = None, **tables: DataFrame) -> DataFrame:
-    """Run SQL over DataFrames registered under the names it uses."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text, args=args)
+    """Run SQL over DataFrames under the names it uses, without touching the session's own views."""
+    named = re.sub(rf"\b(from|join) ({'|'.join(tables)})\b", r"\1 {\2}", text)
+    return spark.sql(named, args=args, **tables)
 
 
 def _staged_view(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:

@@ -9,8 +9,8 @@ from agora.operators.quantiles import percentiles_of_staged
 from agora.sources.staging import stage
 
 ORIGINAL = "Original"
-_ITEM_FIELDS = ("original_title", "original_score", "rm_score_original", "scraped_body")
-_RESULT_FIELDS = ("generated_title", "score", "api_time", "total_time")
+_ITEM_FIELDS = ("original_title", "original_score", "rm_score_original")
+_RESULT_FIELDS = ("generated_title", "score", "api_time", "total_time", "full_response", "error")
 
 
 def benchmark_summary(results: DataFrame) -> DataFrame:
@@ -49,9 +49,12 @@ def nest_results(long: DataFrame, model_order: list[str] | None = None) -> DataF
 
     Item fields come from the first model in ``model_order`` (alphabetical
     when not given).  Repeated (item, model) rows are reduced first, so an
-    item's map never holds more entries than there are models.
+    item's map never holds more entries than there are models.  The body is an
+    aggregate of its own, which goes away for readers that do not ask for it.
     """
     fields = [c for c in _ITEM_FIELDS if c in long.columns]
+    results = [c for c in _RESULT_FIELDS if c in long.columns]
+    has_body = "scraped_body" in long.columns
     place = F.col("model")
     if model_order:
         names = F.array(*[F.lit(m) for m in model_order])
@@ -61,18 +64,20 @@ def nest_results(long: DataFrame, model_order: list[str] | None = None) -> DataF
             .alias("at"),
             "model",
         )
+    bodies = [F.max("scraped_body").alias("scraped_body")] * has_body
     per_model = long.groupBy("item_id", "model").agg(
-        F.max(F.struct(F.struct(*_RESULT_FIELDS), F.struct(*fields))).alias("row"),
-    ).select("item_id", "model", F.col("row.col1").alias("result"), F.col("row.col2").alias("item"))
+        F.max(F.struct(F.struct(*results), F.struct(*fields))).alias("row"), *bodies
+    )
+    named = F.struct("model", F.col("row.col1").alias("result"))
+    first_body = [F.min_by("scraped_body", place).alias("scraped_body")] * has_body
     return (
         per_model.groupBy("item_id")
         .agg(
-            F.min_by("item", place).alias("item"),
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct("model", "result")))).alias(
-                "model_results"
-            ),
+            F.min_by("row.col2", place).alias("item"),
+            *first_body,
+            F.map_from_entries(F.array_sort(F.collect_list(named))).alias("model_results"),
         )
-        .select("item_id", "item.*", "model_results")
+        .select("item_id", "item.*", *["scraped_body"] * has_body, "model_results")
     )
 
 

@@ -205,13 +205,16 @@ def paths_of(comments: DataFrame, items: DataFrame) -> DataFrame:
 def ancestor_rows(comments: DataFrame, items: DataFrame) -> DataFrame:
     """``(id, depth, author, text)``, one row per ancestor, depth 0 nearest.
 
-    Ids are resolved first and texts are fetched once at the end.
+    Ids are resolved first; texts are fetched once at the end, those of
+    ancestors only.
     """
-    steps = paths_of(comments, items).select("id", F.posexplode("path").alias("depth", "ancestor"))
-    people = items.select(
-        F.col("id").alias("ancestor"), F.col("by").alias("author"), F.col("text")
+    steps = stage(
+        paths_of(comments, items).select("id", F.posexplode("path").alias("depth", "ancestor")), "ancestors"
     )
-    return steps.join(people, "ancestor").select("id", "depth", "author", "text")
+    people = keep_in(items.select("id", "by", "text"), "id", steps.select("ancestor").distinct())
+    people = people.select(F.col("id").alias("ancestor"), F.col("by").alias("author"), "text")
+    # unlike a plain join, this one leaves hot ancestors open to being split
+    return attach(steps, people, ["ancestor"], "inner").select("id", "depth", "author", "text")
 
 
 def ancestor_chain(comments: DataFrame, items: DataFrame) -> DataFrame:

@@ -106,14 +106,13 @@ def batch_score(
 def score_pairs(
     pairs: DataFrame, scorer: Scorer = length_scorer, batch_size: int = DEFAULT_BATCH
 ) -> DataFrame:
-    """Add ``chosen_reward`` and ``rejected_reward`` to prompt pairs, in one pass."""
-    scored = score_columns(
+    """Add ``chosen_reward`` and ``rejected_reward``, each with its ``_error``, to prompt pairs, in one pass."""
+    return score_columns(
         pairs,
         {"chosen_prompt": "chosen_reward", "rejected_prompt": "rejected_reward"},
         scorer,
         batch_size,
     )
-    return scored.drop("chosen_reward_error", "rejected_reward_error")
 
 
 def score_titles(
@@ -127,9 +126,9 @@ def score_titles(
     score.  A story that lacks a required field, or that the scorer fails on,
     keeps its title but has no score.  ``error`` says which.
 
-    Original titles are scored in their row, once per item and not once per
-    model; an empty one is not scored.  Both scorings stay in place around the
-    single join.
+    Original titles are scored once per item and not once per model; an empty
+    one is not scored.  Bodies go to the scorer inside the serialised texts
+    only; as a column they join the scored rows at the end.
     """
     names = ["title"] + ["original_title"] * ("original_title" in items.columns)
     original = F.col(names[-1])
@@ -142,10 +141,12 @@ def score_titles(
         "url",
         "time",
         "scraped_body",
-        F.when(scorable, serialize_with_title(original)).alias("_original"),
     )
-    stories = score_columns(
-        stories, {"_original": "rm_score_original"}, scorer, drop_texts=True
+    originals = score_columns(
+        items.select(
+            F.col("id").alias("item_id"), F.when(scorable, serialize_with_title(original)).alias("_original")
+        ),
+        {"_original": "rm_score_original"}, scorer, drop_texts=True,
     ).drop("rm_score_original_error")
     worked = F.col("error").isNull()
     title = F.col("generated_title")
@@ -155,12 +156,16 @@ def score_titles(
         .withColumn("error", F.coalesce("error", request_problem(score_request(title))))
         .withColumn("_story", F.when(F.col("error").isNull(), serialize_with_title(title)))
         .withColumn("api_time", F.when(title.isNotNull(), F.col("api_time")))
-        .drop("content", "by", "url", "time")
+        .withColumnRenamed("content", "full_response")
+        .drop("by", "url", "time", "scraped_body")
     )
-    return score_columns(ready, {"_story": "score"}, scorer, drop_texts=True).select(
+    scored = score_columns(ready, {"_story": "score"}, scorer, drop_texts=True)
+    bodies = items.select(F.col("id").alias("item_id"), "scraped_body")
+    return scored.join(originals, "item_id").join(bodies, "item_id").select(
         "item_id",
         "model",
         "generated_title",
+        "full_response",
         "original_title",
         "original_score",
         "score",

@@ -32,10 +32,21 @@ def _period(unit: str, column: str):
 
 
 def count_by_period(
-    df: DataFrame, unit: str, column: str = "time", alias: str = "num_stories"
+    df: DataFrame,
+    unit: str,
+    column: str = "time",
+    alias: str = "num_stories",
+    mean_of: str | None = None,
+    mean_alias: str = "avg_score",
 ) -> DataFrame:
-    """Rows with an id per quarter (its first moment) or month (``yyyy-MM``)."""
-    grouped = df.groupBy(_period(unit, column)).agg(F.count("id").alias(alias))
+    """Rows with an id per quarter (its first moment) or month (``yyyy-MM``).
+
+    ``mean_of`` adds the mean of a column in the same pass.
+    """
+    figures = [F.count("id").alias(alias)]
+    if mean_of is not None:
+        figures.append(F.avg(mean_of).alias(mean_alias))
+    grouped = df.groupBy(_period(unit, column)).agg(*figures)
     return grouped.orderBy(grouped.columns[0])
 
 

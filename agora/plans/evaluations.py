@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from agora import fixed_values as fixed
 from agora.functions.numbers import score_from_log
-from agora.functions.stories import day, with_link
-from agora.functions.text import parse_reasoning, unescape_html
+from agora.functions.rewards import gated_reward
+from agora.functions.stories import day, request_problem, score_request, serialize_with_title, with_link
+from agora.functions.text import parse_flag, parse_reasoning, unescape_html
 from agora.operators.joins import join_metrics, with_story_info
 from agora.operators.metrics import metrics_by_split, presence_rates
 from agora.operators.prompting import comment_prompt
 from agora.operators.ranking import bottom_n, top_n
 from agora.operators.sampling import sample_n
-from agora.operators.scoring import Scorer, batch_score, length_scorer
+from agora.operators.scoring import Scorer, batch_score, length_scorer, score_columns
 from agora.sources.staging import stage
 
 
@@ -67,11 +68,11 @@ def rate_comments(
     chosen = comments if sample_size is None else sample_n(comments, sample_size)
     prompts = comment_prompt(chosen.select("id"), items, ("v1",))
     rewards = stage(batch_score(prompts, "id", "prompt_v1", scorer), "rewards").select(
-        "id", F.col("score").alias("reward")
+        "id", F.col("score").alias("reward"), F.col("error").alias("reward_error")
     )
     # Titles meet rewards on ids; comment texts are moved once, at the end.
     facts = with_story_info(chosen.select("id", "top_level_parent"), items).join(rewards, "id")
-    rated = chosen.join(facts.select("id", "story_title", "reward"), "id")
+    rated = chosen.join(facts.select("id", "story_title", "reward", "reward_error"), "id")
     return rated.select(
         "id",
         day(F.col("time"), fixed.LONG_DATE_FORMAT).alias("date"),
@@ -80,6 +81,31 @@ def rate_comments(
         "story_title",
         unescape_html(F.col("text")).alias("text"),
         "reward",
+        "reward_error",
+    )
+
+
+def reward_titles(
+    stories: DataFrame, proposed: DataFrame, scorer: Scorer = length_scorer
+) -> DataFrame:
+    """``(id, title, reward, metrics, error)`` of proposed titles.
+
+    ``proposed`` holds id, title and verdict, the answer to ``match_prompt``.  A
+    title is scored in its story's place; without support its reward is 0.  A
+    story that lacks a required field has no score, and ``error`` says why.
+    ``distribution_summary`` and ``metric_summaries`` read the result.
+    """
+    title = F.col("title")
+    ready = proposed.join(stories.select("id", "by", "url", "time", "scraped_body"), "id")
+    ready = ready.withColumn("problem", request_problem(score_request(title))).select(
+        "id", "title", "problem", parse_flag(F.col("verdict")).alias("matches"),
+        F.when(F.col("problem").isNull(), serialize_with_title(title)).alias("_story"),
+    )
+    scored = score_columns(ready, {"_story": "rm"}, scorer, drop_texts=True)
+    gated = gated_reward(title, F.col("matches"), F.col("rm"))
+    return scored.select(
+        "id", "title", gated["reward"].alias("reward"), gated["metrics"].alias("metrics"),
+        F.coalesce("problem", "rm_error").alias("error"),
     )
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from agora import fixed_values as fixed
 from agora.functions.prompts import title_prompt
 from agora.functions.stories import serialize_story
-from agora.functions.text import words
+from agora.functions.text import truncate_text, words
 from agora.operators import filters
+from agora.operators.joins import cross_models
 from agora.operators.metrics import with_log_score
 from agora.operators.sampling import split_rows, take_first, with_shuffle_key
 from agora.operators.training import Tokenizer, filter_chat_length
@@ -60,3 +61,23 @@ def build_title_rows(
         F.struct(*chosen.columns).alias("row"),
     )
     return filter_chat_length(chats, max_len, "prompt", tokenizer)
+
+
+def build_title_requests(
+    stories: DataFrame, models: list[str], split: str = "val", max_items: int = 10, min_score: int = 20
+) -> DataFrame:
+    """``(item_id, model, prompt, original_title, original_score, scraped_body)``: one request per story and model.
+
+    The first ``max_items`` well-scored stories of the split; the chat holds the
+    first characters of the body.
+    """
+    chosen = take_first(filters.filter_min_score(filters.filter_split(stories, split), min_score), max_items)
+    title = F.coalesce("original_title", "title") if "original_title" in chosen.columns else F.col("title")
+    asked = chosen.select(
+        F.col("id").alias("item_id"),
+        title_prompt(truncate_text(F.col("scraped_body"))).alias("prompt"),
+        title.alias("original_title"),
+        F.col("score").alias("original_score"),
+        "scraped_body",
+    )
+    return cross_models(asked, models)

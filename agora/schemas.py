@@ -48,6 +48,8 @@ MODEL_RESULT = _struct(
     score=DOUBLE,
     api_time=DOUBLE,
     total_time=DOUBLE,
+    full_response=STRING,
+    error=STRING,
 )
 
 NESTED_RESULTS = _struct(

@@ -69,17 +69,39 @@ class ResultStore:
         )
         self.append(row)
 
-    def live(self, fn_id: str) -> DataFrame:
-        """Visible ``(arg_hash, result)`` rows of one function."""
+    def compacted(self, path: str) -> ResultStore:
+        """A new log at ``path`` with the visible rows alone; this one stays as it is."""
+        log = self._log()
+        marks = log.where(F.col("arg_hash").isNull()).groupBy("fn_id").agg(F.max("version").alias("floor"))
+        everything = marks.where(F.col("fn_id") == ALL_FUNCTIONS).agg(F.coalesce(F.max("floor"), F.lit(0))).scalar()
+        rows = (
+            log.where(F.col("arg_hash").isNotNull())
+            .join(marks, "fn_id", "left")
+            .where(F.col("version") > F.greatest(F.coalesce("floor", F.lit(0)), everything))
+            .groupBy("fn_id", "arg_hash")
+            .agg(F.max_by(F.struct("result", "evicted"), "version").alias("last"))
+            .where(~F.col("last.evicted"))
+        )
+        other = ResultStore(self.spark, path)
+        other.append(rows.select("fn_id", "arg_hash", "last.result", "last.evicted"))
+        return other
+
+    def live(self, fn_id: str, wanted: DataFrame | None = None) -> DataFrame:
+        """Visible ``(arg_hash, result)`` rows of one function.
+
+        ``wanted`` (distinct ``arg_hash``) cuts the log down before it is grouped.
+        """
         log = self._log().where(F.col("fn_id").isin(fn_id, ALL_FUNCTIONS))
         floor = (
             log.where(F.col("arg_hash").isNull())
             .agg(F.coalesce(F.max("version"), F.lit(0)).alias("floor"))
             .scalar()
         )
+        rows = log.where(F.col("arg_hash").isNotNull() & (F.col("version") > floor))
+        if wanted is not None:
+            rows = rows.join(wanted, "arg_hash", "left_semi")
         return (
-            log.where(F.col("arg_hash").isNotNull() & (F.col("version") > floor))
-            .groupBy("arg_hash")
+            rows.groupBy("arg_hash")
             .agg(F.max_by(F.struct("result", "evicted"), "version").alias("last"))
             .where(~F.col("last.evicted"))
             .select("arg_hash", F.col("last.result").alias("result"))
@@ -105,10 +127,11 @@ def score_incremental(
     keyed = df.withColumn("arg_hash", arg_hash(df, arg_cols))
     # Misses are found on hashes alone; when they are few, the planner can
     # broadcast them and texts that were scored before are not moved.
-    missing = keyed.select("arg_hash").distinct()
+    missing = stage(keyed.select("arg_hash").distinct(), "hashes")
+    known = None
     if not refresh:
-        missing = missing.join(store.live(fn_id), "arg_hash", "left_anti")
-    missing = stage(missing, "missing")
+        known = stage(store.live(fn_id, missing), "known")
+        missing = stage(missing.join(known, "arg_hash", "left_anti"), "missing")
     if cache_only and not missing.isEmpty():
         raise KeyError(f"result table has no value for some arguments of {fn_id}")
     todo = (
@@ -127,21 +150,19 @@ def score_incremental(
             F.lit(False).alias("evicted"),
         )
     )
-    values = store.live(fn_id).select(
-        "arg_hash",
-        F.col("result").cast("double").alias("score"),
-        F.lit(None).cast("string").alias("error"),
-    )
-    failures = fresh.where(F.col("error").isNotNull()).select("arg_hash", "score", "error")
-    known = values.join(failures, "arg_hash", "left_anti").unionByName(failures)
-    return attach(keyed, known, ["arg_hash"])
+    values = fresh.select("arg_hash", "score", "error")
+    if known is not None:  # known and fresh hashes never meet
+        stored = F.col("result").cast("double").alias("score")
+        values = known.select("arg_hash", stored, F.lit(None).cast("string").alias("error")).unionByName(values)
+    return attach(keyed, values, ["arg_hash"])
 
 
 def lookup_results(df: DataFrame, fn_id: str, arg_cols: list[str], store: ResultStore) -> DataFrame:
     """Attach ``hit`` and ``score`` without computing anything."""
+    keyed = df.withColumn("arg_hash", arg_hash(df, arg_cols))
     values = store.live(fn_id).withColumn("hit", F.lit(True))
     return (
-        attach(df.withColumn("arg_hash", arg_hash(df, arg_cols)), values, ["arg_hash"])
+        attach(keyed, values, ["arg_hash"])
         .withColumn("hit", F.coalesce("hit", F.lit(False)))
         .withColumn("score", F.col("result").cast("double"))
         .drop("result")

@@ -247,18 +247,22 @@ def mixed_documents(docs: DataFrame, mixed: Mix, block_words: int = BLOCK_WORDS)
         .agg(F.array_sort(F.collect_list(F.struct("from", "to"))).alias("runs"), F.sum(F.col("to") - F.col("from")).alias("got"))
     )
     chosen = mixed.documents.where(F.col("size") > 0).join(runs, ["rank", "start"]).select(
-        F.col("row_key").alias("_key"), F.col("size").alias("_size"), "runs", "got"
+        F.col("doc_id").alias("id"), "row_key", "size", "runs", "got"
     )
-    words = F.regexp_extract_all(F.col("text"), F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
+    whole = F.col("row")["text"]
+    words = F.regexp_extract_all(whole, F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
     # the words are an argument of the inner function, or they would be cut out again for each run
     pick = lambda w: F.flatten(
         F.transform("runs", lambda r: F.slice(w, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))
     )
     cut = F.array_join(F.element_at(F.transform(F.array(words), pick), 1), " ")
     # rows with the same id and text share a key and differ at most in their source: one of them stands for all
-    joined = docs.withColumn("_key", F.xxhash64("doc_id", "text")).dropDuplicates(["_key"]).join(chosen, "_key")
-    text = F.when(F.col("got") == F.col("_size"), F.col("text")).otherwise(cut)
-    out = joined.withColumn("text", text)
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.struct(*docs.columns).alias("row"))
+    same = (F.col("key") == F.col("row_key")) & F.col("doc_id").eqNullSafe(F.col("id"))
+    joined = rows.dropDuplicates(["doc_id", "key"]).join(chosen, same)
+    text = F.when(F.col("got") == F.col("size"), whole).otherwise(cut)
+    out = joined.select("row", text.alias("taken"))
+    made = {"text": F.col("taken")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(*docs.columns)
+        made["n_chars"] = F.length("taken").cast(dict(docs.dtypes)["n_chars"])
+    return out.select(*[made.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

@@ -25,9 +25,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The model is trained on the labelled documents of the table, not on ``docs``.
     """
-    columns = tuple(docs.columns)
-    scored = toxicity.score(docs, toxicity_model(spark, sf_dir), keep=columns)
-    return scored.where(F.col("score") < 0.5).select(*columns)
+    # under other names, none of the table's columns is taken for one of the score's
+    kept = {f"c{i}": name for i, name in enumerate(docs.columns)}
+    plain = docs.select(*[F.col(name).alias(c) for c, name in kept.items()], "text")
+    scored = toxicity.score(plain, toxicity_model(spark, sf_dir), keep=tuple(kept))
+    return scored.where(F.col("score") < 0.5).select(*[F.col(c).alias(name) for c, name in kept.items()])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +40,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     judged = lsh_forest.near_duplicates(docs).where("kept and doc_id is not null")
     ids = stage(judged.select("doc_id").distinct(), "kept-ids")
-    chosen = docs.join(ids, "doc_id", "left_semi").withColumn("_text", F.xxhash64("text"))
-    once = chosen.dropDuplicates(["doc_id", "_text"])
-    return once.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*docs.columns).alias("row"))
+    once = rows.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    return once.select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,6 +115,29 @@ def test_evict_everything(frame, store):
         get_result(store, "k")
 
 
+def test_compacted_log_shows_the_same_rows(frame, store, fresh_path):
+    df = texts(frame, "ab", "abc", "abcd")
+    run(df, store, fn="kept")
+    run(df, store, fn="gone")
+    evict_results(store, "gone")
+    first = df.where("text = 'abc'").select(arg_hash(df, ["text"]).alias("arg_hash"))
+    evict_results(store, "kept", first)
+    small = store.compacted(fresh_path())
+    for fn in ("kept", "gone"):
+        assert hits(df, small, fn) == hits(df, store, fn)
+    assert hits(df, small, "kept") == {"ab": True, "abc": False, "abcd": True}
+    assert small._log().count() == 2
+    run(df, small, fn="gone")
+    assert hits(df, small, "gone") == {"ab": True, "abc": True, "abcd": True}
+
+
+def test_only_wanted_rows_of_the_log(frame, store):
+    run(texts(frame, *[f"t{i}" for i in range(40)]), store)
+    asked = texts(frame, "t1", "t2", "new")
+    wanted = asked.select(arg_hash(asked, ["text"]).alias("arg_hash"))
+    assert store.live("f", wanted).count() == 2
+
+
 def test_direct_values(store):
     put_result(store, "key", "value")
     assert get_result(store, "key") == "value"

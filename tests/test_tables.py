@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from agora import schemas
 from agora.operators import benchmark, filters, generations, joins, ranking, training
 from agora.operators.scoring import batch_score, score_columns, score_titles
+from agora.plans import evaluations, story_datasets
 from agora.sources import memo, staging, tables
 
 # Scorers below travel by value, workers cannot import test modules.
@@ -346,3 +347,50 @@ def test_generation_table(frame):
     )
     both = generations.accumulate_steps([generations.generation_table(df.where(f"step = {s}"), 2) for s in (10, 20)])
     assert both.count() == 2
+
+
+def test_ranked_titles_leave_bodies_unread(frame):
+    rows = [(1, "x", "tx", "o", 5, 2.0, 0.1, 0.5, 1.0, "body")]
+    nested = benchmark.nest_results(frame(rows, LONG))
+    assert nested.first()["scraped_body"] == "body"
+    plan = benchmark.rank_titles(nested)._jdf.queryExecution().optimizedPlan().toString()
+    assert "max(scraped_body" not in plan
+
+
+def test_failed_results_keep_their_response(frame):
+    rows = [(1, "x", None, "o", 5, None, None, 0.5, 1.0, "b", "raw", "timeout")]
+    nested = benchmark.nest_results(frame(rows, LONG + ", full_response string, error string")).first()
+    result = nested["model_results"]["x"]
+    assert (result["full_response"], result["error"]) == ("raw", "timeout")
+
+
+def test_earlier_turns(frame):
+    turns = frame(
+        [(1, 2, "user", "c"), (1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 1, "tool", None),
+         (2, 5, "user", "only"), (None, 0, "user", "x"), (3, None, "user", "y")],
+        "conv_id long, turn long, role string, text string")
+    got = sorted((r["conv_id"], r["turn"], [(m["role"], m["content"]) for m in r["prompt"]])
+                 for r in training.earlier_turns(turns).collect())
+    assert got == [
+        (1, 0, []), (1, 1, [("user", "a")]), (1, 1, [("user", "a")]),
+        (1, 2, [("user", "a"), ("assistant", "b"), ("tool", None)]), (2, 5, []),
+    ]
+
+
+def test_title_requests_and_rewards(frame):
+    stories = frame(
+        [(1, "Old", "me", "u", "x" * 5000, 30, "val"), (2, "Low", "me", "u", "b", 3, "val"),
+         (3, "Train", "me", "u", "b", 30, "train"), (4, None, None, None, None, 30, "val")],
+        "id long, title string, by string, url string, scraped_body string, score long, split string")
+    stories = stories.withColumn("time", F.lit("2020-01-02 00:00:00").cast("timestamp_ntz"))
+    asked = {(r["item_id"], r["model"]): r for r in story_datasets.build_title_requests(stories, ["a", "b"]).collect()}
+    assert set(asked) == {(1, "a"), (1, "b"), (4, "a"), (4, "b")}
+    assert asked[1, "a"]["prompt"][1]["content"].count("x" * 4000) == 1
+    assert "x" * 4001 not in asked[1, "a"]["prompt"][1]["content"]
+    proposed = frame([(1, "New", "True"), (2, "fail", "true"), (3, "Bad", "False"), (4, "None", "True")],
+                     "id long, title string, verdict string")
+    got = {r["id"]: r for r in evaluations.reward_titles(stories, proposed, by_length).collect()}
+    assert got[1]["reward"] == got[1]["metrics"]["rm"] > 5000 and got[1]["metrics"]["length"] == 3
+    assert got[2]["reward"] is None and got[2]["error"] == "RuntimeError: no score"
+    assert got[3]["reward"] == 0 and got[3]["metrics"]["rm"] > 0 and got[3]["metrics"]["matches"] == 0
+    assert got[4]["reward"] is None and "is missing" in got[4]["error"]

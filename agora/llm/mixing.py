@@ -240,6 +240,8 @@ def mixed_documents(docs: DataFrame, mixed: Mix, block_words: int = BLOCK_WORDS)
     Columns are those of ``docs``.  A text that was taken whole is unchanged; of
     others the taken words are joined by single spaces, in the document's order.
     """
+    # plain equality, so that the join builds on the shuffle that drops copies; the hash tells null from 0
+    own_key = lambda key: (F.coalesce("doc_id", F.lit(0)).alias("id"), key.alias("key"))
     runs = (
         document_pieces(mixed, block_words)
         .join(mixed.taken.select("rank", "block", "pass"), ["rank", "block"])
@@ -247,7 +249,7 @@ def mixed_documents(docs: DataFrame, mixed: Mix, block_words: int = BLOCK_WORDS)
         .agg(F.array_sort(F.collect_list(F.struct("from", "to"))).alias("runs"), F.sum(F.col("to") - F.col("from")).alias("got"))
     )
     chosen = mixed.documents.where(F.col("size") > 0).join(runs, ["rank", "start"]).select(
-        F.col("doc_id").alias("id"), "row_key", "size", "runs", "got"
+        *own_key(F.col("row_key")), "size", "runs", "got"
     )
     whole = F.col("row")["text"]
     words = F.regexp_extract_all(whole, F.lit("([^\\x20\\x09-\\x0D]+)"), F.lit(1))
@@ -257,9 +259,8 @@ def mixed_documents(docs: DataFrame, mixed: Mix, block_words: int = BLOCK_WORDS)
     )
     cut = F.array_join(F.element_at(F.transform(F.array(words), pick), 1), " ")
     # rows with the same id and text share a key and differ at most in their source: one of them stands for all
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.struct(*docs.columns).alias("row"))
-    same = (F.col("key") == F.col("row_key")) & F.col("doc_id").eqNullSafe(F.col("id"))
-    joined = rows.dropDuplicates(["doc_id", "key"]).join(chosen, same)
+    rows = docs.select(*own_key(F.xxhash64("doc_id", "text")), F.struct(*docs.columns).alias("row"))
+    joined = rows.dropDuplicates(["id", "key"]).join(chosen, ["id", "key"])
     text = F.when(F.col("got") == F.col("size"), whole).otherwise(cut)
     out = joined.select("row", text.alias("taken"))
     made = {"text": F.col("taken")}

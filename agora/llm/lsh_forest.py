@@ -17,12 +17,17 @@ a Jaccard similarity of at least ``PERCENT`` / 100.
 4.  A region all of whose pairs are confirmed is one component.  Where one failed,
     all nodes of the region are compared, on full sets, with those not in its
     largest component so far, so no link within a region is lost.
-5.  Links make components.
+5.  Cutting only finds the first links of a region that is too heavy.  The nodes of
+    all such regions are then compared by prefixes: two sets that are linked share
+    one of their ``n - ceil(n * PERCENT / 100) + 1`` rarest shingles, in any order of
+    rarity that all sets agree on.  Nodes with such a shingle in common are a group
+    and are compared like a region.
+6.  Links make components.
 
 With 24 trees of depth 3 a pair at similarity 0.75 shares no region with
-probability 2e-6; regions cut deeper hold fewer values in common and lose a little
-more.  Weight bounds (``REGION_SHINGLES``) decide how work is dealt out, not what
-is compared within a region.
+probability 2e-6, however heavy its regions are.  Weight bounds
+(``REGION_SHINGLES``) decide how work is dealt out, not what is compared: a group
+beyond it is compared block by block.
 
 Nulls: a null, empty or wordless text has an empty set and is linked with nothing;
 a row without ``doc_id`` is linked with nothing either and has no component.
@@ -52,6 +57,8 @@ DEPTHS = (3, 5, 8, 12, 20, 36, 68)
 REGION_SHINGLES = 1_000_000
 #: Values by which a region's nodes are ordered.
 ORDERED = 16
+#: Shingles are ordered by the counts of so many hash buckets, and then by hash.
+RARITY_BITS = 20
 _VALUES = TREES * STEP
 _SEEDS = mix(np.arange(1, 2 * _VALUES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
@@ -170,8 +177,104 @@ def _resolve(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
 
 
-def _regions(nodes: DataFrame, region_shingles: int) -> tuple[DataFrame, DataFrame | None]:
-    """Members of all regions (key, node, order, members), and candidates (a, b) from regions that were cut."""
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Mixed shingles of a batch's sets, one after the other, and the sizes of the sets."""
+    column = batch.column("shingles")
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return mix(column.flatten().to_numpy().view(np.uint64)), sizes
+
+
+def _bucket_counts(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << RARITY_BITS, np.int64)
+    for batch in batches(source):
+        flat, _ = _flat(batch)
+        counts += np.bincount((flat >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=len(counts))
+    some = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["bucket", "n"])
+
+
+def _rarest(sent):
+    def rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(source):
+            flat, sizes = _flat(batch)
+            count = sent.value[(flat >> np.uint64(64 - RARITY_BITS)).astype(np.int64)]
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            by = np.lexsort((flat, count, owner))
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            reach = sizes + (-PERCENT * sizes) // 100 + 1
+            # a shingle that is alone in its bucket is in one set only
+            kept = by[(place < reach[owner]) & (count[by] > 1)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(flat[kept].view(np.int64)),
+                    batch.column("node").take(pa.array(owner[kept])),
+                    pa.array(sizes[owner[kept]]),
+                ],
+                names=["key", "node", "weight"],
+            )
+
+    return rows
+
+
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """Groups (key, node, weight) of sets that have one of their rarest shingles in common."""
+    counted = sets.select("shingles").mapInArrow(_bucket_counts, "bucket long, n long")
+    found = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most 2 ** RARITY_BITS rows
+    counts = np.zeros(1 << RARITY_BITS, np.int64)
+    counts[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+    sent = sets.sparkSession.sparkContext.broadcast(counts)
+    return sets.select("node", "shingles").mapInArrow(_rarest(sent), "key long, node long, weight long")
+
+
+def _compared(groups: DataFrame, label: DataFrame, sets: DataFrame, bound: int) -> DataFrame:
+    """Links (a, b) that join all components that meet in a group (key, node, weight).
+
+    Nodes outside a group's heaviest component are compared with all its nodes.  Both
+    are dealt into blocks of ``bound`` shingles, and each two blocks go to one task.
+    """
+    labelled = stage(
+        groups.join(label, "node", "left").select("key", "node", "weight", F.coalesce("label", "node").alias("label")),
+        "labelled",
+    )
+    each = labelled.groupBy("key", "label").agg(
+        F.sum("weight").alias("weight"), F.count("*").alias("size"),
+        F.sum(F.xxhash64("node") % (1 << 40)).alias("h1"), F.sum(F.xxhash64("node", F.lit(1)) % (1 << 40)).alias("h2"),
+    )
+    heaviest = F.max(F.struct("weight", "label"))
+    parts = lambda weight: F.ceil(weight / bound)
+    # groups often have the same members: one of them is enough
+    mixed = (
+        each.groupBy("key")
+        .agg(
+            F.count("*").alias("labels"), heaviest.alias("main"), F.sum("weight").alias("total"),
+            F.sum("size").alias("size"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"),
+        )
+        .where(F.col("labels") > 1)
+        .select(
+            "size", "h1", "h2", "key", F.col("main.label").alias("main"),
+            parts(F.col("main.weight")).alias("mains"), parts(F.col("total") - F.col("main.weight")).alias("rests"),
+        )
+        .groupBy("size", "h1", "h2")
+        .agg(F.min(F.struct("key", "main", "mains", "rests")).alias("one"))
+        .select("one.*")
+    )
+    dealt = F.xxhash64("node", F.lit(2))
+    inside = F.col("label") == F.col("main")
+    own = F.when(inside, F.col("rests") + F.pmod(dealt, "mains")).otherwise(F.pmod(dealt, "rests"))
+    last = F.when(inside, F.col("rests")).otherwise(F.col("rests") + F.col("mains")) - 1
+    others = F.filter(F.sequence(F.lit(0).cast("long"), last), lambda other: other != F.col("own"))
+    pair = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key")
+    open_ = (
+        labelled.join(stage(mixed, "mixed"), "key")
+        .select("key", "node", "label", own.alias("own"), last.alias("last"), "rests", "mains", "main")
+        .withColumn("other", F.explode(others))
+        .select(pair, "node", "label")
+    )
+    return open_.join(sets, "node").groupBy("key").applyInArrow(_resolve, "a long, b long")
+
+
+def _regions(nodes: DataFrame, region_shingles: int) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Members of all regions (key, node, weight, order, members), candidates (a, b) and nodes of those that were cut."""
     circle = F.concat("signature", "signature")
     values = lambda count, tree: F.substring(circle, 4 * STEP * tree + 1, 4 * count)
     prefixes = F.array(*[F.xxhash64(F.lit(t), values(DEPTHS[0], F.lit(t))) for t in range(TREES)])
@@ -179,6 +282,7 @@ def _regions(nodes: DataFrame, region_shingles: int) -> tuple[DataFrame, DataFra
     level = nodes.select("node", F.col("n").alias("weight"), F.posexplode(prefixes).alias("tree", "key"))
     found: list[DataFrame] = []
     stars: list[DataFrame] = []
+    cut = None
     # only ids move until the regions are known; signatures are fetched for members of regions
     for step in range(len(DEPTHS)):
         sizes = stage(
@@ -189,14 +293,16 @@ def _regions(nodes: DataFrame, region_shingles: int) -> tuple[DataFrame, DataFra
         )
         light = (F.col("total") <= region_shingles) | (F.col("members") == 2)
         heavy = sizes.where(~light)
-        found.append(level.join(sizes.where(light).select("key", "members"), "key").select("key", "node", "tree", "members"))
+        found.append(level.join(sizes.where(light).select("key", "members"), "key").select("key", "node", "weight", "tree", "members"))
         if not heavy.take(1):
             break
         inner = level.join(heavy.select("key", "centre", "members"), "key")
         stars.append(inner.where(F.col("node") != F.col("centre")).select(F.col("centre").alias("a"), F.col("node").alias("b")))
-        if step == len(DEPTHS) - 1:  # equal in this many values: chains over hashed parts, next to the star
+        if cut is None:
+            cut = stage(inner.select("node").distinct(), "cut")
+        if step == len(DEPTHS) - 1:  # equal in this many values: hashed parts, next to the star
             part = F.xxhash64("key", F.pmod(F.col("node"), F.ceil(F.col("members") / 1000)))
-            found.append(inner.select(part.alias("key"), "node", "tree", F.lit(2).cast("long").alias("members")))
+            found.append(inner.select(part.alias("key"), "node", "weight", "tree", "members"))
             break
         deeper = F.xxhash64("key", values(DEPTHS[step + 1], F.col("tree"))).alias("key")
         level = stage(inner.join(signatures, "node").select(deeper, "node", "weight", "tree"), "region-members")
@@ -207,7 +313,7 @@ def _regions(nodes: DataFrame, region_shingles: int) -> tuple[DataFrame, DataFra
     for more in stars:
         star = more if star is None else star.unionByName(more)
     order = values(ORDERED, F.col("tree")).alias("order")
-    return members.join(signatures, "node").select("key", "node", "members", order), star
+    return members.join(signatures, "node").select("key", "node", "weight", "members", order), star, cut
 
 
 def near_duplicates(docs: DataFrame, region_shingles: int = REGION_SHINGLES) -> DataFrame:
@@ -227,7 +333,7 @@ def near_duplicates(docs: DataFrame, region_shingles: int = REGION_SHINGLES) ->
         .withColumn("node", F.monotonically_increasing_id())
     )
     nodes = stage(classes, "nodes")
-    members, star = _regions(nodes, region_shingles)
+    members, star, cut = _regions(nodes, region_shingles)
     members = stage(members, "members")
     order = Window.partitionBy("key").orderBy("order", "node")
     chain = (
@@ -258,26 +364,12 @@ def near_duplicates(docs: DataFrame, region_shingles: int = REGION_SHINGLES) ->
     sure = judged.where("linked").select("a", "b")
     first = stage(components(sure), "first-components")
     failed = chain.where(F.col("members") > 2).join(judged.where(~F.col("linked")).select("a", "b"), ["a", "b"], "left_semi")
-    labelled = (
-        members.join(failed.select("key").distinct(), "key", "left_semi")
-        .select("key", "node")
-        .join(first, "node", "left")
-        .select("key", "node", F.coalesce("label", "node").alias("label"))
-    )
-    # regions of different trees often have the same members: one of them is enough
-    mixed = (
-        labelled.groupBy("key")
-        .agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"),
-            F.sum(F.xxhash64("node") % (1 << 40)).alias("h1"), F.sum(F.xxhash64("node", F.lit(1)) % (1 << 40)).alias("h2"),
-        )
-        .where(F.col("low") < F.col("high"))
-        .groupBy("size", "h1", "h2")
-        .agg(F.min("key").alias("key"))
-    )
-    open_ = labelled.join(mixed.select("key"), "key", "left_semi")
-    rest = open_.join(sets, "node").groupBy("key").applyInArrow(_resolve, "a long, b long")
-    label = components(sure.unionByName(rest))
+    open_ = members.join(failed.select("key").distinct(), "key", "left_semi").select("key", "node", "weight")
+    sure = stage(sure.unionByName(_compared(open_, first, sets, region_shingles)), "sure")
+    label = stage(components(sure), "components")
+    if cut is not None:
+        groups = _prefixes(sets.join(cut, "node", "left_semi"))
+        label = components(sure.unionByName(_compared(groups, label, sets, region_shingles)))
     least = label.join(nodes.select("node", "id"), "node").groupBy("label").agg(F.min("id").alias("least"))
     ids = nodes.select("print", "node", "id").join(label, "node", "left").join(least, "label", "left")
     ids = ids.select("print", F.coalesce("least", "id").alias("class_id"))

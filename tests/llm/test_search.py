@@ -127,6 +127,27 @@ def test_groups_are_those_of_all_links(docs, bound):
             assert row["kept"] == (row["doc_id"] == row["component_id"])
 
 
+def test_region_cut_to_any_depth_keeps_its_links(docs):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    rows, now = [], [word() for _ in range(124)]
+    for i in range(60):  # each one a little further off, neighbours just linked
+        rows.append((i, " ".join(now)))
+        at = [(7 * i + 31 * k) % 124 for k in range(3)]
+        now = [word() if j in at else w for j, w in enumerate(now)]
+    frame = [word() for _ in range(124)]
+    for i in range(100, 180):  # one template; a third of its copies have no other copy near
+        edits = rng.randint(1, 7)
+        at = set(rng.sample(range(124), edits))
+        rows.append((i, " ".join(word() if j in at else w for j, w in enumerate(frame))))
+    rng.shuffle(rows)
+    wanted = least_reachable(rows)
+    assert len({c for _, c in wanted.values()}) > 2
+    for bound in (150, 1_500):
+        found = lsh_forest.near_duplicates(docs(rows), region_shingles=bound).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == wanted
+
+
 def test_no_documents_no_groups(docs):
     assert lsh_forest.near_duplicates(docs([])).count() == 0
 

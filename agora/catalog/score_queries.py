@@ -653,23 +653,15 @@ group by a.conv_id, a.turn, a.place"""
 _CHAT_TOKENS = r"len(regexp_extract_all(chat, '\S+'))"
 
 
-def chats(spark, sf_dir):
-    """Every turn with the whole conversation before it."""
-    turns = table(configure(spark), sf_dir, "conversations")
-    return training.earlier_turns(turns)
-
-
 @query("chat_length_filter", oracle(chats=_CHATS) + f"""
 select conv_id, turn, md5(chat) as md5 from chats where {_CHAT_TOKENS} <= 300""")
 def chat_length_filter(spark, sf_dir):
-    kept = training.filter_chat_length(chats(spark, sf_dir), 300)
-    return kept.select(
-        "conv_id", "turn", F.md5(prompts.render_chat(F.col("prompt"))).alias("md5")
-    )
+    kept = training.filter_turns(table(configure(spark), sf_dir, "conversations"), 300)
+    return kept.select("conv_id", "turn", F.md5("chat").alias("md5"))
 
 
 @query("chat_length_report", oracle(chats=_CHATS) + f"""
 select count(*) as samples_before, count(case when {_CHAT_TOKENS} <= 300 then 1 end) as samples_after
 from chats""")
 def chat_length_report(spark, sf_dir):
-    return training.chat_length_report(chats(spark, sf_dir), 300)
+    return training.turn_length_report(table(configure(spark), sf_dir, "conversations"), 300)

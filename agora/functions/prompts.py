@@ -86,16 +86,16 @@ def reasoning_prompt() -> Column:
     return F.concat(F.lit(fixed.REASONING_REQUEST), serialize_story("scraped"), F.lit("\n"))
 
 
+def render_message(message: Column) -> Column:
+    """One message in the default chat layout; null where role or content is."""
+    opening, closing = F.lit("<|im_start|>"), F.lit("<|im_end|>\n")
+    return F.concat(opening, message["role"], F.lit("\n"), message["content"], closing)
+
+
 def render_chat(chat: Column) -> Column:
     """Default chat layout, with the opening of the reply appended.
 
     A model's own layout can be used instead wherever a ``render`` argument
     is offered.
     """
-    turns = F.transform(
-        chat,
-        lambda m: F.concat(
-            F.lit("<|im_start|>"), m["role"], F.lit("\n"), m["content"], F.lit("<|im_end|>\n")
-        ),
-    )
-    return F.concat(F.array_join(turns, ""), F.lit("<|im_start|>assistant\n"))
+    return F.concat(F.array_join(F.transform(chat, render_message), ""), F.lit("<|im_start|>assistant\n"))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agora.operators.joins import running_start  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,24 +29,6 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def running_start(df: DataFrame, group: list[str], within: str, order: list, size: str, out: str) -> DataFrame:
-    """Add ``out``: the sum of ``size`` over all earlier rows of the same group.
-
-    Rows come in the order of ``within`` (an integer that deals a group into
-    pieces small enough for one task) and then of ``order``.  Only the pieces'
-    totals are summed along a whole group, so no task holds a large group.
-    """
-    totals = df.groupBy(*group, within).agg(F.sum(size).alias("_total"))
-    along = Window.partitionBy(*group).orderBy(within).rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select(*group, within, F.coalesce(F.sum("_total").over(along), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy(*group, within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    added = df.withColumn("_inside", F.coalesce(F.sum(size).over(inside), F.lit(0)))
-    match = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*group, within]]
-    joined = added.alias("l").join(bases.alias("r"), match, "left")
-    kept = [F.col(f"l.{c}") for c in df.columns]
-    return joined.select(*kept, (F.col("r._base") + F.col("l._inside")).cast("long").alias(out))
-
-
 def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches that have rows."""
     return (x for x in source if x.num_rows)

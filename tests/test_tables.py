@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import sys
 import types
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agora import schemas
+from agora.catalog import QUERIES
 from agora.operators import benchmark, filters, generations, joins, ranking, training
 from agora.operators.scoring import batch_score, score_columns, score_titles
 from agora.plans import evaluations, story_datasets
@@ -377,6 +379,28 @@ def test_earlier_turns(frame):
     ]
 
 
+def test_chats_are_gathered_only_as_far_as_they_fit(spark, frame, fresh_path):
+    rows = [(1, t, "user", f"w{t} " * (t % 4)) for t in range(-300, 700)]  # one that holds most rows
+    rows += [(2, 0, "user", "a"), (2, 1, "tool", None), (2, 1, None, "x"), (2, 1, "user", ""), (2, 1, "user", ""),
+             (2, 9, "user", "b"), (3, 4, "user", "long " * 400), (3, 5, "user", "c"), (None, 1, "user", "x"), (4, None, "user", "y")]
+    folder = fresh_path()
+    frame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    wanted, known = [], [r for r in rows if r[0] is not None and r[1] is not None]
+    for conv, turn, _, _ in known:
+        said = sorted((r for r in known if r[0] == conv and r[1] < turn and None not in r), key=lambda r: r[1:])
+        chat = "".join(f"<|im_start|>{r[2]}\n{r[3]}<|im_end|>\n" for r in said) + "<|im_start|>assistant\n"
+        if len(chat.split()) <= 300:
+            wanted.append((conv, turn, hashlib.md5(chat.encode()).hexdigest()))
+    kept = QUERIES["chat_length_filter"](spark, folder)
+    assert sorted(map(tuple, kept.collect())) == sorted(wanted)
+    report = QUERIES["chat_length_report"](spark, folder)
+    assert tuple(report.first()) == (len(known), len(wanted))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan(report)
+    gathering = plan(kept).split("collect_list", 1)[1]
+    assert "< last#" in gathering  # cut before it is gathered
+
+
 def test_title_requests_and_rewards(frame):
     stories = frame(
         [(1, "Old", "me", "u", "x" * 5000, 30, "val"), (2, "Low", "me", "u", "b", 3, "val"),

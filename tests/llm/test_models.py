@@ -122,6 +122,19 @@ def test_languages_are_told_apart(corpus):
     assert found.where("lang_pred not in ('aa', 'bb', 'und') or score not between 0 and 1").count() == 0
 
 
+def test_a_tiny_language_stays_beside_a_huge_one(spark):
+    rng = np.random.default_rng(2)
+    huge = ["".join(map(chr, rng.integers(0x4E00, 0x9FA0, 40_000))) for _ in range(42)]  # 1.7 million 4-grams
+    tiny = "quick brown fox"
+    rows = [(i, t, "big") for i, t in enumerate(huge)] + [(100, tiny, "small")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert model.langs == ["big", "small"]
+    assert len(model.probs[0][0]) >= 42 * 39_000
+    found = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs, model).collect()}
+    assert found == {i: lang for i, _, lang in rows}
+
+
 def test_no_language_to_learn(corpus):
     docs, _ = corpus
     model = language.train(docs.where("false"))

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agora.llm import (
+    filter_audit,
     fm_index,
     grammar_tokens,
     language,
     lsh_forest,
     mixing,
     mtree,
+    multi_index,
+    piece_spans,
     quality,
     secret_tags,
     separator_scan,
@@ -23,6 +26,7 @@ from agora.llm.common import id_bucket, table
 from agora.sources.staging import scratch_root
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path() -> str:
@@ -31,6 +35,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def pieces_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(PIECES)
+
+
 def _folder(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/agora-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
@@ -136,6 +146,28 @@ def op10_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separator_scan.count_tokens(spark, folder).select("doc_id", "n_tokens", "open")
 
 
+def op11_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = piece_spans.encode_spans(table(spark, sf_dir, "documents"), pieces_path())
+    covered = F.try_element_at("ends", F.lit(-1)) - F.try_element_at("starts", F.lit(1))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(covered, F.lit(0)).cast("long").alias("covered_bytes"),
+    )
+
+
+def op12_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return multi_index.hard_negatives(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP8_SQL = """
 with usable as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
@@ -165,5 +197,12 @@ QUERIES = {
     "op8_mtree_top5": op8_mtree_top5,
     "op9_language_kneser_ney": op9_language_kneser_ney,
     "op10_separator_scan": op10_separator_scan,
+    "op11_piece_spans": op11_piece_spans,
+    "op12_multi_index": op12_multi_index,
+    "op13_filter_audit": op13_filter_audit,
+}
+ORACLES = {
+    "op8_mtree_top5": OP8_SQL,
+    "op12_multi_index": multi_index.SQL,
+    "op13_filter_audit": filter_audit.SQL,
 }
-ORACLES = {"op8_mtree_top5": OP8_SQL}

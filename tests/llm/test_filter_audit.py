@@ -1,0 +1,76 @@
+"""The filter audit against every order run document by document."""
+
+import re
+from collections import Counter
+from itertools import permutations
+
+import pytest
+
+from agora.llm import filter_audit
+
+LONG = " ".join(f"word{i}" for i in range(60))
+
+
+def fails(key, text, texts):
+    own = re.findall(r"[^\x20\x09-\x0D]+", text)
+    out = ""
+    out += "A" if len(own) < 50 else ""
+    out += "B" if 100 * len(set(own)) < 65 * len(own) else ""
+    out += "C" if 100 * len(re.findall("[A-Z]", text)) > 5 * len(text) else ""
+    out += "D" if re.search(r"[#$%&*|]", text) else ""
+    out += "E" if key is not None and any(k is not None and k < key and t == text for k, t in texts) else ""
+    return out
+
+
+def by_running(rows, labels):
+    texts = [(k, t or "") for k, t, _ in rows]
+    good, toxic = ({k for k, *x in labels if x[i] == 1 and k is not None} for i in (0, 1))
+    counted, shapley, parts = {}, Counter(), sorted({s or "" for _, _, s in rows})
+    judged = [(k, s or "", fails(k, t or "", texts)) for k, t, s in rows]
+    for order in map("".join, permutations("ABCDE")):
+        for part in parts:
+            left = [x for x in judged if x[1] == part]
+            gone = []
+            for step, letter in enumerate(order, 1):
+                now = [x for x in left if letter in x[2]]
+                redundant = sum(letter in x[2] for x in gone)
+                left = [x for x in left if letter not in x[2]]
+                gone += now
+                alone = sum(x[2] == letter for x in left + gone)
+                shapley[part, letter] += len(now)
+                row = (len(left), len(now), redundant, alone, sum(x[0] in good for x in now), sum(x[0] in toxic for x in now))
+                counted[part, order, step] = row
+    return sorted((p, o, s, *row, shapley[p, o[s - 1]]) for (p, o, s), row in counted.items())
+
+
+def test_every_order_and_step(spark):
+    texts = [LONG, "short", "", None, LONG.upper(), LONG + " #tag", "a b " * 40, "A B " * 40, "$", LONG, "a b " * 40, "é Ñ " * 60]
+    texts += ["\t\n \x0b word one " * 30, "word " * 30_000, "NO\x00T", LONG + "\x1c"]
+    rows = [(k, t, ["x", "y", None, ""][k % 4]) for k, t in enumerate(texts * 2)]
+    rows += [(None, LONG, "x"), (None, "short", "x"), (3, "copy", "x"), (3, "copy", "y"), (2, "copy", "y")]
+    labels = [(k, k % 2, int(k % 3 == 0)) for k in range(0, 20)] + [(4, None, None), (5, 1, 0), (5, 0, 1), (None, 1, 1), (999, 1, 1)]
+    frame = spark.createDataFrame([(*x, 1, "m") for x in rows], "doc_id long, text string, source string, part int, mask string")
+    known = spark.createDataFrame([(*x, "t") for x in labels], "doc_id long, quality int, toxic int, text string")
+    found = filter_audit.audit(frame, known)
+    assert sorted(map(tuple, found.collect())) == by_running(rows, labels)
+
+
+def test_no_labels_and_no_documents(spark):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    some = spark.createDataFrame([(1, LONG, "s")], "doc_id long, text string, source string")
+    found = filter_audit.audit(some, none)
+    assert found.count() == 600 and found.where("good_lost <> 0 or removed <> 0 or kept <> 1").count() == 0
+    assert filter_audit.audit(some.where("doc_id = 2"), none).count() == 0
+
+
+def test_a_hot_text_is_split(spark):
+    rows = spark.range(0, 3000).selectExpr("id as doc_id", "if(id % 3 = 0, 'same', concat('t', id)) as text", "'s' as source")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    row = filter_audit.audit(rows, none).where("filter_order = 'EABCD' and step = 1").first()
+    assert (row["removed"], row["kept"], row["shapley"]) == (999, 2001, 999 * 60)
+
+
+@pytest.mark.parametrize("mask", [1, 6, 31])
+def test_intervals_remove_a_mask_once_in_every_order(mask):
+    met = Counter(r for m, _, first, after in filter_audit.removal_intervals() if m == mask for r in range(first, after))
+    assert met == {r: 1 for r in range(120)}

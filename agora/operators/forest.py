@@ -1,12 +1,24 @@
 """Reply-forest operators.
 
-Depth and ancestry are found by pointer doubling.  Every open comment keeps a
-pointer to an ancestor and jumps over that ancestor's own pointer in each
-round, so ``r`` rounds cover ``2**r`` levels: five rounds for 24 levels,
-instead of one round per level.  Only ids move during the rounds, never text,
-and only open comments are joined again.  Each round is one equi-join whose
-streamed side may be hot (many replies below one ancestor) and whose other
-side is unique per id; its result is staged so that lineage stays short.
+Levels.  Every open comment keeps a pointer to an ancestor and jumps over that
+ancestor's own pointer in each round, so ``r`` rounds cover ``2**r`` levels: five
+rounds for 24 levels.  Only rows that others point at go into the next round: first the
+comments with replies, then those with replies of replies, and so on.  All others wait
+and are joined once, in the end, to what their pointer has become; rows that are done do
+not move again.  For chains of any length the rows are ranked by sparse ruling sets: one id in eight is a
+ruler, pointers stop at rulers, the rulers alone are ranked over their longer pointers,
+and the rest is joined to its ruler once.  The work grows with the rows, and only an
+eighth of it with the logarithm of the depth.
+
+Ancestors.  A few asked comments walk upwards: each round looks up the posts that are
+reached now, whatever else their threads hold.  What is still open after ``WALK_ROUNDS``
+rounds, and everything where a large part of all posts is asked for, climbs by tables of
+jumps over 1, 2, 4... posts of the threads concerned.  Results are rows of (id, depth,
+ancestor), as many as there are ancestors.
+
+Only ids move during the rounds, never text.  Each join streams the side that may be hot
+(many replies below one ancestor) against one that is unique per id; results are staged
+so that lineage stays short.
 """
 
 from __future__ import annotations
@@ -15,12 +27,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from agora import fixed_values as fixed
 from agora.functions.text import unescape_html
 from agora.operators.joins import attach, keep_in
-from agora.sources.staging import stage
+from agora.sources.staging import discard, stage
+
+#: One id in so many is a ruler where chains may have any length.
+RULERS = 8
+#: Asked comments walk so many posts up before their whole threads are looked at.
+WALK_ROUNDS = 32
+#: They walk if they are at most one in so many of all posts.
+WALK_SHARE = 16
 
 # --- ranks and sibling counts ----------------------------------------------
 
@@ -78,60 +96,79 @@ def siblings_count(comments: DataFrame) -> DataFrame:
     return attach(comments, sizes, ["parent"])
 
 
-# --- pointer doubling --------------------------------------------------------
+# --- levels --------------------------------------------------------------------
+
 
+def _is_ruler(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(RULERS)) == 0
 
-def _rounds(start: DataFrame, label: str, pointed, combine, is_open: Column) -> DataFrame:
-    """Run doubling rounds until no row is open and return all final rows.
 
-    ``pointed`` selects what an ancestor offers, keyed by ``tip``; ``combine``
-    maps the columns of an open row and of its ancestor's offer to new ones.
+def _over_tip(rows: DataFrame, tips: DataFrame, limit: int) -> DataFrame:
+    """Each of ``rows`` moved over what its tip says; without a word of the tip it leads nowhere.
+
+    ``tips`` may hold more rows than those pointed at.  Both have id, tip, level and hops.
     """
-    table = stage(start, label)
-    done = []
-    while not (still := table.where(is_open)).isEmpty():
-        done.append(table.where(~is_open))
-        offers = reduce(DataFrame.unionByName, [*done, still]).select(*pointed)
-        table = stage(still.join(offers, "tip", "left").select(*combine), label)
-    return reduce(DataFrame.unionByName, [*done, table])
+    said = tips.toDF("tip", "tip_tip", "tip_level", "tip_hops")
+    settled = F.col("tip_level").isNotNull()
+    total = F.col("hops") + F.col("tip_level")
+    far = F.col("hops") + F.coalesce("tip_hops", F.lit(0))
+    # unlike a plain join, this one leaves hot tips open to being split
+    return attach(rows, said, ["tip"]).select(
+        "id",
+        F.when(~settled & (far <= limit), F.col("tip_tip")).alias("tip"),
+        F.when(total <= limit, total).alias("level"),
+        far.alias("hops"),
+    )
 
 
-def reply_levels(comments: DataFrame, max_level: int = fixed.MAX_NESTED_LEVEL) -> DataFrame:
+def _climb(nodes: DataFrame, label: str, limit: int, stop: Column, rounds: int = 0) -> DataFrame:
+    """Double the pointers of staged ``nodes`` (id, tip, level, hops) until none is open; the same columns.
+
+    A row is closed when its level is known, when ``tip`` is null (it leads nowhere) or when
+    ``stop`` holds for its tip.  Chains longer than ``limit`` lead nowhere.  Only what is pointed
+    at moves on to the next round; all other rows wait, and are moved over their tip in the end.
+    """
+    is_open = F.col("level").isNull() & F.col("tip").isNotNull() & ~stop
+    still, closed = nodes.where(is_open), nodes.where(~is_open)
+    if still.isEmpty():
+        return nodes
+    met = stage(keep_in(nodes, "id", still.select("tip").distinct()), f"{label}-met")
+    doubled = _over_tip(met.where(is_open), met, limit).unionByName(met.where(~is_open))
+    final = _climb(stage(doubled, label), label, limit, stop, rounds + 1)
+    found = _over_tip(still, final, limit).unionByName(closed)
+    return stage(found, label) if rounds > 4 else found
+
+
+def _rank_by_rulers(nodes: DataFrame, label: str, limit: int) -> DataFrame:
+    """Levels of ``nodes`` with chains of any length, by a sparse ruling set."""
+    ruled = F.col("level").isNull() & F.col("tip").isNotNull()
+    reached = stage(_climb(nodes, label, limit, stop=_is_ruler(F.col("tip"))), f"{label}-segments")
+    rulers = stage(reached.where(_is_ruler(F.col("id"))), f"{label}-rulers")
+    ranked = stage(_climb(rulers, f"{label}-rulers", limit, stop=F.lit(False)), f"{label}-ranked")
+    return _over_tip(reached.where(ruled), ranked, limit).unionByName(reached.where(~ruled))
+
+
+def reply_levels(comments: DataFrame, max_level: int | None = fixed.MAX_NESTED_LEVEL) -> DataFrame:
     """``(id, nested_level)``: 0 for direct replies, parent's level + 1 below.
 
     Only parents inside ``comments`` count.  -1 marks comments that are deeper
-    than ``max_level`` or do not connect to a direct reply.
+    than ``max_level`` (None: any depth) or do not connect to a direct reply.
     """
     top = F.coalesce(F.col("parent") == F.col("top_level_parent"), F.lit(False))
-    start = comments.select(
-        "id",
-        F.when(~top, F.col("parent")).alias("tip"),
-        F.when(top, 0).alias("level"),
-        F.lit(1).alias("hops"),
-    )
-    total = F.col("hops") + F.col("tip_level")
-    far = F.col("hops") + F.coalesce("tip_hops", F.lit(0))
-    settled = F.col("tip_level").isNotNull()
-    # An offer without a pointer and without a level is a dead end, and so is a
-    # missing offer; both leave tip null, which closes the row.
-    final = _rounds(
-        start,
-        "levels",
-        pointed=(
-            F.col("id").alias("tip"),
-            F.col("tip").alias("tip_tip"),
-            F.col("level").alias("tip_level"),
-            F.col("hops").alias("tip_hops"),
-        ),
-        combine=(
-            F.col("id"),
-            F.when(~settled & (far <= max_level), F.col("tip_tip")).alias("tip"),
-            F.when(total <= max_level, total).alias("level"),
-            far.alias("hops"),
+    nodes = stage(
+        comments.select(
+            "id",
+            F.when(~top, F.col("parent")).alias("tip"),
+            F.when(top, 0).cast("long").alias("level"),
+            F.lit(1).cast("long").alias("hops"),
         ),
-        is_open=F.col("tip").isNotNull(),
+        "levels",
     )
-    return final.select("id", F.coalesce("level", F.lit(-1)).alias("nested_level"))
+    if max_level is None:
+        ranked = _rank_by_rulers(nodes, "levels", limit=nodes.count())
+    else:
+        ranked = _climb(nodes, "levels", limit=max_level, stop=F.lit(False))
+    return ranked.select("id", F.coalesce("level", F.lit(-1)).cast("int").alias("nested_level"))
 
 
 def nested_level(comments: DataFrame, max_level: int = fixed.MAX_NESTED_LEVEL) -> DataFrame:
@@ -159,47 +196,81 @@ def thread_closure(
 # --- ancestors ---------------------------------------------------------------
 
 
-def ancestor_paths(items: DataFrame) -> DataFrame:
-    """``(id, path)``: ids from the direct parent up to below the story, nearest first.
-
-    A comment that turns up among its own ancestors is on a cycle, an error; every
-    cycle has such a comment once paths are as long as the cycle.
-    """
+def _jumps(items: DataFrame) -> DataFrame:
+    """``(ancestor, next)``: posts below a story and the post above them, unless that is the story."""
     inner = F.col("parent").isNotNull() & ~F.col("parent").eqNullSafe(F.col("top_level_parent"))
-    ids = T.ArrayType(T.LongType())
-    start = items.select(
-        "id",
-        F.when(inner, F.col("parent")).alias("tip"),
-        F.when(inner, F.array("parent")).otherwise(F.array().cast(ids)).alias("path"),
+    return items.where(inner).select(F.col("id").alias("ancestor"), F.col("parent").alias("next"))
+
+
+def _one_up(rows: DataFrame, jumps: DataFrame, by: int) -> DataFrame:
+    """Rows of (id, depth, ancestor) moved ``by`` posts up; those that end before are gone."""
+    # unlike a plain join, this one leaves hot ancestors open to being split
+    return attach(rows, jumps, ["ancestor"], "inner").select(
+        "id", (F.col("depth") + by).alias("depth"), F.col("next").alias("ancestor")
     )
-    longer = F.concat("path", F.coalesce("tip_path", F.array().cast(ids)))
-    too_long = F.raise_error(F.lit("a reply chain does not end; parents form a cycle"))
-    return _rounds(
-        start,
-        "paths",
-        pointed=(
-            F.col("id").alias("tip"),
-            F.col("tip").alias("tip_tip"),
-            F.col("path").alias("tip_path"),
-        ),
-        combine=(
-            F.col("id"),
-            F.col("tip_tip").alias("tip"),
-            F.when(F.array_contains(longer, F.col("id")), too_long.cast(ids)).otherwise(longer).alias("path"),
-        ),
-        is_open=F.col("tip").isNotNull(),
-    ).select("id", "path")
 
 
-def paths_of(comments: DataFrame, items: DataFrame) -> DataFrame:
-    """``(id, top_level_parent, path)`` of the given comments.
+def _walked(start: DataFrame, items: DataFrame, rounds: int) -> tuple[list[DataFrame], DataFrame]:
+    """Walk up one post a round; what was found and the rows that are still on their way."""
+    found, still = [], start
+    for _ in range(rounds):
+        if still.isEmpty():
+            break
+        found.append(still)
+        met = keep_in(_jumps(items), "ancestor", still.select("ancestor").distinct())
+        still = stage(_one_up(still, met, 1), "walk")
+    return found, still
+
 
-    Only the threads asked for are walked.  Their roots are staged, so that few
-    of them are broadcast and many are met in a plain shuffle.
+def _climbed(start: DataFrame, threads: DataFrame) -> list[DataFrame]:
+    """All ancestors of ``start`` from its own depth on, by jumps that double in length.
+
+    ``threads`` are the posts of all threads concerned.  Only posts with replies are jumped from.
+    """
+    edges = stage(_jumps(threads), "jumps")
+    replied = edges.select("next").distinct().unionByName(start.select(F.col("ancestor").alias("next"))).distinct()
+    jumps = stage(keep_in(edges, "ancestor", replied), "jumps")
+    inner = jumps.select(F.col("ancestor").alias("id"), F.col("next").alias("tip"))
+    above = jumps.select(F.col("next").alias("id")).distinct().join(jumps.select(F.col("ancestor").alias("id")), "id", "left_anti")
+    nodes = inner.select("id", "tip", F.lit(None).cast("long").alias("level"), F.lit(1).cast("long").alias("hops"))
+    tops = above.select("id", F.lit(None).cast("long").alias("tip"), F.lit(0).cast("long").alias("level"), F.lit(0).cast("long").alias("hops"))
+    ranked = _rank_by_rulers(stage(nodes.unionByName(tops), "ranks"), "ranks", jumps.count() + 1)
+    ends, deepest = ranked.agg(F.count_if(F.col("level").isNull()), F.max("level")).first()
+    if ends:
+        raise ValueError("a reply chain does not end; parents form a cycle")
+    rows, length = start, 1
+    while length <= (deepest or 0):
+        more = stage(rows.unionByName(_one_up(rows, jumps, length)), "ancestors")
+        length *= 2
+        if length <= deepest:
+            twice = jumps.join(jumps.toDF("next", "after"), "next").select("ancestor", F.col("after").alias("next"))
+            jumps, old = stage(twice, "jumps"), jumps
+            discard(old)
+        rows = more
+    return [rows]
+
+
+def ancestor_steps(comments: DataFrame, items: DataFrame, walk_rounds: int = WALK_ROUNDS) -> DataFrame:
+    """``(id, depth, ancestor)``: the direct parent at depth 0, up to below the story.
+
+    Every asked ``id`` counts once.  Posts that are nowhere in ``items`` end a chain; parents that form
+    a cycle are an error.
     """
-    roots = stage(comments.select("top_level_parent").distinct(), "roots")
-    edges = keep_in(items.select("id", "parent", "top_level_parent"), "top_level_parent", roots)
-    return comments.select("id", "top_level_parent").join(ancestor_paths(edges), "id")
+    asked = stage(comments.select("id").distinct(), "asked")
+    first = keep_in(items, "id", asked).select("id", "parent", "top_level_parent")
+    start = stage(
+        _jumps(first).select(F.col("ancestor").alias("id"), F.lit(0).alias("depth"), F.col("next").alias("ancestor")),
+        "walk",
+    )
+    few = asked.count() * WALK_SHARE <= items.count()
+    found, still = _walked(start, items, walk_rounds if few else 0)
+    if not still.isEmpty():
+        # the threads of what is still on its way; their roots are staged, so that few of them are
+        # broadcast and many are met in a plain shuffle
+        roots = keep_in(items, "id", still.select("ancestor").distinct()).select("top_level_parent").distinct()
+        edges = items.select("id", "parent", "top_level_parent")
+        found += _climbed(still, keep_in(edges, "top_level_parent", stage(roots, "roots")))
+    return reduce(DataFrame.unionByName, found) if found else start
 
 
 def ancestor_rows(comments: DataFrame, items: DataFrame) -> DataFrame:
@@ -208,9 +279,7 @@ def ancestor_rows(comments: DataFrame, items: DataFrame) -> DataFrame:
     Ids are resolved first; texts are fetched once at the end, those of
     ancestors only.
     """
-    steps = stage(
-        paths_of(comments, items).select("id", F.posexplode("path").alias("depth", "ancestor")), "ancestors"
-    )
+    steps = stage(ancestor_steps(comments, items), "ancestors")
     people = keep_in(items.select("id", "by", "text"), "id", steps.select("ancestor").distinct())
     people = people.select(F.col("id").alias("ancestor"), F.col("by").alias("author"), "text")
     # unlike a plain join, this one leaves hot ancestors open to being split

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agora.functions.prompts import author_and_text, comment_xml, story_content, xml_text
-from agora.operators.forest import paths_of
+from agora.operators.forest import ancestor_steps
 from agora.operators.joins import attach, keep_in
 from agora.sources.staging import stage
 
@@ -25,15 +25,13 @@ def prompt_parts(ids: DataFrame, items: DataFrame) -> DataFrame:
     the side that may be hot (a story quoted by all its comments) carries ids
     only.
     """
-    wanted = keep_in(items, "id", ids).select("id", "top_level_parent")
-    ancestors = F.transform("path", lambda a, i: F.struct(i.alias("place"), a.alias("post")))
+    wanted = stage(keep_in(items, "id", ids).select("id", "top_level_parent"), "wanted")
     others = F.array(
         F.struct(F.lit(_STORY).alias("place"), F.col("top_level_parent").alias("post")),
         F.struct(F.lit(_SELF).alias("place"), F.col("id").alias("post")),
     )
-    steps = stage(
-        paths_of(wanted, items).select("id", F.inline(F.concat(others, ancestors))), "steps"
-    )
+    above = ancestor_steps(wanted, items).select("id", F.col("depth").alias("place"), F.col("ancestor").alias("post"))
+    steps = stage(wanted.select("id", F.inline(others)).unionByName(above), "steps")
     fields = ("by", "text", "title", "url")
     posts = keep_in(items.select("id", *fields), "id", steps.select("post").distinct())
     posts = posts.select(F.col("id").alias("post"), *[xml_text(F.col(c)).alias(c) for c in fields])

@@ -46,6 +46,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete one staged table that nothing reads any more."""
+    spark = df.sparkSession
+    for name in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete all staged tables of this application.
 

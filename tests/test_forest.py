@@ -127,7 +127,7 @@ def test_endless_chain_is_reported(frame, length):
     circle = [(i, i % length + 1, 0) for i in range(1, length + 1)]
     edges = frame([*circle, (100, 1, 0), (101, 100, 0)], EDGE)
     with pytest.raises(Exception, match="cycle"):
-        forest.ancestor_paths(edges).collect()
+        forest.ancestor_steps(edges, edges).collect()
 
 
 def test_a_list_with_many_repeats_is_settled_in_one_sort(frame):

@@ -39,6 +39,8 @@ RULERS = 8
 WALK_ROUNDS = 32
 #: They walk if they are at most one in so many of all posts.
 WALK_SHARE = 16
+#: Chains of so many posts are looked at for cycles.
+_UNCHECKED = 64
 
 # --- ranks and sibling counts ----------------------------------------------
 
@@ -196,10 +198,14 @@ def thread_closure(
 # --- ancestors ---------------------------------------------------------------
 
 
+def _below_story() -> Column:
+    """Whether a post answers another one than its story."""
+    return F.col("parent").isNotNull() & ~F.col("parent").eqNullSafe(F.col("top_level_parent"))
+
+
 def _jumps(items: DataFrame) -> DataFrame:
     """``(ancestor, next)``: posts below a story and the post above them, unless that is the story."""
-    inner = F.col("parent").isNotNull() & ~F.col("parent").eqNullSafe(F.col("top_level_parent"))
-    return items.where(inner).select(F.col("id").alias("ancestor"), F.col("parent").alias("next"))
+    return items.where(_below_story()).select(F.col("id").alias("ancestor"), F.col("parent").alias("next"))
 
 
 def _one_up(rows: DataFrame, jumps: DataFrame, by: int) -> DataFrame:
@@ -222,32 +228,38 @@ def _walked(start: DataFrame, items: DataFrame, rounds: int) -> tuple[list[DataF
     return found, still
 
 
-def _climbed(start: DataFrame, threads: DataFrame) -> list[DataFrame]:
-    """All ancestors of ``start`` from its own depth on, by jumps that double in length.
+def _check_ends(jumps: DataFrame) -> None:
+    """Raise if some chain of jumps never ends."""
+    edges = jumps.select(F.col("ancestor").alias("id"), F.col("next").alias("tip"))
+    unknown, known = F.lit(None).cast("long"), F.lit(0).cast("long")
+    below = edges.select("id", "tip", unknown.alias("level"), F.lit(1).cast("long").alias("hops"))
+    ids = edges.select("id")
+    tops = edges.select(F.col("tip").alias("id")).distinct().join(ids, "id", "left_anti")
+    tops = tops.select("id", unknown.alias("tip"), known.alias("level"), known.alias("hops"))
+    ranked = _rank_by_rulers(stage(below.unionByName(tops), "ranks"), "ranks", limit=jumps.count())
+    if not ranked.where("level is null").isEmpty():
+        raise ValueError("a reply chain does not end; parents form a cycle")
+
+
+def _climbed(start: DataFrame, threads: DataFrame) -> DataFrame:
+    """``start`` and all ancestors above, by jumps that double in length until none is left.
 
-    ``threads`` are the posts of all threads concerned.  Only posts with replies are jumped from.
+    ``threads`` are the posts of all threads concerned.  Only posts that are answered are jumped from.
     """
-    edges = stage(_jumps(threads), "jumps")
-    replied = edges.select("next").distinct().unionByName(start.select(F.col("ancestor").alias("next"))).distinct()
-    jumps = stage(keep_in(edges, "ancestor", replied), "jumps")
-    inner = jumps.select(F.col("ancestor").alias("id"), F.col("next").alias("tip"))
-    above = jumps.select(F.col("next").alias("id")).distinct().join(jumps.select(F.col("ancestor").alias("id")), "id", "left_anti")
-    nodes = inner.select("id", "tip", F.lit(None).cast("long").alias("level"), F.lit(1).cast("long").alias("hops"))
-    tops = above.select("id", F.lit(None).cast("long").alias("tip"), F.lit(0).cast("long").alias("level"), F.lit(0).cast("long").alias("hops"))
-    ranked = _rank_by_rulers(stage(nodes.unionByName(tops), "ranks"), "ranks", jumps.count() + 1)
-    ends, deepest = ranked.agg(F.count_if(F.col("level").isNull()), F.max("level")).first()
-    if ends:
-        raise ValueError("a reply chain does not end; parents form a cycle")
+    edges = _jumps(threads)
+    answered = edges.select("next").unionByName(start.select(F.col("ancestor").alias("next"))).distinct()
+    jumps = stage(keep_in(edges, "ancestor", answered), "jumps")
     rows, length = start, 1
-    while length <= (deepest or 0):
-        more = stage(rows.unionByName(_one_up(rows, jumps, length)), "ancestors")
-        length *= 2
-        if length <= deepest:
-            twice = jumps.join(jumps.toDF("next", "after"), "next").select("ancestor", F.col("after").alias("next"))
-            jumps, old = stage(twice, "jumps"), jumps
-            discard(old)
-        rows = more
-    return [rows]
+    while not jumps.isEmpty():
+        if length == _UNCHECKED:
+            _check_ends(jumps)
+        rows = stage(rows.unionByName(_one_up(rows, jumps, length)), "ancestors")
+        further = stage(
+            jumps.join(jumps.toDF("next", "after"), "next").select("ancestor", F.col("after").alias("next")), "jumps"
+        )
+        discard(jumps)
+        jumps, length = further, 2 * length
+    return rows
 
 
 def ancestor_steps(comments: DataFrame, items: DataFrame, walk_rounds: int = WALK_ROUNDS) -> DataFrame:
@@ -257,20 +269,23 @@ def ancestor_steps(comments: DataFrame, items: DataFrame, walk_rounds: int = WAL
     a cycle are an error.
     """
     asked = stage(comments.select("id").distinct(), "asked")
-    first = keep_in(items, "id", asked).select("id", "parent", "top_level_parent")
-    start = stage(
-        _jumps(first).select(F.col("ancestor").alias("id"), F.lit(0).alias("depth"), F.col("next").alias("ancestor")),
+    first = keep_in(items, "id", asked)
+    started = stage(
+        first.where(_below_story()).select(
+            "id", F.lit(0).alias("depth"), F.col("parent").alias("ancestor"), "top_level_parent"
+        ),
         "walk",
     )
-    few = asked.count() * WALK_SHARE <= items.count()
-    found, still = _walked(start, items, walk_rounds if few else 0)
-    if not still.isEmpty():
+    start = started.select("id", "depth", "ancestor")
+    few = walk_rounds > 0 and asked.count() * WALK_SHARE <= items.count()
+    found, still = _walked(start, items, walk_rounds) if few else ([], start)
+    if not (few and still.isEmpty()):
         # the threads of what is still on its way; their roots are staged, so that few of them are
         # broadcast and many are met in a plain shuffle
-        roots = keep_in(items, "id", still.select("ancestor").distinct()).select("top_level_parent").distinct()
-        edges = items.select("id", "parent", "top_level_parent")
-        found += _climbed(still, keep_in(edges, "top_level_parent", stage(roots, "roots")))
-    return reduce(DataFrame.unionByName, found) if found else start
+        mine = keep_in(started, "id", still.select("id").distinct()) if few else started
+        roots = stage(mine.select("top_level_parent").distinct(), "roots")
+        found = [*found, _climbed(still, keep_in(items, "top_level_parent", roots))]
+    return reduce(DataFrame.unionByName, found)
 
 
 def ancestor_rows(comments: DataFrame, items: DataFrame) -> DataFrame:

@@ -65,7 +65,7 @@ def test_a_chain_of_fifty_thousand(spark, staged):
     assert max(staged) <= n + 1
 
 
-@pytest.mark.parametrize("walk_rounds", [0, 2, 40])
+@pytest.mark.parametrize("walk_rounds", [0, 2, 10])
 def test_walking_and_climbing_agree(spark, walk_rounds):
     items = bushy(spark, 3000).unionByName(chain(spark, 40, root=10_000).withColumns(
         {"id": F.col("id") + 10_000, "parent": F.col("parent") + 10_000}
@@ -115,4 +115,4 @@ def test_cycles_above_a_few_asked_comments_are_an_error(spark, frame):
     circle = frame([(i, i % 3 + 1, 0) for i in range(1, 4)] + [(4, 1, 0)], "id long, parent long, top_level_parent long")
     items = circle.unionByName(chain(spark, 100).withColumns({"id": F.col("id") + 1000, "parent": F.col("parent") + 1000}))
     with pytest.raises(ValueError, match="cycle"):
-        forest.ancestor_steps(frame([(4,)], "id long"), items)
+        forest.ancestor_steps(frame([(4,)], "id long"), items, walk_rounds=4)

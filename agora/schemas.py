@@ -68,6 +68,7 @@ RESULT_LOG = _struct(
     evicted=BOOL,
     version=LONG,
     fn_id=STRING,
+    hash_part=STRING,
 )
 
 #: A request to score a story under a title; the time is ISO text.

@@ -1,12 +1,19 @@
 """Keyed result table: compute a function's value once per argument set.
 
-The table is an append-only Parquet log partitioned by ``fn_id``.  A row holds
-the argument hash, the value as JSON text and the version (driver clock, in
-nanoseconds) at which it was written.  Evicting appends a marker instead of
-rewriting files: a marker with a hash hides older rows of that key, one
-without a hash hides everything older of that function, and one under
-``ALL_FUNCTIONS`` hides everything older in the table.  Readers therefore
-never meet a half-replaced file, and a lost executor costs a task retry only.
+The table is an append-only Parquet log.  A row holds the argument hash, the value as
+JSON text and the version (driver clock, in nanoseconds) at which it was written.  It is
+partitioned by ``fn_id`` and by the first digits of the hash, and each append writes
+one file a partition, in order of the hash: a reader that knows which hashes it wants
+opens the partitions they can be in and no others.
+
+Evicting appends a marker instead of rewriting files: a marker with a hash hides older
+rows of that key, one without a hash hides everything older of that function, and one
+under ``ALL_FUNCTIONS`` hides everything older in the table.  Markers without a hash have
+a partition of their own.  Readers therefore never meet a half-replaced file, and a lost
+executor costs a task retry only.  Partitions that many appends have left with many
+files are compacted one by one: their visible rows are written beside them, with the
+versions they have, and the files they came from go afterwards; what is read in between
+holds some rows twice, which changes nothing.
 """
 
 from __future__ import annotations
@@ -28,6 +35,11 @@ from agora.sources.staging import stage
 
 DIRECT_FN = "__direct"
 ALL_FUNCTIONS = "__all"
+#: Part of the format: so many hexadecimal digits of the hash name a partition.
+HASH_DIGITS = 2
+NO_HASH = "none"
+#: Partitions with more files than this are worth compacting.
+MAX_FILES = 32
 
 
 def arg_hash(df: DataFrame, arg_cols: list[str] | tuple[str, ...]) -> Column:
@@ -42,6 +54,11 @@ def arg_hash(df: DataFrame, arg_cols: list[str] | tuple[str, ...]) -> Column:
     return F.sha2(F.concat(*[marked(name) for name in arg_cols]), 256)
 
 
+def hash_part(key: Column) -> Column:
+    """The partition of a hash."""
+    return F.coalesce(F.substring(key, 1, HASH_DIGITS), F.lit(NO_HASH))
+
+
 class ResultStore:
     """The log at one path."""
 
@@ -55,17 +72,21 @@ class ResultStore:
 
     def append(self, rows: DataFrame) -> None:
         """Append ``(fn_id, arg_hash, result, evicted)`` rows under a new version."""
+        self._write(rows.withColumn("version", F.lit(time.time_ns())))
+
+    def _write(self, rows: DataFrame) -> None:
+        placed = rows.withColumn("hash_part", hash_part(F.col("arg_hash"))).select(*schemas.RESULT_LOG.fieldNames())
         (
-            rows.withColumn("version", F.lit(time.time_ns()))
-            .select(*schemas.RESULT_LOG.fieldNames())
+            placed.repartition("fn_id", "hash_part")
+            .sortWithinPartitions("fn_id", "hash_part", "arg_hash")
             .write.mode("append")
-            .partitionBy("fn_id")
+            .partitionBy("fn_id", "hash_part")
             .parquet(self.path)
         )
 
     def _append_one(self, fn_id: str, key: str | None, result: str | None, evicted: bool) -> None:
         row = self.spark.createDataFrame(
-            [(key, result, evicted, 0, fn_id)], schemas.RESULT_LOG
+            [(key, result, evicted, fn_id)], "arg_hash string, result string, evicted boolean, fn_id string"
         )
         self.append(row)
 
@@ -86,20 +107,27 @@ class ResultStore:
         other.append(rows.select("fn_id", "arg_hash", "last.result", "last.evicted"))
         return other
 
-    def live(self, fn_id: str, wanted: DataFrame | None = None) -> DataFrame:
-        """Visible ``(arg_hash, result)`` rows of one function.
-
-        ``wanted`` (distinct ``arg_hash``) cuts the log down before it is grouped.
-        """
+    def _rows_of(self, fn_id: str) -> DataFrame:
+        """Rows with a hash that no marker of the function or of the whole table hides."""
         log = self._log().where(F.col("fn_id").isin(fn_id, ALL_FUNCTIONS))
         floor = (
-            log.where(F.col("arg_hash").isNull())
+            log.where(F.col("hash_part") == NO_HASH)
             .agg(F.coalesce(F.max("version"), F.lit(0)).alias("floor"))
             .scalar()
         )
-        rows = log.where(F.col("arg_hash").isNotNull() & (F.col("version") > floor))
+        return log.where((F.col("hash_part") != NO_HASH) & (F.col("version") > floor))
+
+    def live(self, fn_id: str, wanted: DataFrame | None = None) -> DataFrame:
+        """Visible ``(arg_hash, result)`` rows of one function.
+
+        ``wanted`` (with an ``arg_hash``) names the partitions to open and cuts their rows
+        down before they are grouped; there are at most ``16 ** HASH_DIGITS`` names.
+        """
+        rows = self._rows_of(fn_id)
         if wanted is not None:
-            rows = rows.join(wanted, "arg_hash", "left_semi")
+            parts = wanted.select(hash_part(F.col("arg_hash"))).distinct().collect()
+            rows = rows.where(F.col("hash_part").isin([x[0] for x in parts]))
+            rows = rows.join(wanted.select("arg_hash"), "arg_hash", "left_semi")
         return (
             rows.groupBy("arg_hash")
             .agg(F.max_by(F.struct("result", "evicted"), "version").alias("last"))
@@ -107,6 +135,27 @@ class ResultStore:
             .select("arg_hash", F.col("last.result").alias("result"))
         )
 
+    def compact(self, fn_id: str, max_files: int = MAX_FILES) -> list[str]:
+        """Rewrite the function's partitions with more than ``max_files`` files; their names."""
+        files: dict[str, list[str]] = {}
+        for file in self._log().where((F.col("fn_id") == fn_id) & (F.col("hash_part") != NO_HASH)).inputFiles():
+            files.setdefault(file.rsplit("/", 2)[1].partition("=")[2], []).append(file)
+        full = sorted(part for part, own in files.items() if len(own) > max_files)
+        if not full:
+            return []
+        old = [file for part in full for file in files[part]]
+        listed = self.spark.read.schema(schemas.RESULT_LOG).option("basePath", self.path).parquet(*old)
+        floor = self._log().where(
+            F.col("fn_id").isin(fn_id, ALL_FUNCTIONS) & (F.col("hash_part") == NO_HASH)
+        ).agg(F.coalesce(F.max("version"), F.lit(0)).alias("floor")).scalar()
+        last = listed.groupBy("arg_hash").agg(F.max_by(F.struct("result", "evicted", "version"), "version").alias("last"))
+        visible = last.where(~F.col("last.evicted") & (F.col("last.version") > floor))
+        self._write(visible.select(F.lit(fn_id).alias("fn_id"), "arg_hash", "last.result", "last.evicted", "last.version"))
+        for file in old:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(file)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, False)
+        return full
+
 
 def score_incremental(
     df: DataFrame,
@@ -124,14 +173,18 @@ def score_incremental(
     Failures are reported in ``error`` and never stored.  ``cache_only`` makes
     any miss an error; ``refresh`` recomputes everything.
     """
-    keyed = df.withColumn("arg_hash", arg_hash(df, arg_cols))
+    # Texts are hashed and read from their source once.
+    keyed = stage(df.withColumn("arg_hash", arg_hash(df, arg_cols)), "keyed")
+    hashes = keyed.select("arg_hash").distinct()
     # Misses are found on hashes alone; when they are few, the planner can
     # broadcast them and texts that were scored before are not moved.
-    missing = stage(keyed.select("arg_hash").distinct(), "hashes")
     known = None
-    if not refresh:
-        known = stage(store.live(fn_id, missing), "known")
-        missing = stage(missing.join(known, "arg_hash", "left_anti"), "missing")
+    if refresh:
+        missing = hashes
+    else:
+        found = store.live(fn_id, keyed.select("arg_hash")).withColumn("known", F.lit(True))
+        judged = stage(attach(hashes, found, ["arg_hash"]), "hashes")
+        known, missing = judged.where("known"), judged.where("known is null").select("arg_hash")
     if cache_only and not missing.isEmpty():
         raise KeyError(f"result table has no value for some arguments of {fn_id}")
     todo = (
@@ -159,8 +212,8 @@ def score_incremental(
 
 def lookup_results(df: DataFrame, fn_id: str, arg_cols: list[str], store: ResultStore) -> DataFrame:
     """Attach ``hit`` and ``score`` without computing anything."""
-    keyed = df.withColumn("arg_hash", arg_hash(df, arg_cols))
-    values = store.live(fn_id).withColumn("hit", F.lit(True))
+    keyed = stage(df.withColumn("arg_hash", arg_hash(df, arg_cols)), "keyed")
+    values = store.live(fn_id, keyed.select("arg_hash")).withColumn("hit", F.lit(True))
     return (
         attach(keyed, values, ["arg_hash"])
         .withColumn("hit", F.coalesce("hit", F.lit(False)))
@@ -202,7 +255,8 @@ def put_result(store: ResultStore, key: str, value) -> None:
 
 def get_result(store: ResultStore, key: str):
     """Value under a string key; a missing key is an error."""
-    row = store.live(DIRECT_FN).where(F.col("arg_hash") == _direct_key(key)).first()
+    wanted = store.spark.createDataFrame([(_direct_key(key),)], "arg_hash string")
+    row = store.live(DIRECT_FN, wanted).first()
     if row is None:
         raise KeyError(key)
     return json.loads(row["result"])

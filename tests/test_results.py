@@ -5,8 +5,10 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from agora.operators.scoring import length_scorer
+from agora.sources import result_store
 from agora.sources.result_store import (
     ResultStore, arg_hash, evict_results, get_result, lookup_results, put_result, score_incremental,
 )
@@ -73,10 +75,10 @@ def test_copies_are_scored_once(frame, store, tmp_path):
 
 def test_functions_have_their_own_keys(frame, store):
     df = texts(frame, "ab")
-    run(df, store, fn="custom")
-    assert hits(df, store, "custom") == {"ab": True}
-    evict_results(store, "custom")
-    assert hits(df, store, "custom") == {"ab": False}
+    run(df, store, fn="title length")
+    assert hits(df, store, "title length") == {"ab": True}
+    evict_results(store, "title length")
+    assert hits(df, store, "title length") == {"ab": False}
 
 
 def test_hash_covers_all_arguments(frame):
@@ -97,11 +99,11 @@ def test_evict_one_key(frame, store):
 
 def test_evict_one_function(frame, store):
     df = texts(frame, "ab")
-    run(df, store, fn="add")
-    run(df, store, fn="multiply")
-    evict_results(store, "add")
-    assert hits(df, store, "add") == {"ab": False}
-    assert hits(df, store, "multiply") == {"ab": True}
+    run(df, store, fn="v1/score")
+    run(df, store, fn="v2/score")
+    evict_results(store, "v1/score")
+    assert hits(df, store, "v1/score") == {"ab": False}
+    assert hits(df, store, "v2/score") == {"ab": True}
 
 
 def test_evict_everything(frame, store):
@@ -138,6 +140,56 @@ def test_only_wanted_rows_of_the_log(frame, store):
     assert store.live("f", wanted).count() == 2
 
 
+def test_ten_keys_open_few_files(spark, frame, store):
+    run(texts(frame, *[f"t{i}" for i in range(3000)]), store)
+    whole = len(store._log().inputFiles())
+    asked = texts(frame, *[f"t{i}" for i in range(10)])
+    wanted = asked.select(arg_hash(asked, ["text"]).alias("arg_hash"))
+    found = store.live("f", wanted)
+    assert found.count() == 10
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "hash_part" in plan
+    parts = {r["arg_hash"][:2] for r in wanted.collect()}
+    scan = store._log().where(F.col("hash_part").isin(list(parts)))
+    opened = scan.select(F.input_file_name()).distinct().count()
+    assert whole == 256 and opened <= 10
+
+
+def test_hot_text_and_other_partitions_stay_when_one_is_compacted(spark, frame, store):
+    df = texts(frame, *[f"t{i}" for i in range(40)])
+    for first in range(0, 40, 8):  # five appends
+        run(df.where(f"id >= {first} and id < {first + 8}"), store)
+    run(df, store, refresh=True)
+    gone = df.where("id = 3").select(arg_hash(df, ["text"]).alias("arg_hash"))
+    evict_results(store, "f", gone)
+    before, files = hits(df, store), len(store._log().inputFiles())
+    assert store.compact("f", max_files=100) == []
+    assert store.compact("f", max_files=1)
+    after = len(store._log().inputFiles())
+    assert after < files and hits(df, store) == before and not before["t3"] and before["t4"]
+    files = store._log().select("hash_part", F.input_file_name().alias("file")).distinct()
+    assert files.groupBy("hash_part").count().where("count > 1").count() == 0
+    evict_results(store, "f")
+    store.compact("f", max_files=0)
+    assert store._log().where("arg_hash is not null").count() == 0
+    assert not any(hits(df, store).values())
+
+
+def test_texts_are_hashed_once(spark, frame, store, monkeypatch):
+    run(texts(frame, "old"), store)
+    labels, plans, plain = [], [], result_store.stage
+
+    def noted(df, label):
+        labels.append(label)
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df, label)
+
+    monkeypatch.setattr(result_store, "stage", noted)
+    found = run(texts(frame, "old", "new", "new"), store)
+    plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+    assert sum("sha2" in plan for plan in plans) == 1 and len(found.collect()) == 3
+
+
 def test_direct_values(store):
     put_result(store, "key", "value")
     assert get_result(store, "key") == "value"

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from agora.functions.numbers import natural_log, score_from_log
-from agora.operators import distributions, metrics, trends
+from agora.operators import distributions, metrics, quantiles, trends
 from agora.operators.quantiles import exact_percentiles
 from agora.plans.evaluations import compare_models
 
@@ -169,3 +169,29 @@ def test_percentiles_of_many_groups(spark):
     df = spark.range(150_000).selectExpr("id % 50000 as g", "cast(id as double) as x")
     got = exact_percentiles(df, ["g"], "x", [0.5])
     assert got.count() == 50_000 and got.where("p0 <> g + 50000").count() == 0
+
+
+def test_percentiles_take_two_passes(spark, monkeypatch):
+    staged, plain = [], quantiles.stage
+    monkeypatch.setattr(quantiles, "stage", lambda df, label: staged.append(label) or plain(df, label))
+    rows = spark.range(400_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 7).cast("string")).alias("g"),
+        F.when(F.col("id") % 5 == 0, 7.0).otherwise(F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1e4).alias("x"),
+    )
+    probs = [0.0, 0.0003, 0.05, 0.2, 0.5, 0.95, 0.9999, 1.0]
+    got = {r["g"]: r for r in exact_percentiles(rows, ["g"], "x", probs).collect()}
+    assert staged == ["values", "spans"]  # the third and last job reads the result
+    groups = {}
+    for g, x in rows.collect():
+        groups.setdefault(g, []).append(x)
+    assert set(got) == set(groups)
+    for g, values in groups.items():
+        assert [got[g][f"p{i}"] for i in range(len(probs))] == pytest.approx(list(np.quantile(values, probs)), abs=0, rel=1e-12)
+
+
+def test_percentiles_of_a_group_around_the_size_of_a_summary(spark):
+    for n in (9_999, 10_000, 10_001, 10_003):
+        rows = spark.range(n).select((F.col("id") * 7919 % n).cast("double").alias("x"))
+        probs = [k / 997 for k in range(0, 998, 83)]
+        got = exact_percentiles(rows, [], "x", probs).first()
+        assert list(got) == pytest.approx([p * (n - 1) for p in probs])

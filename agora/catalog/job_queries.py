@@ -419,17 +419,43 @@ def score_regressor(spark, sf_dir):
     return _judged_fit(metrics.metrics_by_split(models.predict_scores(model, stories)))
 
 
-@query("quality_regressor", oracle(labelled=f"""
-select {split_sql("doc_id")} as split, cast(quality as double) as label
-from documents join labels using (doc_id)""") + _FIT)
-def quality_regressor(spark, sf_dir):
-    """The same fit with document texts and their quality labels."""
+def _path_figures(path, rows, text, label):
+    """Errors and correlations of the picked ridge on every split, from predictions row by row."""
+    found = metrics.metrics_by_split(path.predict(rows, text), label)
+    return _rounded(found, "baseline_rmse", "model_rmse", "model_correlation").withColumn("ridge", F.lit(path.ridge))
+
+
+@query("score_ridge_path")
+def score_ridge_path(spark, sf_dir):
+    """Ridge path on the stories with points; the validation split picks, all splits are judged."""
+    stories = stage(
+        build_story_dataset(filter_min_score(items(spark, sf_dir), 1)).select("split", "log_score", "serialized"), "stories"
+    )
+    return _path_figures(models.fit_ridge_path(stories), stories, "serialized", "log_score")
+
+
+@query("quality_ridge_path")
+def quality_ridge_path(spark, sf_dir):
+    """The same with document texts and their quality labels."""
+    rows = _labelled_documents(spark, sf_dir)
+    return _path_figures(models.fit_ridge_path(rows, "text", "label"), rows, "text", "label")
+
+
+def _labelled_documents(spark, sf_dir):
     spark = configure(spark)
     documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("id"), F.col("quality").cast("double").alias("label")
     )
-    rows = stage(split_rows(documents.join(labels, "id")), "labelled")
+    return stage(split_rows(documents.join(labels, "id")), "labelled")
+
+
+@query("quality_regressor", oracle(labelled=f"""
+select {split_sql("doc_id")} as split, cast(quality as double) as label
+from documents join labels using (doc_id)""") + _FIT)
+def quality_regressor(spark, sf_dir):
+    """The same fit with document texts and their quality labels."""
+    rows = _labelled_documents(spark, sf_dir)
     model = models.fit_score_regressor(rows.where(F.col("split") == "train"), "text", "label")
     return _judged_fit(metrics.metrics_by_split(models.predict_scores(model, rows), "label"))
 
@@ -439,6 +465,24 @@ select {split_sql("top_level_parent")} as split, count(*) as pairs, true as lear
 from pairs group by 1""")
 def preference_model(spark, sf_dir):
     """Fit on training pairs; they are mostly in the right order afterwards."""
+    judged = _judged_pairs(spark, sf_dir)
+    return judged.groupBy("split").agg(
+        F.count(F.lit(1)).alias("pairs"),
+        ((F.col("split") != "train") | (F.avg(F.col("correct").cast("int")) > 0.5)).alias("learned"),
+    )
+
+
+@query("preference_accuracy")
+def preference_accuracy(spark, sf_dir):
+    """Share of pairs in the right order, in percent, and the mean margin on every split."""
+    return _judged_pairs(spark, sf_dir).groupBy("split").agg(
+        F.count(F.lit(1)).alias("pairs"),
+        (F.avg(F.col("correct").cast("int")) * 100).alias("accuracy"),
+        F.round(F.avg(F.col("chosen_reward") - F.col("rejected_reward")), 6).alias("mean_margin"),
+    )
+
+
+def _judged_pairs(spark, sf_dir):
     rows = stage(
         prompted_pairs(spark, sf_dir).select(
             "chosen", "rejected", "split", "chosen_prompt", "rejected_prompt"
@@ -446,8 +490,4 @@ def preference_model(spark, sf_dir):
         "prompted",
     )
     model = models.fit_preference_model(rows.where(F.col("split") == "train"))
-    judged = metrics.with_correct(model.score_pairs(rows))
-    return judged.groupBy("split").agg(
-        F.count(F.lit(1)).alias("pairs"),
-        ((F.col("split") != "train") | (F.avg(F.col("correct").cast("int")) > 0.5)).alias("learned"),
-    )
+    return metrics.with_correct(model.score_pairs(rows))

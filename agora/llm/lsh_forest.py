@@ -108,11 +108,12 @@ def _signatures(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.slice(block.first, docs).column("doc_id").cast(pa.int64()),
+                    batch.slice(block.first, docs).column("text_hash"),
                     pa.array(sizes),
                     pa.array(prints, pa.binary()),
                     pa.array(signatures, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "print", "signature"],
+                names=["doc_id", "text_hash", "n_shingles", "print", "signature"],
             )
 
 
@@ -318,9 +319,11 @@ def _regions(nodes: DataFrame, region_shingles: int) -> tuple[DataFrame, DataFra
 
 def near_duplicates(docs: DataFrame, region_shingles: int = REGION_SHINGLES) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
+    # an id may have many texts: a text is found again by its hash as well
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     prints = stage(
-        docs.select("doc_id", "text").mapInArrow(
-            _signatures, "doc_id long, n_shingles long, print binary, signature binary"
+        texts.mapInArrow(
+            _signatures, "doc_id long, text_hash long, n_shingles long, print binary, signature binary"
         ),
         "signatures",
     )
@@ -328,8 +331,11 @@ def near_duplicates(docs: DataFrame, region_shingles: int = REGION_SHINGLES) ->
         prints.where(F.col("print").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("print")
         .agg(
-            F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")
+            F.min(F.struct("doc_id", "text_hash")).alias("first"),
+            F.first("n_shingles").alias("n"),
+            F.first("signature").alias("signature"),
         )
+        .select("print", F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("text_hash"), "n", "signature")
         .withColumn("node", F.monotonically_increasing_id())
     )
     nodes = stage(classes, "nodes")
@@ -347,10 +353,9 @@ def near_duplicates(docs: DataFrame, region_shingles: int = REGION_SHINGLES) ->
         pairs = pairs.unionByName(star)
     pairs = stage(pairs.distinct(), "candidates")
     used = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.join(used, "node").select("node", F.col("id").alias("doc_id"), "print")
+    wanted = nodes.join(used, "node").select("node", F.col("id").alias("doc_id"), "text_hash", "print")
     sets = stage(
-        docs.select("doc_id", "text")
-        .join(wanted, "doc_id")
+        texts.join(wanted, ["doc_id", "text_hash"])
         .select("node", "print", "text")
         .mapInArrow(_sets, "node long, shingles array<bigint>")
         .dropDuplicates(["node"]),

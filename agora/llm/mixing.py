@@ -152,6 +152,15 @@ def _draws(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     return whole.unionByName(drawn.select("rank", "shard", "slots")).groupBy("rank", "shard").agg(F.sum("slots").alias("slots"))
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A hash of all columns; it tells nulls from one another by the columns they stand in."""
+    named = sorted(docs.columns)
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in named])
+    maps = {f.name for f in docs.schema.fields if "map<" in f.dataType.simpleString()}
+    values = [F.to_json(F.struct(f"`{c}`")) if c in maps else F.col(f"`{c}`") for c in named]
+    return F.xxhash64(nulls, *values)
+
+
 def mix(
     docs: DataFrame,
     block_words: int = BLOCK_WORDS,
@@ -164,7 +173,7 @@ def mix(
     """Draw the mix of ``docs`` (doc_id, text, source); the same rows give the same mix."""
     sized = stage(
         docs.select(
-            "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "text").alias("row_key")
+            "doc_id", "source", word_count(F.col("text")).alias("size"), row_key(docs).alias("row_key")
         ),
         "mix-sizes",
     )
@@ -258,8 +267,8 @@ def mixed_documents(docs: DataFrame, mixed: Mix, block_words: int = BLOCK_WORDS)
         F.transform("runs", lambda r: F.slice(w, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))
     )
     cut = F.array_join(F.element_at(F.transform(F.array(words), pick), 1), " ")
-    # rows with the same id and text share a key and differ at most in their source: one of them stands for all
-    rows = docs.select(*own_key(F.xxhash64("doc_id", "text")), F.struct(*docs.columns).alias("row"))
+    # rows that share a key are the same in all columns: one of them stands for all
+    rows = docs.select(*own_key(row_key(docs)), F.struct(*docs.columns).alias("row"))
     joined = rows.dropDuplicates(["id", "key"]).join(chosen, ["id", "key"])
     text = F.when(F.col("got") == F.col("size"), whole).otherwise(cut)
     out = joined.select("row", text.alias("taken"))

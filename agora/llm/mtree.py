@@ -22,8 +22,11 @@ another's partner unless they are the same id.
 
 Vectors that are null or hold a null or a value that is not finite take no part,
 nor do rows without id.  Shorter vectors count as padded with zeros.  Repeated
-rows are candidates each.  Empty tables give an empty result.  Components must be
-below 2**26 after scaling and flooring; larger ones are an error.
+rows are candidates each.  Empty tables give an empty result.  The trees hold rows whose
+components are within 2**20 after scaling, where the arithmetic of bounds and scores is
+exact.  Rows and queries beyond that are met apart, in the shards of ``multi_index``,
+which score them in Python integers; a score outside of 64 bits is given as the nearest
+64-bit value.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,39 +42,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agora.llm.common import batches
+from agora.llm.multi_index import Index, usable_rows
 from agora.sources.staging import stage
 
-SCALE = 256
 TREE_ROWS = 8192
 PAGE_ROWS = 128
 FANOUT = 16
 BLOCK_QUERIES = 256
-_LARGEST = 1 << 26
-
-
-def _scaled(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """floor(SCALE * x) of every usable vector, as little-endian int32."""
-    for batch in batches(source):
-        ids, out = [], []
-        for key, vector in zip(batch.column("id").to_pylist(), batch.column("vector")):
-            if key is None or not vector.is_valid or vector.values.null_count:
-                continue
-            x = vector.values.to_numpy(zero_copy_only=False).astype(np.float64)
-            if not np.isfinite(x).all():
-                continue
-            x = np.floor(SCALE * x)
-            if len(x) and np.abs(x).max() >= _LARGEST:
-                raise ValueError(f"a component of vector {key} is too large")
-            ids.append(key)
-            out.append(x.astype("<i4").tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["id", "vector"])
-
-
-def scaled_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """Usable vectors as (id, vector), integers in four bytes each."""
-    return rows.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector")).mapInArrow(
-        _scaled, "id long, vector binary"
-    )
 
 
 def _matrix(vectors: list[bytes], width: int) -> np.ndarray:
@@ -284,15 +262,48 @@ def top_k(
     Queries with the same id are one query; the smallest vector by its bytes stands for it.
     """
     spark = rows.sparkSession
-    data = stage(scaled_vectors(rows, key, vector), "mtree-rows")
-    asked = stage(
-        scaled_vectors(queries, key, vector).groupBy("id").agg(F.min("vector").alias("vector")), "mtree-queries"
-    )
-    size, widest = data.agg(F.count("*"), F.max(F.length("vector"))).first()
-    n_queries, wide = asked.agg(F.count("*"), F.max(F.length("vector"))).first()
+    everything = stage(_unlabelled(rows, key, vector), "mtree-rows")
+    one = _unlabelled(queries, key, vector).groupBy("id").agg(F.min(F.struct("vector", "label", "wide")).alias("x"))
+    every_query = stage(one.select("id", "x.*"), "mtree-queries")
+    data, asked = everything.where("not wide"), every_query.where("not wide")
+    narrow = [F.count_if(~F.col("wide")), F.count_if("wide"), F.max(F.when(~F.col("wide"), F.length("vector")))]
+    size, far_rows, widest = everything.agg(*narrow).first()
+    n_queries, far_queries, wide = every_query.agg(*narrow).first()
     width = max(widest or 0, wide or 0) // 4
-    if not size or not n_queries or not width:
+    parts = []
+    if far_rows:
+        parts.append(_apart(everything.where("wide"), every_query, k))
+    if far_queries and size:
+        parts.append(_apart(data, every_query.where("wide"), k))
+    if size and n_queries and width:
+        parts.append(_found_in_trees(data, asked, k, size, n_queries, width, tree_rows, page_rows, block_queries))
+    if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .withColumn("rank", F.row_number().over(best))
+        .where(F.col("rank") <= k)
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    )
+
+
+def _unlabelled(rows: DataFrame, key: str, vector: str) -> DataFrame:
+    """Usable vectors, all under one label."""
+    return usable_rows(rows.select(key, vector, F.lit(0).alias("_label")), key, "_label", vector)
+
+
+def _apart(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The k best of ``rows`` that shards find for each query."""
+    found = Index(rows).meet(queries.select("id", "label", "wide", "vector"), k)
+    return found.select(F.col("anchor").alias("query_id"), F.col("id").alias("vec_id"), "score")
+
+
+def _found_in_trees(
+    data: DataFrame, asked: DataFrame, k: int, size: int, n_queries: int, width: int,
+    tree_rows: int, page_rows: int, block_queries: int,
+) -> DataFrame:
+    """The k best of each tree for each query."""
     trees = max(1, math.ceil(size / tree_rows))
     blocks = max(1, math.ceil(n_queries / block_queries))
     # rows of one id may be many; the vector's bytes and a row number deal them out as well
@@ -308,9 +319,4 @@ def top_k(
     )
     pairs = meetings.join(forest, "tree").repartition(min(trees * blocks, 4096), "tree", "block")
     found = pairs.drop("tree", "block").mapInArrow(_meet(k), "query_id long, vec_id long, score long, computed long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (
-        found.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
-    )
+    return found.select("query_id", "vec_id", "score")

@@ -27,10 +27,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agora.llm.common import batches, spread
+from agora.llm.common import batches, fitting_rows, spread
 from agora.llm.words import ALNUM, Block, Powers, blocks, scan
 
 WORDS = 1 << 18
@@ -226,19 +226,15 @@ def train(
     pool = ids.join(given, "doc_id", "left_anti").orderBy("order", "doc_id").limit(train_docs)
     picked = known.select("doc_id", "order", "label").unionByName(pool.withColumn("label", F.lit(-1)).select("doc_id", "order", "label"))
     meta = meta_columns(F.col("source"), F.col("lang"), F.col("n_chars")).alias("meta")
-    upto = Window.orderBy("order", "n").rowsBetween(Window.unboundedPreceding, 0)
-    rows = (
+    bags = (
         docs.select("doc_id", "text", meta)
         .join(F.broadcast(picked), "doc_id")  # at most 2 * train_docs rows of three numbers
         .select("order", "label", "meta", "text")
         .mapInArrow(_examples, "order long, label int, meta array<int>, n long, features binary, values binary")
         .orderBy("order", "n")
         .limit(4 * train_docs)
-        .withColumn("upto", F.sum("n").over(upto))
-        .where(F.col("upto") <= train_words)
-        .select("label", "meta", "n", "features", "values")
-        .toArrow()
     )
+    rows = fitting_rows(bags, ["order", "n"], "n", train_words, F.when(F.col("label") >= 0, F.col("label")))
     target = np.array(rows.column("label").to_pylist(), np.int64)
     starts = np.concatenate(([0], np.cumsum(np.array(rows.column("n").to_pylist(), np.int64)))).astype(np.int64)
     text = Rows(

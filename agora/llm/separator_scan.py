@@ -14,7 +14,8 @@ that start in it; they label the counts and take no part in counting.
 Nulls: a null text is an empty document, a null ``doc_id`` is kept.  Repeated rows
 are documents of their own.  An empty table gives no file and no counts.  What
 follows the last end id of a file counts as a document without end, ``open``.
-The end id's own string inside a text is encoded as ordinary text.
+The end id's own string inside a text is encoded as ordinary text; an end id that texts could
+produce is an error.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ _PIECES = "file int, block long, n_ends long, first long, tail long, inner array
 def _blocks(path: str, end_id: int, block_tokens: int):
     def rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(path, literal_specials=True)
+        if end_id < encoder.tokenizer.get_vocab_size() and end_id not in encoder.tokenizer.get_added_tokens_decoder():
+            raise ValueError(f"id {end_id} is an ordinary token of the vocabulary and cannot end documents")
         small = max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
         kind, file = (np.uint16 if small else np.uint32), TaskContext.get().partitionId()
         end = np.array([end_id], np.uint32).tobytes()

@@ -32,10 +32,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agora.llm.common import batches, spread
+from agora.llm.common import batches, fitting_rows, spread
 from agora.llm.words import ALNUM, Block, Powers, blocks, scan
 
 BUCKETS = 1 << 19
@@ -238,11 +238,8 @@ def train(
         .mapInArrow(_bags(sent), "order long, toxic int, n long, words binary, sizes binary")
         .orderBy("order", "n")
         .limit(2 * train_docs)
-        .withColumn("upto", F.sum("n").over(Window.orderBy("order", "n").rowsBetween(Window.unboundedPreceding, 0)))
-        .where(F.col("upto") <= train_words)
-        .select("toxic", "words", "sizes")
     )
-    rows = bags.toArrow()
+    rows = fitting_rows(bags, ["order", "n"], "n", train_words, F.col("toxic") > 0).select(["toxic", "words", "sizes"])
     return fit(
         [
             (np.frombuffer(w, np.int32), np.frombuffer(s, np.int32), int(t > 0))

@@ -75,6 +75,27 @@ def test_toxic_documents_and_sentences_are_found(corpus, spark):
         assert any("vile" in row["text"][s["start"] : s["end"]] for s in row["offending"])
 
 
+def test_one_very_long_document_does_not_end_the_sample(corpus, spark):
+    docs, labels = corpus
+    keys = [r[0] for r in spark.range(10_000, 10_400).orderBy(F.xxhash64("id")).limit(3).collect()]
+    long = spark.createDataFrame([(k, "filler words " * 60_000, "aa", "press", 1, 0) for k in keys], docs.schema)
+    more, known = docs.unionByName(long), labels.unionByName(
+        spark.createDataFrame([(k, 1, 0) for k in keys], labels.schema))
+    known = known.where(id_bucket(F.col("doc_id"), 5) != 0)
+    found = toxicity.score(docs, toxicity.train(more, known, train_words=100_000))
+    assert held_out_accuracy(found, labels, "toxic") > 0.97
+    found = quality.score(docs, quality.train(more, known, train_words=200_000))
+    assert held_out_accuracy(found, labels, "quality") > 0.9
+
+
+def test_long_documents_alone_are_still_fitted_on(spark):
+    rows = [(i, ("vile rude " if i % 2 else "calm kind ") * 500) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    scored = toxicity.score(docs, toxicity.train(docs, labels, train_words=50_000))
+    assert {r["doc_id"] % 2: r["score"] >= 0.5 for r in scored.collect()} == {0: False, 1: True}
+
+
 def test_noisy_or_by_hand():
     text = "one two. three! two"
     block = next(iter(blocks(pa.array([text]))))

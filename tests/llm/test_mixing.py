@@ -100,3 +100,16 @@ def test_the_pipeline_runs_its_stages_in_order(spark):
             before = after.cache()
     assert rows == before.count()
     assert corpus_pipeline.run(spark, folder).count() == rows
+
+
+def test_repeated_rows_keep_their_own_source(spark):
+    text = " ".join(f"w{i}" for i in range(300))
+    rows = [(1, text, "en", "x", 5), (1, text, "en", "y", 5), (1, text, "de", "y", 5), (1, text, None, None, 5), (2, "other words", "en", "x", 5)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = mixing.mix(table, block_words=8, shard_slots=50)
+    found = mixing.mixed_documents(table, mixed, block_words=8)
+    assert {(r["source"], r["lang"]) for r in found.where("doc_id = 1").collect()} == {("x", "en"), ("y", "en"), ("y", "de"), (None, None)}
+    words = {(r["source"], r["target"]): r["n"] for r in mixing.taken_words(mixed, block_words=8).join(
+        mixed.sources.select("source", "target"), "target").groupBy("source", "target").agg({"taken": "sum"}).toDF("source", "target", "n").collect()}
+    mixed_words = {r["source"]: r["n"] for r in found.selectExpr("source", "size(split(text, ' ')) as n").groupBy("source").sum("n").toDF("source", "n").collect()}
+    assert sum(words.values()) == sum(mixed_words.values())

@@ -194,3 +194,31 @@ def test_top_k_over_trees_and_odd_vectors(spark):
     assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found} == wanted
     assert mtree.top_k(df.where("false"), df, 5).count() == 0
 
+
+def test_top_k_with_components_beyond_the_trees(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(120)]
+    rows += [(150, [3e5, 1.0, 0.0, 0.0]), (151, [-4e5, 2.0, 0.5, 0.0]), (152, [2.9e5, 1.0]), (200, [5000.0, -1.0, 0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = mtree.top_k(df, df.where("vec_id % 50 = 0"), 5, tree_rows=40).collect()
+    scaled = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    wanted = set()
+    for q in (i for i in scaled if i % 50 == 0):
+        best = sorted((-sum(a * b for a, b in zip(scaled[q], scaled[i])), i) for i in scaled if i != q)[:5]
+        wanted |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found} == wanted
+
+
+def test_one_id_with_many_texts(docs, monkeypatch):
+    staged, plain = {}, lsh_forest.stage
+
+    def counted(df, label):
+        made = plain(df, label)
+        staged[label] = made.count()
+        return made
+
+    monkeypatch.setattr(lsh_forest, "stage", counted)
+    texts = [" ".join(f"t{i // 2}w{j}" for j in range(30)) + f" end{i}" for i in range(80)]
+    found = lsh_forest.near_duplicates(docs([(7, t) for t in texts])).collect()
+    assert len(found) == 80 and all(r["component_id"] == 7 for r in found)
+    assert staged["shingle-sets"] <= 80

@@ -78,3 +78,8 @@ def test_empty_tables_have_no_tokens(docs, spark, fresh_path):
     separator_scan.write_files(docs([]), tokenizer_path(), two)
     assert grammar_tokens.read_documents(spark, one).count() == 0
     assert separator_scan.count_tokens(spark, two).count() == 0
+
+
+def test_an_ordinary_token_ends_no_document(docs, spark, fresh_path):
+    with pytest.raises(Exception, match="ordinary token"):
+        separator_scan.write_files(docs([(1, "a")]), tokenizer_path(), fresh_path(), end_id=2)

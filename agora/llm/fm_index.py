@@ -348,3 +348,42 @@ def without_spans(text, spans):
         ),
     )
     return F.concat(cut["kept"], F.substring(text, cut["at"] + 1, F.length(text)))
+
+
+SQL = r"""
+with read as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+),
+items as (
+  select item_id, regexp_extract_all(
+    translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+),
+phrases as (
+  select distinct item_id, k,
+    unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) as phrase
+  from (select item_id, w, least(13, len(w)) as k from items where len(w) > 0) cut
+),
+places as (
+  select doc_id, k, unnest(range(1, len(w) - k + 2)) as i,
+    unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) as phrase
+  from read, (select distinct k from phrases) lengths
+),
+found as (select doc_id, item_id, i, k from places join phrases using (k, phrase)),
+hit as (
+  select doc_id, count(distinct place) as n from (select doc_id, unnest(range(i, i + k)) as place from found) each_word
+  group by doc_id
+),
+named as (
+  select doc_id, list_sort(list_distinct(list(cast(item_id as varchar)))) as ids from found group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_hit,
+  cast(coalesce(len(ids), 0) as bigint) as n_items,
+  sha256(array_to_string(coalesce(ids, []), ',')) as items_sha256,
+  coalesce(n, 0) > 0 and 20 * coalesce(n, 0) >= len(w) as contaminated
+from read left join hit using (doc_id) left join named using (doc_id)
+"""

@@ -385,3 +385,33 @@ def near_duplicates(docs: DataFrame, region_shingles: int = REGION_SHINGLES) ->
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+sets as (
+  select doc_id, list_distinct(
+    case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+         else list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) end) as s
+  from words
+),
+flat as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as n, any_value(a.n) as nx, any_value(b.n) as ny
+  from flat a join flat b on a.shingle = b.shingle and a.doc_id < b.doc_id group by a.doc_id, b.doc_id
+),
+links as (select x, y from shared where 100 * n >= 75 * (nx + ny - n)),
+sides as (select x, y from links union all select y, x from links),
+reached as (
+  select doc_id as node, doc_id as label from sets
+  union
+  select sides.y, reached.label from reached join sides on sides.x = reached.node and reached.label < sides.y
+),
+least as (select node, min(label) as label from reached group by node)
+select doc_id, cast(len(s) as bigint) as n_shingles, label as component_id, doc_id = label as kept
+from sets join least on node = doc_id
+"""

@@ -202,6 +202,8 @@ QUERIES = {
     "op13_filter_audit": op13_filter_audit,
 }
 ORACLES = {
+    "op3_lsh_forest": lsh_forest.SQL,
+    "op4_fm_index": fm_index.SQL,
     "op8_mtree_top5": OP8_SQL,
     "op12_multi_index": multi_index.SQL,
     "op13_filter_audit": filter_audit.SQL,

@@ -46,7 +46,7 @@ from agora.llm.multi_index import Index, usable_rows
 from agora.sources.staging import stage
 
 TREE_ROWS = 8192
-PAGE_ROWS = 128
+PAGE_ROWS = 512
 FANOUT = 16
 BLOCK_QUERIES = 256
 
@@ -147,7 +147,7 @@ def search(tree: dict[str, np.ndarray], key: int, query: np.ndarray, k: int) ->
 
     def gaps_to(rows: np.ndarray) -> np.ndarray:
         # routing vectors are data, so their extra coordinate is sqrt(most - |x|^2)
-        return np.sqrt(np.maximum(length + most - 2 * (rows.astype(np.float64) @ q), 0))
+        return np.sqrt(np.maximum(length + most - 2 * (rows.astype(np.float64, copy=False) @ q), 0))
 
     def least() -> float:
         """Distance beyond which no score can reach the k-th best."""
@@ -168,7 +168,7 @@ def search(tree: dict[str, np.ndarray], key: int, query: np.ndarray, k: int) ->
             rows = np.flatnonzero(near) + first
             rows = rows[ids[rows] != key]
             computed += len(rows)
-            scores = vectors[rows].astype(np.int64) @ query.astype(np.int64)
+            scores = (vectors[rows].astype(np.float64, copy=False) @ q).astype(np.int64)  # exact within 2**20
             if len(best) == k:
                 use = scores >= best[0][0]
                 rows, scores = rows[use], scores[use]
@@ -232,7 +232,7 @@ def _meet(k: int):
                 row = {x: batch.column(x)[i].as_py() for x in batch.schema.names}
                 tree = {x: np.frombuffer(row[x], t) for x, t in zip(_TREE, _KINDS)}
                 for x in ("vectors", "routing"):
-                    tree[x] = tree[x].reshape(-1, row["width"])
+                    tree[x] = tree[x].reshape(-1, row["width"]).astype(np.float64)
                 keys = np.frombuffer(row["keys"], "<i8")
                 queries = np.frombuffer(row["queries"], "<i4").reshape(len(keys), row["width"])
                 out: list[tuple[int, int, int, int]] = []

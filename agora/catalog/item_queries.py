@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from agora import fixed_values as fixed
@@ -16,6 +18,7 @@ from agora.operators.prompting import comment_prompt
 from agora.operators.training import training_rows
 from agora.plans.pair_dataset import build_pair_dataset, pair_candidates, split_pairs
 from agora.plans.story_datasets import build_story_dataset
+from agora.sources.staging import scratch_root
 
 # --- SQL pieces ---------------------------------------------------------------
 
@@ -466,6 +469,20 @@ def shuffled(spark, sf_dir):
     return sampling.with_shuffle_key(items(spark, sf_dir).select("id"))
 
 
+@query("shuffled_table", oracle("items", ordered=f"""
+select id, type, {split_sql("id")} as split, {unit_sql("id")} as shuffle_key from items""") + """
+select id, type, split, shuffle_key from (
+  select *, row_number() over (partition by split order by shuffle_key, id) as place from ordered)
+where place <= case split when 'train' then 800 when 'test' then 50 else 0 end""")
+def shuffled_table(spark, sf_dir):
+    """All items stored in shuffled order by split; the first rows of two splits read back."""
+    path = f"{scratch_root(spark)}/agora-shuffled-{uuid.uuid4().hex}"
+    rows = sampling.split_rows(items(spark, sf_dir).select("id", "type"))
+    sampling.write_shuffled(rows, path, split="split", parts=16)
+    heads = [sampling.head_of_shuffled(spark, path, n, split=name) for name, n in (("train", 800), ("test", 50))]
+    return heads[0].unionByName(heads[1]).select("id", "type", "split", "shuffle_key")
+
+
 @query("sample_n", oracle("items") + f"""
 select id, type from items order by {unit_sql('id')}, id limit 1500""")
 def sample_n(spark, sf_dir):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from agora import fixed_values as fixed
@@ -20,6 +22,7 @@ from agora.operators.scoring import score_titles
 from agora.plans import evaluations, story_datasets
 from agora.plans.story_datasets import build_scraped_dataset, build_title_rows
 from agora.session import configure
+from agora.sources.staging import scratch_root
 
 # --- metrics over scored rows --------------------------------------------------------
 
@@ -115,6 +118,41 @@ def density_grid(spark, sf_dir):
     )
 
 
+_KERNEL = """
+, pairs as (select log_score as x, predictions as y from scored_rows),
+shape as (
+  select n, xx * s as xx, xy * s as xy, yy * s as yy
+  from (select count(*) as n, var_samp(x) as xx, covar_samp(x, y) as xy, var_samp(y) as yy,
+               pow(count(*), -1.0 / 3) as s from pairs) one
+),
+kernel as (
+  select *, xx * yy - xy * xy as det, cast(ceil(5 * sqrt(xx) / 0.2) as bigint) as rx,
+    cast(ceil(5 * sqrt(yy) / 0.2) as bigint) as ry from shape
+),
+placed as (
+  select cast(floor(x / 0.2) as bigint) as i, cast(floor(y / 0.2) as bigint) as j,
+    x / 0.2 - floor(x / 0.2) as a, y / 0.2 - floor(y / 0.2) as b from pairs
+),
+corners as (
+  select i, j, (1 - a) * (1 - b) as w from placed union all select i + 1, j, a * (1 - b) from placed
+  union all select i, j + 1, (1 - a) * b from placed union all select i + 1, j + 1, a * b from placed
+),
+cells as (select i, j, sum(w) as w from corners group by i, j having sum(w) > 0),
+grid as (select unnest(range(0, 31)) as g)
+select cast(p.g as integer) as x_point, cast(q.g as integer) as y_point, round(
+    sum(w * exp(-(yy * pow((p.g - i) * 0.2, 2) - 2 * xy * (p.g - i) * (q.g - j) * 0.04
+                  + xx * pow((q.g - j) * 0.2, 2)) / (2 * det)))
+    / any_value(n * 2 * pi() * sqrt(det)), 6) as density
+from cells, kernel, grid p, grid q
+where abs(p.g - i) <= rx and abs(q.g - j) <= ry group by p.g, q.g"""
+
+
+@query("density_kernel", oracle("scored_rows") + _KERNEL)
+def density_kernel(spark, sf_dir):
+    found = distributions.density_kernel(scored(spark, sf_dir), "log_score", "predictions", 0, 6, 30)
+    return found.withColumn("density", F.round("density", 6))
+
+
 _PREDICTED = """
 select *, cast(trunc(exp(predictions)) as bigint) as predicted_score,
        score - cast(trunc(exp(predictions)) as bigint) as score_diff from scored_rows"""
@@ -642,6 +680,20 @@ def generation_table(spark, sf_dir):
     return generations.generation_table(rows, 3)
 
 
+@query("step_log", oracle("completions") + """
+select cast(mod(turn, 4) as integer) as step, id, length(completion) + mod(turn, 4) as score
+from completions where mod(turn, 4) <> 3""")
+def step_log(spark, sf_dir):
+    """Steps logged one by one, one of them again after a first run that went wrong."""
+    path = f"{scratch_root(spark)}/agora-steps-{uuid.uuid4().hex}"
+    rows = completions(spark, sf_dir)
+    for step in (0, 1, 2, 1):
+        wrong = step == 1 and not generations.logged_steps(spark, path).count(1)
+        mine = rows.where(F.col("turn") % 4 == (2 if wrong else step))
+        generations.log_step(mine.select("id", (F.length("completion") + step).alias("score")), path, step)
+    return generations.read_steps(spark, path)
+
+
 _CHATS = """
 select a.conv_id, a.turn,
        coalesce(string_agg('<|im_start|>' || b.role || chr(10) || b.text || '<|im_end|>' || chr(10), ''

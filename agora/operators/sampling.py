@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agora import fixed_values as fixed
@@ -157,3 +157,50 @@ def take_first(
 
 #: Shuffle and take the first n are one step here.
 shuffle_take = sample_n
+
+#: Folders of a shuffled table; a prefix of the order is a prefix of the folders.
+SHUFFLE_PARTS = 64
+
+
+def write_shuffled(
+    df: DataFrame, path: str, id_col: str = "id", split: str | None = None,
+    parts: int = SHUFFLE_PARTS, seed: int = fixed.SAMPLE_SEED,
+) -> None:
+    """Store a table in shuffled order: a folder for each range of shuffle keys, rows in order of key and id.
+
+    Keys are uniform, so folders (under each value of ``split``, if given) are of equal size
+    whatever the ids are like.  Rows without id have no key; they lie in a folder behind all others.
+    """
+    keyed = with_shuffle_key(df, id_col, seed)
+    part = F.coalesce(F.floor(F.col("shuffle_key") * parts), F.lit(parts)).cast("int")
+    folders = ([split] if split else []) + ["shuffle_part"]
+    placed = keyed.withColumn("shuffle_part", part).repartition(*folders)
+    # rows without id are dealt on by their other columns' place, not by a key they do not have
+    placed.sortWithinPartitions(*folders, "shuffle_key", id_col).write.partitionBy(*folders).parquet(path)
+
+
+def read_shuffled(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
+    """A table stored by ``write_shuffled``, without the columns that say where its rows lie."""
+    found = spark.read.parquet(path)
+    return (found if split is None else found.where(F.col("split") == split)).drop("shuffle_part")
+
+
+def head_of_shuffled(
+    spark: SparkSession, path: str, n: int, id_col: str = "id", split: str | None = None, split_col: str = "split"
+) -> DataFrame:
+    """The first n rows of the stored order, of one split if given; only the folders they lie in are read.
+
+    How many rows a folder holds comes from the files' footers.
+    """
+    found = spark.read.parquet(path)
+    if split is not None:
+        found = found.where(F.col(split_col) == split)
+    keyed = found.where(F.col("shuffle_key").isNotNull())
+    sizes = found.groupBy("shuffle_part").agg(F.count("*").alias("rows")).orderBy("shuffle_part").collect()
+    last, rows = -1, 0
+    for size in sizes:
+        if rows >= n:
+            break
+        last, rows = size["shuffle_part"], rows + size["rows"]
+    near = keyed.where(F.col("shuffle_part") <= last)
+    return near.orderBy("shuffle_key", id_col).limit(n).drop("shuffle_part")

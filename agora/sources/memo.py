@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agora.sources.staging import path_exists
+from agora.sources.versions import current_version, publish, read_published
+
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when a finished write is present; a half-written folder is not one."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def drop_table(spark: SparkSession, path: str) -> None:
@@ -26,10 +28,13 @@ def materialize(
     build: Callable[[], DataFrame],
     refresh: bool = False,
 ) -> DataFrame:
-    """Read the table at ``path``; build and write it first when it is missing."""
-    if refresh or not table_exists(spark, path):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """Read the table at ``path``; build and publish it first when it is missing.
+
+    With ``refresh`` the new table replaces the old one in one step, once it is whole.
+    """
+    if refresh or current_version(spark, path) is None:
+        publish(build(), path)
+    return read_published(spark, path)
 
 
 def resume_predictions(

@@ -33,6 +33,12 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder of that name exists on its file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def _folder(spark: SparkSession) -> str:
     """Where this application's staged tables lie."""
     return f"{scratch_root(spark)}/agora-{spark.sparkContext.applicationId}"

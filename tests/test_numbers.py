@@ -195,3 +195,28 @@ def test_percentiles_of_a_group_around_the_size_of_a_summary(spark):
         probs = [k / 997 for k in range(0, 998, 83)]
         got = exact_percentiles(rows, [], "x", probs).first()
         assert list(got) == pytest.approx([p * (n - 1) for p in probs])
+
+
+def test_kernel_density_matches_the_sums_over_all_rows(spark):
+    rng = np.random.default_rng(3)
+    x = np.append(rng.normal(2, 1, 600), 2.2)
+    y = np.append(0.6 * x[:600] + rng.normal(1, 0.5, 600), 1.0)
+    rows = [(float(a), float(b)) for a, b in zip(x, y)] + [(None, 1.0), (1.0, float("nan")), (float("inf"), 2.0)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    found = {(r["x_point"], r["y_point"]): r["density"] for r in distributions.density_kernel(df, "x", "y", 0, 6, 120).collect()}
+    shape = np.cov(x, y) * len(x) ** (-1 / 3)
+    inverse, norm = np.linalg.inv(shape), 2 * np.pi * math.sqrt(np.linalg.det(shape)) * len(x)
+    worst = 0.0
+    for i in range(0, 121, 8):
+        for j in range(0, 121, 8):
+            gap = np.stack([i * 0.05 - x, j * 0.05 - y])
+            wanted = np.exp(-0.5 * (gap * (inverse @ gap)).sum(axis=0)).sum() / norm
+            worst = max(worst, abs(found.get((i, j), 0.0) - wanted))
+    assert worst < 2e-3  # the peak is about 0.2; binning rounds rows to a grid of 0.05
+    assert sum(found.values()) * 0.05**2 == pytest.approx(np.mean([(0 <= a <= 6) and (0 <= b <= 6) for a, b in zip(x, y)]), abs=0.03)
+
+
+def test_no_density_without_a_full_covariance(spark):
+    for rows in ([], [(1.0, 2.0)], [(1.0, 2.0), (2.0, 4.0), (3.0, 6.0)], [(1.0, 1.0), (1.0, 2.0)]):
+        df = spark.createDataFrame(rows, "x double, y double")
+        assert distributions.density_kernel(df, "x", "y", 0, 6).collect() == []

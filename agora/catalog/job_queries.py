@@ -252,6 +252,39 @@ def pair_rows(spark, sf_dir):
     return rows.select("chosen", "rejected", *digests)
 
 
+def _vocabulary():
+    """A public byte-level vocabulary; without its package the queries of token ids cannot run."""
+    import public_tokenizers
+
+    return training.vocabulary_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def _ids_md5(column: str):
+    return F.md5(F.array_join(F.col(column).cast("array<string>"), ","))
+
+
+@query("training_token_ids")
+def training_token_ids(spark, sf_dir):
+    """Training rows of the stories with a model's token ids, those of at most 2,000 tokens."""
+    stories = build_story_dataset(items(spark, sf_dir))
+    rows = stage(training.training_rows(stories, "train", 200, _vocabulary(), max_len=2000), "token-ids")
+    return rows.select("id", F.round("label", 6).alias("label"), F.size("tokens").alias("tokens"), _ids_md5("tokens").alias("md5"))
+
+
+@query("pair_token_ids")
+def pair_token_ids(spark, sf_dir):
+    """Token ids and masks of both prompts of a pair, cut and padded to 4,096."""
+    rows = training.pair_rows(prompted_pairs(spark, sf_dir), _vocabulary(), pad=F.lit(0).cast("bigint"))
+    columns = [f"{kind}_{side}" for side in ("chosen", "rejected") for kind in ("input_ids", "attention_mask")]
+    return rows.select("chosen", "rejected", *[_ids_md5(c).alias(c) for c in columns])
+
+
+@query("chat_token_report")
+def chat_token_report(spark, sf_dir):
+    """Chats before and after a limit of 400 of a model's tokens."""
+    return training.turn_length_report(table(configure(spark), sf_dir, "conversations"), 400, _vocabulary())
+
+
 _RATED = f"""
 select c.id, strftime(c.time, '%B %d, %Y') as date, c."by", '{fixed.LINK_PREFIX}' || c.id as link,
        t.title as story_title, md5({CLEAN.format("c.text")}) as text_md5,

@@ -366,19 +366,6 @@ def test_failed_results_keep_their_response(frame):
     assert (result["full_response"], result["error"]) == ("raw", "timeout")
 
 
-def test_earlier_turns(frame):
-    turns = frame(
-        [(1, 2, "user", "c"), (1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 1, "tool", None),
-         (2, 5, "user", "only"), (None, 0, "user", "x"), (3, None, "user", "y")],
-        "conv_id long, turn long, role string, text string")
-    got = sorted((r["conv_id"], r["turn"], [(m["role"], m["content"]) for m in r["prompt"]])
-                 for r in training.earlier_turns(turns).collect())
-    assert got == [
-        (1, 0, []), (1, 1, [("user", "a")]), (1, 1, [("user", "a")]),
-        (1, 2, [("user", "a"), ("assistant", "b"), ("tool", None)]), (2, 5, []),
-    ]
-
-
 def test_chats_are_gathered_only_as_far_as_they_fit(spark, frame, fresh_path):
     rows = [(1, t, "user", f"w{t} " * (t % 4)) for t in range(-300, 700)]  # one that holds most rows
     rows += [(2, 0, "user", "a"), (2, 1, "tool", None), (2, 1, None, "x"), (2, 1, "user", ""), (2, 1, "user", ""),

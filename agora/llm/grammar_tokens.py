@@ -21,8 +21,10 @@ A shard is one row of a Parquet file:
 ``tokens``            ids of the shard
 ====================  ========================================================
 
-``decode_range`` expands any range of ids and only touches the symbols that
-cover it, which it finds by the expansion lengths.
+``decode_range`` expands any range of ids.  It finds the symbols that cover it by their
+expansion lengths and takes apart only these, rule by rule, letting go of what lies
+outside the range at each step; no other rule is expanded.  Reading whole shards lays all
+rules out once instead.
 
 Nulls: a null text is an empty one and has the end id alone; a null ``doc_id``
 sorts first and is kept.  Repeated rows are kept, ties are ordered by the text's
@@ -139,9 +141,14 @@ class Grammar:
 
     def __init__(self, first_rule: int, rules: np.ndarray, lengths: np.ndarray):
         self.first = first_rule
-        rules = rules.reshape(-1, 2).astype(np.int64)
+        self.rules = rules.reshape(-1, 2).astype(np.int64)
         self.size = lengths.astype(np.int64)
         self.start = np.cumsum(self.size) - self.size
+        self.flat: np.ndarray | None = None
+
+    def _lay_out(self) -> None:
+        """The ids of every rule, one after the other."""
+        rules, first_rule = self.rules, self.first
         self.flat = np.empty(int(self.size.sum()), np.uint32)
         # rules only use earlier ones, so a rule can be laid out once both its symbols are
         depth = np.zeros(len(rules), np.int64)
@@ -173,6 +180,8 @@ class Grammar:
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         """Ids of the symbols, one after the other."""
+        if self.flat is None:
+            self._lay_out()
         symbols = symbols.astype(np.int64)
         size = self.lengths(symbols)
         # a token id is its own expansion: its place is found, and its value put in, last
@@ -193,12 +202,24 @@ class Grammar:
 
 
 def decode_range(grammar: Grammar, symbols: np.ndarray, start: int, end: int) -> np.ndarray:
-    """Ids start..end of a shard, expanding only the symbols that cover them."""
-    ends = np.cumsum(grammar.lengths(symbols))
-    first = int(np.searchsorted(ends, start, "right"))
-    last = int(np.searchsorted(ends, end, "left")) + 1
-    skipped = int(ends[first - 1]) if first else 0
-    return grammar.expand(symbols[first:last])[start - skipped : end - skipped]
+    """Ids start..end of a shard, taking apart only the symbols that cover them."""
+    now, begin = symbols.astype(np.int64), 0  # begin: the place of the first id of ``now``
+    while True:
+        ends = begin + np.cumsum(grammar.lengths(now))
+        first = int(np.searchsorted(ends, start, "right"))
+        last = min(int(np.searchsorted(ends, end, "left")) + 1, len(now))
+        if start >= end or first >= last:
+            return np.empty(0, np.uint32)
+        begin = int(ends[first - 1]) if first else begin
+        now = now[first:last]
+        inner = now >= grammar.first
+        if not inner.any():
+            return now[start - begin : end - begin].astype(np.uint32)
+        times = np.where(inner, 2, 1)
+        place = np.cumsum(times) - times
+        halves = np.repeat(now, times)
+        halves[place[inner]], halves[place[inner] + 1] = grammar.rules[now[inner] - grammar.first].T
+        now = halves
 
 
 def _shard_rows(path: str, end_id: int, shard_tokens: int, min_count: int):

@@ -83,3 +83,19 @@ def test_empty_tables_have_no_tokens(docs, spark, fresh_path):
 def test_an_ordinary_token_ends_no_document(docs, spark, fresh_path):
     with pytest.raises(Exception, match="ordinary token"):
         separator_scan.write_files(docs([(1, "a")]), tokenizer_path(), fresh_path(), end_id=2)
+
+
+def test_a_range_is_read_without_laying_out_the_grammar():
+    rng = np.random.default_rng(8)
+    ids = np.tile(rng.integers(0, 50, 400), 60).astype(np.uint32)
+    symbols, rules, lengths = grammar_tokens.compress(ids, 100, 4)
+    grammar = grammar_tokens.Grammar(100, rules.ravel(), lengths)
+    touched, plain = [], grammar.lengths
+    grammar.lengths = lambda x: touched.append(len(x)) or plain(x)
+    for a, b in ((0, 1), (777, 800), (23_990, 24_000), (5, 5), (24_000, 24_010), (0, 24_000)):
+        touched.clear()
+        assert grammar_tokens.decode_range(grammar, symbols, a, b).tolist() == ids[a:b].tolist()
+        assert grammar.flat is None
+        if b - a < 30:
+            assert sum(touched[1:]) <= 40 * (b - a + 2)
+    assert max(lengths) > 100

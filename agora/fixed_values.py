@@ -80,3 +80,7 @@ ANSWER_CLOSE_LINE = "\n</answer>\n"
 ANSWER_CLOSE = "\n</answer>"
 TAG_POINTS = 0.125
 TRAILING_POINTS = 0.001
+
+# Columns of the published reports, in their order.
+STORY_REPORT = ("serialized", "predicted_score", "score", "score_diff", "link")
+COMMENT_REPORT = ("date", "by", "link", "story_title", "text", "reward")

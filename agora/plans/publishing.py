@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agora import fixed_values as fixed
 from agora.functions.stories import with_link
 from agora.operators import benchmark, ranking
 from agora.plans.evaluations import rating_reports, with_predicted_score
@@ -12,9 +13,6 @@ from agora.plans.pair_dataset import PairDataset
 from agora.sources.staging import stage
 from agora.sources.tables import write_csv_report, write_results_json, write_splits, write_table
 
-_STORY_REPORT = ("serialized", "predicted_score", "score", "score_diff", "link")
-_COMMENT_REPORT = ("date", "by", "link", "story_title", "text", "reward")
-
 
 def publish_pairs(built: PairDataset, folder: str, versions: tuple[str, ...] = ("v1", "v2")) -> None:
     """One split set per prompt version and the held-out comments."""
@@ -34,13 +32,13 @@ def publish_leaderboards(scored: DataFrame, folder: str, n: int = 100) -> None:
     boards = stage(boards.withColumn("link", with_link(F.col("id"))), "boards")
     for name, (column, desc, _) in ranking.LEADERBOARDS.items():
         ranked = ranking.top_n(boards.where(F.col("list") == name), column, n, desc)
-        write_csv_report(ranked.select(*_STORY_REPORT), f"{folder}/{name}")
+        write_csv_report(ranked.select(*fixed.STORY_REPORT), f"{folder}/{name}")
 
 
 def publish_ratings(rated: DataFrame, folder: str, n: int = 100) -> None:
     """CSVs of the best and the worst rated comments."""
     for name, report in rating_reports(rated, n).items():
-        write_csv_report(report.select(*_COMMENT_REPORT), f"{folder}/{name}_comments")
+        write_csv_report(report.select(*fixed.COMMENT_REPORT), f"{folder}/{name}_comments")
 
 
 def publish_benchmark(results: DataFrame, folder: str, model_order: list[str] | None = None) -> None:

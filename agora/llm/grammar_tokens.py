@@ -3,10 +3,10 @@
 Documents are dealt by ranges of ``doc_id`` and cut into shards of about
 ``shard_tokens`` ids, never inside a document.  In each shard the frequent pairs
 of neighbouring ids are replaced by nonterminals, again and again, until no pair
-occurs ``min_count`` times or a round shortens a shard by less than
-``least_gain`` of its length.  As in Re-Pair, where two pairs overlap the more
-frequent one goes first; all pairs of a round are replaced at once, and later
-rounds look at the pairs beside new symbols, the only ones that can be new.
+occurs ``min_count`` times: three, as a rule takes the room of two symbols.  As in
+Re-Pair, where two pairs overlap the more frequent one goes first; all pairs of a
+round are replaced at once, and later rounds look at the pairs beside new symbols.  When
+these yield no more, all pairs are looked at once again.
 
 A shard is one row of a Parquet file:
 
@@ -47,8 +47,7 @@ from agora.llm.encoding import worker_encoder
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
-MIN_COUNT = 24
-LEAST_GAIN = 0.002
+MIN_COUNT = 3
 
 SHARDS = (
     "part int, shard int, first_rule long, rules binary, lengths binary, symbols binary, "
@@ -88,21 +87,25 @@ def _pick(at: np.ndarray, keys: np.ndarray, min_count: int) -> tuple[np.ndarray,
 
 
 def compress(
-    ids: np.ndarray, first_rule: int, min_count: int = MIN_COUNT, least_gain: float = LEAST_GAIN
+    ids: np.ndarray, first_rule: int, min_count: int = MIN_COUNT
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules (n, 2) and expansion lengths of a sequence of ids below ``first_rule``."""
     seq = ids.astype(np.uint64)
-    live = np.arange(max(len(seq) - 1, 0))  # where a pair may have become frequent
+    live, whole = np.arange(max(len(seq) - 1, 0)), True  # where a pair may have become frequent
     rules = [np.empty((0, 2), np.uint64)]
     known = np.empty(0, np.int64)
-    while len(live):
+    while len(live) or not whole:
+        if not len(live):  # pairs that lost to their neighbours may still be frequent elsewhere
+            live, whole = np.arange(max(len(seq) - 1, 0)), True
+            continue
         shift = np.uint64(16 if first_rule + len(known) <= 1 << 16 else 32)
         at, which = _pick(live, seq[live] << shift | seq[live + 1], min_count)
         worth = np.bincount(which, minlength=1) >= 3  # a rule is two symbols long
         keep = worth[which]
         at, which = at[keep], which[keep]
         if not len(at):
-            break
+            live = live[:0]
+            continue
         number = np.cumsum(worth) - 1
         pairs = np.zeros((int(worth.sum()), 2), np.uint64)
         pairs[number[which], 0], pairs[number[which], 1] = seq[at], seq[at + 1]
@@ -114,10 +117,8 @@ def compress(
         gone = np.zeros(len(seq), dtype=bool)
         gone[at + 1] = True
         seq = seq[~gone]
-        if len(at) < least_gain * len(seq):
-            break
         fresh = at - np.arange(len(at))  # where the new symbols are now
-        live = _merged(fresh - 1, fresh, len(seq) - 1)
+        live, whole = _merged(fresh - 1, fresh, len(seq) - 1), False
     return seq.astype(np.uint32), np.concatenate(rules).astype(np.uint32), known.astype(np.uint32)
 
 

@@ -99,3 +99,16 @@ def test_a_range_is_read_without_laying_out_the_grammar():
         if b - a < 30:
             assert sum(touched[1:]) <= 40 * (b - a + 2)
     assert max(lengths) > 100
+
+
+def test_no_pair_that_pays_is_left():
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 60, 6000).astype(np.uint32)
+    symbols, rules, lengths = grammar_tokens.compress(ids, 100)
+    counts, last = {}, None
+    for pair in zip(symbols[:-1].tolist(), symbols[1:].tolist()):
+        if pair != last:  # of equal symbols in a row every other pair counts
+            counts[pair] = counts.get(pair, 0) + 1
+        last = pair if pair != last else None
+    assert max(counts.values()) < 3 and len(rules) == len(lengths)
+    assert grammar_tokens.Grammar(100, rules.ravel(), lengths).expand(symbols).tolist() == ids.tolist()

@@ -1,4 +1,10 @@
-"""Table sources and sinks.  Paths may be local or any Hadoop file system."""
+"""Table sources and sinks.  Paths may be local or any Hadoop file system.
+
+Tables and split sets are published as versions: a new one is written beside the old one and
+then takes its place in one step.  Readers here find the version that counts, or read a
+plain folder where nothing was published.  The version before stays for readers that have
+started; older ones go.
+"""
 
 from __future__ import annotations
 
@@ -9,23 +15,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agora import schemas
+from agora.sources.versions import current_version, prune, publish
+
+
+def _folder(spark: SparkSession, path: str) -> str:
+    return current_version(spark, path) or path
+
+
+def _replace(df: DataFrame, path: str, write=None) -> None:
+    before = current_version(df.sparkSession, path)
+    publish(df, path, write)
+    prune(df.sparkSession, path, keep=before)
 
 
 def scan_items(spark: SparkSession, path: str) -> DataFrame:
     """The full item table; a missing column or another type is an error."""
-    found = schemas.require_columns(spark.read.parquet(path), schemas.ITEMS)
+    found = schemas.require_columns(spark.read.parquet(_folder(spark, path)), schemas.ITEMS)
     return found.select(*schemas.ITEMS.fieldNames())
 
 
 def scan_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Any Parquet table; a schema, when given, saves the footer inference."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(_folder(spark, path))
 
 
 def scan_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     """One split of a table written by ``write_splits``; other splits are not read."""
-    return spark.read.parquet(path).where(F.col("split") == split)
+    return spark.read.parquet(_folder(spark, path)).where(F.col("split") == split)
 
 
 def scan_results_json(spark: SparkSession, path: str) -> DataFrame:
@@ -34,7 +51,8 @@ def scan_results_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Publish the table; a failed write leaves the old one as it was."""
+    _replace(df, path)
 
 
 def write_splits(
@@ -48,7 +66,8 @@ def write_splits(
     label = F.col("split")
     for old, new in (renames or {}).items():
         label = F.when(F.col("split") == old, F.lit(new)).otherwise(label)
-    df.withColumn("split", label).write.mode("overwrite").partitionBy("split").parquet(path)
+    tagged = df.withColumn("split", label)
+    _replace(tagged, path, lambda rows, folder: rows.write.partitionBy("split").parquet(folder))
 
 
 def write_csv_report(df: DataFrame, path: str) -> None:

@@ -71,14 +71,14 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(folder)
 
 
-def prune(spark: SparkSession, path: str) -> int:
-    """Delete all versions but the one that counts; how many they were."""
-    kept = (current_version(spark, path) or "").rsplit("/", 1)[-1]
+def prune(spark: SparkSession, path: str, keep: str | None = None) -> int:
+    """Delete all versions but the one that counts and ``keep`` (its folder); how many they were."""
+    kept = {(folder or "").rsplit("/", 1)[-1] for folder in (current_version(spark, path), keep)}
     root = _path(spark, path)
     files, gone = _files(spark, root), 0
     for found in files.listStatus(root):
         name = found.getPath().getName()
-        if name.startswith("version-") and name != kept:
+        if name.startswith("version-") and name not in kept:
             files.delete(found.getPath(), True)
             gone += 1
     return gone

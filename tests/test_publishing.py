@@ -20,7 +20,7 @@ def test_pairs(spark, items, fresh_path):
     built = pair_dataset.build_pair_dataset(items)
     publishing.publish_pairs(built, folder)
     for version in ("v1", "v2"):
-        found = spark.read.parquet(f"{folder}/sample_pairs_{version}")
+        found = tables.scan_table(spark, f"{folder}/sample_pairs_{version}")
         assert set(found.columns) == {
             "chosen", "rejected", "chosen_rank", "rejected_rank", "top_level_parent", "split",
             "chosen_prompt", "rejected_prompt",
@@ -28,7 +28,7 @@ def test_pairs(spark, items, fresh_path):
         assert found.count() == built.splits.count()
     first = tables.scan_split(spark, f"{folder}/sample_pairs_v1", "train").first()
     assert first["chosen_prompt"].startswith("<instructions>")
-    assert spark.read.parquet(f"{folder}/top_comments").count() == built.held_out.count()
+    assert tables.scan_table(spark, f"{folder}/top_comments").count() == built.held_out.count()
 
 
 def test_leaderboards(spark, items, fresh_path):
@@ -63,4 +63,4 @@ def test_benchmark(spark, fresh_path):
     by_item = tables.scan_results_json(spark, f"{folder}/by_item")
     assert by_item.count() == results.select("item_id").distinct().count()
     assert by_item.first()["model_results"].keys() == {"a", "b", "c"}
-    assert spark.read.parquet(f"{folder}/by_model").count() == 3
+    assert tables.scan_table(spark, f"{folder}/by_model").count() == 3

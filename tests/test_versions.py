@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from agora.operators import generations, sampling
-from agora.sources import versions
+from agora.sources import tables, versions
 from agora.sources.memo import drop_table, materialize
 
 
@@ -57,6 +57,22 @@ def test_materialized_tables_are_refreshed_in_one_step(spark, fresh_path):
     assert materialize(spark, path, lambda: build(4)).count() == 4
 
 
+def test_written_tables_and_splits_are_replaced_whole(spark, fresh_path):
+    path, splits = fresh_path(), fresh_path()
+    for n in (2, 3, 4):
+        tables.write_table(spark.range(n), path)
+        seen = tables.scan_table(spark, path)
+        tables.write_splits(spark.range(n).withColumn("split", F.lit("val")), splits, {"val": "validation"})
+        assert tables.scan_split(spark, splits, "validation").count() == n
+    broken = spark.range(1).select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        tables.write_table(broken, path)
+    assert ids(tables.scan_table(spark, path)) == ids(seen) == [0, 1, 2, 3]
+    plain = fresh_path()
+    spark.range(7).write.parquet(plain)  # a folder of someone else's
+    assert tables.scan_table(spark, plain).count() == 7
+
+
 @pytest.fixture
 def numbered(spark):
     rows = spark.range(5000).select("id", F.when(F.col("id") % 5 == 0, "test").otherwise("train").alias("split"))

@@ -285,7 +285,7 @@ def ancestor_steps(comments: DataFrame, items: DataFrame, walk_rounds: int = WAL
         mine = keep_in(started, "id", still.select("id").distinct()) if few else started
         roots = stage(mine.select("top_level_parent").distinct(), "roots")
         found = [*found, _climbed(still, keep_in(items, "top_level_parent", roots))]
-    return reduce(DataFrame.unionByName, found)
+    return reduce(DataFrame.unionByName, found or [start])
 
 
 def ancestor_rows(comments: DataFrame, items: DataFrame) -> DataFrame:

@@ -31,6 +31,8 @@ Scorer = Callable[[], Callable[[list[str]], list[float | None]]]
 DEFAULT_BATCH = 1000
 #: Characters of a padded batch: its rows times its longest text.
 DEFAULT_PADDED = 4_000_000
+#: Characters of the rows that a task puts in order of length at a time.
+_SORTED = 16_000_000
 #: Classes of lengths for each doubling.
 _CLASSES = 16
 
@@ -68,10 +70,10 @@ def score_columns(
 
     Each score column gets an ``<name>_error`` beside it: a row the scorer
     fails on keeps the error and a null score.  Null texts get a null score.
-    Within each partition rows go longest first, so that texts of like length
-    share a batch and little is padded; a batch ends at ``batch_size`` rows or ``padded``
-    characters, whichever comes first.  Scores stay in their row, so nothing is
-    shuffled and no order has to be restored.  With ``tasks`` the rows are dealt anew to
+    A task takes rows of some million characters at a time and puts them longest first, so that
+    texts of like length share a batch and little is padded; a batch ends at ``batch_size`` rows or
+    ``padded`` characters, whichever comes first.  Scores stay in their row, so nothing is
+    shuffled, no order has to be restored and no text is written to disk.  With ``tasks`` the rows are dealt anew to
     so many tasks of equal cost, which pays where scoring costs more than moving the texts.
     """
     kept = [f for f in df.schema.fields if not (drop_texts and f.name in texts)]
@@ -82,12 +84,9 @@ def score_columns(
     ]
     if tasks is not None:
         df = balanced(df, list(texts), tasks)
-    if longest_first:
-        df = df.sortWithinPartitions(_size(list(texts)).desc())
-
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         score = scorer()
-        for frame in frames:
+        for frame in _longest_first(frames, list(texts)) if longest_first else frames:
             for begin, end in _batches(frame[list(texts)], batch_size, padded):
                 part = frame.iloc[begin:end]
                 result = part[[f.name for f in kept]].copy()
@@ -108,6 +107,28 @@ def _size(texts: list[str]) -> Column:
     return sum((F.coalesce(F.length(c), F.lit(0)) for c in texts), F.lit(0))
 
 
+def _longest_first(frames: Iterator[pd.DataFrame], texts: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows again, each frame with at least ``_SORTED`` characters, the last one aside, and in order of length."""
+    held, size = [], 0
+
+    def ordered() -> pd.DataFrame:
+        whole = pd.concat(held, ignore_index=True)
+        return whole.iloc[np.argsort(-_chars(whole, texts), kind="stable")].reset_index(drop=True)
+
+    for frame in frames:
+        held.append(frame)
+        size += int(_chars(frame, texts).sum()) + len(frame)
+        if size >= _SORTED:
+            yield ordered()
+            held, size = [], 0
+    if held:
+        yield ordered()
+
+
+def _chars(frame: pd.DataFrame, texts: list[str]) -> np.ndarray:
+    return sum(frame[name].str.len().fillna(0).to_numpy(np.int64) for name in texts)
+
+
 def _batches(texts: pd.DataFrame, rows: int, padded: int) -> Iterator[tuple[int, int]]:
     """Runs of at most ``rows`` rows that take at most ``padded`` characters; one row is always a run."""
     longest = np.zeros(len(texts), np.int64)

@@ -157,6 +157,14 @@ class ResultStore:
         return full
 
 
+def _keyed(
+    df: DataFrame, arg_cols: list[str], read: Callable[[DataFrame], DataFrame] | None
+) -> DataFrame:
+    """Staged rows with their ``arg_hash``: texts are hashed once."""
+    whole = df if read is None else read(df)
+    return stage(whole.withColumn("arg_hash", arg_hash(whole, arg_cols)).select(*df.columns, "arg_hash"), "keyed")
+
+
 def score_incremental(
     df: DataFrame,
     fn_id: str,
@@ -166,15 +174,17 @@ def score_incremental(
     text_col: str,
     cache_only: bool = False,
     refresh: bool = False,
+    read: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Attach ``score`` and ``error``, running the scorer only on unseen arguments.
 
     Rows with equal arguments are scored once, however many copies there are.
     Failures are reported in ``error`` and never stored.  ``cache_only`` makes
-    any miss an error; ``refresh`` recomputes everything.
+    any miss an error; ``refresh`` recomputes everything.  Where texts are stored apart,
+    ``read`` adds them to rows of ``df``: texts are then read twice, to be hashed and
+    to be scored, and neither moved nor stored; the result has no texts.
     """
-    # Texts are hashed and read from their source once.
-    keyed = stage(df.withColumn("arg_hash", arg_hash(df, arg_cols)), "keyed")
+    keyed = _keyed(df, arg_cols, read)
     hashes = keyed.select("arg_hash").distinct()
     # Misses are found on hashes alone; when they are few, the planner can
     # broadcast them and texts that were scored before are not moved.
@@ -187,12 +197,15 @@ def score_incremental(
         known, missing = judged.where("known"), judged.where("known is null").select("arg_hash")
     if cache_only and not missing.isEmpty():
         raise KeyError(f"result table has no value for some arguments of {fn_id}")
-    todo = (
-        keyed.select("arg_hash", text_col)
+    needed = F.struct(*([text_col] if read is None else df.columns)).alias("row")
+    once = (
+        keyed.select("arg_hash", needed)
         .join(missing, "arg_hash", "left_semi")
         .groupBy("arg_hash")
-        .agg(F.first(text_col).alias(text_col))
+        .agg(F.first("row").alias("row"))
+        .select("arg_hash", "row.*")
     )
+    todo = once if read is None else read(once)
     fresh = stage(batch_score(todo, "arg_hash", text_col, scorer), "scores")
     done = fresh.where(F.col("error").isNull() & F.col("score").isNotNull())
     store.append(
@@ -210,9 +223,12 @@ def score_incremental(
     return attach(keyed, values, ["arg_hash"])
 
 
-def lookup_results(df: DataFrame, fn_id: str, arg_cols: list[str], store: ResultStore) -> DataFrame:
-    """Attach ``hit`` and ``score`` without computing anything."""
-    keyed = stage(df.withColumn("arg_hash", arg_hash(df, arg_cols)), "keyed")
+def lookup_results(
+    df: DataFrame, fn_id: str, arg_cols: list[str], store: ResultStore,
+    read: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Attach ``hit`` and ``score`` without computing anything; ``read`` as in ``score_incremental``."""
+    keyed = _keyed(df, arg_cols, read)
     values = store.live(fn_id, keyed.select("arg_hash")).withColumn("hit", F.lit(True))
     return (
         attach(keyed, values, ["arg_hash"])

@@ -111,18 +111,20 @@ def _longest_first(frames: Iterator[pd.DataFrame], texts: list[str]) -> Iterator
     """The rows again, each frame with at least ``_SORTED`` characters, the last one aside, and in order of length."""
     held, size = [], 0
 
-    def ordered() -> pd.DataFrame:
+    def ordered(held: list[pd.DataFrame]) -> pd.DataFrame:
         whole = pd.concat(held, ignore_index=True)
+        held.clear()
         return whole.iloc[np.argsort(-_chars(whole, texts), kind="stable")].reset_index(drop=True)
 
     for frame in frames:
         held.append(frame)
         size += int(_chars(frame, texts).sum()) + len(frame)
+        del frame
         if size >= _SORTED:
-            yield ordered()
-            held, size = [], 0
+            size = 0
+            yield ordered(held)
     if held:
-        yield ordered()
+        yield ordered(held)
 
 
 def _chars(frame: pd.DataFrame, texts: list[str]) -> np.ndarray:

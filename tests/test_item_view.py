@@ -10,7 +10,8 @@ from agora.catalog import views
 from agora.catalog.compare import _rows
 from agora.operators import forest, scoring, training
 from agora.operators.scoring import length_scorer
-from agora.sources.result_store import ResultStore, lookup_results, score_incremental
+from agora.session import configure
+from agora.sources.result_store import ResultStore, key_rows, lookup_results, score_incremental
 from pyspark.sql import functions as F
 
 #: The fifth document has no text, number 3 is there twice, one has no number.
@@ -66,6 +67,33 @@ def test_no_text_is_stored_per_event(spark, sf_dir):
     assert _bytes(views.item_rows(spark, sf_dir)) + _bytes(views._texts(spark, sf_dir)) < texts / 20
 
 
+def test_texts_stay_in_the_given_table(spark, sf_dir):
+    assert all(name.startswith(f"file://{sf_dir}/documents.parquet/") for name in views._texts(spark, sf_dir).inputFiles())
+    keys = [r["text_key"] for r in views._texts(spark, sf_dir).collect()]
+    assert keys.count(None) == 1 and len(set(keys)) == len(keys) == len(IDS) - 1
+
+
+def test_texts_are_shuffled_once(spark, sf_dir):
+    whole = views.text_reader(spark, sf_dir)(views.item_rows(spark, sf_dir).select("id", "text_key"))
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2
+
+
+def test_few_texts_are_those_of_all(spark, sf_dir):
+    few = views.item_rows(spark, sf_dir).where("id < 20").select("id", "text_key")
+    wanted = sorted(map(str, views.text_reader(spark, sf_dir)(few).collect()))
+    read = views.text_reader(spark, sf_dir, few)(few)
+    assert sorted(map(str, read.collect())) == wanted
+    assert "LeftSemi" in read._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    configure(spark)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().groupBy("count").count()
+    assert sorted(counted.collect()) == sorted(counted.collect()) == [(142, 1), (143, 6)]
+
+
 @pytest.mark.parametrize("narrow", [
     lambda x: x.select("id", "time"),
     lambda x: x.where("type = 'story' and score > 3").select("id", "title"),
@@ -107,6 +135,26 @@ def test_results_by_texts_that_lie_apart(spark, sf_dir, fresh_path):
     assert got == sorted((r["id"], -1 if r["s"] is None else r["s"]) for r in exact)
 
 
+def test_rows_are_keyed_once_and_not_moved_to_few_values(spark, sf_dir, fresh_path):
+    read = views.text_reader(spark, sf_dir)
+    rows = key_rows(views.item_rows(spark, sf_dir).select("id", "text_key"), ["text"], read)
+    store = ResultStore(spark, fresh_path())
+    score_incremental(rows.where("id < 300"), "f", ["text"], length_scorer, store, "text", read=read)
+    found = lookup_results(rows, "f", ["text"], store, read)
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.inputFiles() and set(rows.inputFiles()) <= set(found.inputFiles())
+    assert found.where("id < 300 and text_key is not null").count() == found.where("hit").count() > 0
+
+
+def test_hashes_wanted_twice_are_found_once(spark, fresh_path):
+    store = ResultStore(spark, fresh_path())
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "text string, id int")
+    for _ in range(2):
+        keyed = score_incremental(rows, "f", ["text"], length_scorer, store, "text", refresh=True)
+    wanted = keyed.where("id = 1").select("arg_hash")
+    assert store.live("f", wanted.unionByName(wanted)).count() == 1
+
+
 def test_rows_are_not_sorted_by_their_texts(spark):
     texts = spark.range(50).select("id", F.repeat(F.lit("x"), F.col("id").cast("int")).alias("text"))
     scored = scoring.batch_score(texts, "id", "text")

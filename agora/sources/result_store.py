@@ -121,13 +121,15 @@ class ResultStore:
         """Visible ``(arg_hash, result)`` rows of one function.
 
         ``wanted`` (with an ``arg_hash``) names the partitions to open and cuts their rows
-        down before they are grouped; there are at most ``16 ** HASH_DIGITS`` names.
+        down before they are grouped; there are at most ``16 ** HASH_DIGITS`` names.  The join
+        repeats rows that are wanted more than once, which the grouping undoes; unlike a
+        semi-join it lets the planner broadcast whichever side is small.
         """
         rows = self._rows_of(fn_id)
         if wanted is not None:
             parts = wanted.select(hash_part(F.col("arg_hash"))).distinct().collect()
             rows = rows.where(F.col("hash_part").isin([x[0] for x in parts]))
-            rows = rows.join(wanted.select("arg_hash"), "arg_hash", "left_semi")
+            rows = rows.join(wanted.select("arg_hash"), "arg_hash")
         return (
             rows.groupBy("arg_hash")
             .agg(F.max_by(F.struct("result", "evicted"), "version").alias("last"))
@@ -157,10 +159,15 @@ class ResultStore:
         return full
 
 
-def _keyed(
-    df: DataFrame, arg_cols: list[str], read: Callable[[DataFrame], DataFrame] | None
+def key_rows(
+    df: DataFrame, arg_cols: list[str], read: Callable[[DataFrame], DataFrame] | None = None
 ) -> DataFrame:
-    """Staged rows with their ``arg_hash``: texts are hashed once."""
+    """Staged rows with their ``arg_hash``: texts are hashed once, for all functions of the same arguments.
+
+    Rows that have an ``arg_hash`` stay as they are.
+    """
+    if "arg_hash" in df.columns:
+        return df
     whole = df if read is None else read(df)
     return stage(whole.withColumn("arg_hash", arg_hash(whole, arg_cols)).select(*df.columns, "arg_hash"), "keyed")
 
@@ -180,11 +187,11 @@ def score_incremental(
 
     Rows with equal arguments are scored once, however many copies there are.
     Failures are reported in ``error`` and never stored.  ``cache_only`` makes
-    any miss an error; ``refresh`` recomputes everything.  Where texts are stored apart,
+    any miss an error; ``refresh`` recomputes everything.  ``df`` may come from ``key_rows``.  Where texts are stored apart,
     ``read`` adds them to rows of ``df``: texts are then read twice, to be hashed and
     to be scored, and neither moved nor stored; the result has no texts.
     """
-    keyed = _keyed(df, arg_cols, read)
+    keyed = key_rows(df, arg_cols, read)
     hashes = keyed.select("arg_hash").distinct()
     # Misses are found on hashes alone; when they are few, the planner can
     # broadcast them and texts that were scored before are not moved.
@@ -197,7 +204,7 @@ def score_incremental(
         known, missing = judged.where("known"), judged.where("known is null").select("arg_hash")
     if cache_only and not missing.isEmpty():
         raise KeyError(f"result table has no value for some arguments of {fn_id}")
-    needed = F.struct(*([text_col] if read is None else df.columns)).alias("row")
+    needed = F.struct(*([text_col] if read is None else [c for c in df.columns if c != "arg_hash"])).alias("row")
     once = (
         keyed.select("arg_hash", needed)
         .join(missing, "arg_hash", "left_semi")
@@ -227,9 +234,10 @@ def lookup_results(
     df: DataFrame, fn_id: str, arg_cols: list[str], store: ResultStore,
     read: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Attach ``hit`` and ``score`` without computing anything; ``read`` as in ``score_incremental``."""
-    keyed = _keyed(df, arg_cols, read)
-    values = store.live(fn_id, keyed.select("arg_hash")).withColumn("hit", F.lit(True))
+    """Attach ``hit`` and ``score`` without computing anything; ``df`` and ``read`` as in ``score_incremental``."""
+    keyed = key_rows(df, arg_cols, read)
+    # staged, so that rows and their hashes are not moved to meet a few values
+    values = stage(store.live(fn_id, keyed.select("arg_hash")), "values").withColumn("hit", F.lit(True))
     return (
         attach(keyed, values, ["arg_hash"])
         .withColumn("hit", F.coalesce("hit", F.lit(False)))

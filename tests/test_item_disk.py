@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from agora.catalog import QUERIES, views
+from agora.operators import filters
 
 #: The fifth document has no text, number 3 is there twice, one has no number.
 IDS = [0, 1, 2, 3, 3, 4, 5, None]
@@ -44,3 +45,11 @@ def test_items_are_stored_without_a_shuffle(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(views, "stage", noted)
     assert QUERIES["log_scores"](spark, sf_dir).count() > 0
     assert "Exchange hashpartitioning" not in plans["items"] and "Join" in plans["items"]
+
+
+def test_whether_there_is_a_text_is_known_without_it(spark, sf_dir):
+    assert "_body" not in _plan(QUERIES["mean_score_by_quarter"](spark, sf_dir))
+    marks, items = views.item_marks(spark, sf_dir), views.items(spark, sf_dir)
+    for kept in (filters.filter_stories_with_text, filters.filter_text_stories):
+        found = _sorted(kept(marks), "id", "score", "time")
+        assert found == _sorted(kept(items), "id", "score", "time") and found

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from agora.catalog import QUERIES, views
+from agora.catalog import QUERIES, item_queries, views
 from agora.operators import filters
 
 #: The fifth document has no text, number 3 is there twice, one has no number.
@@ -53,3 +53,11 @@ def test_whether_there_is_a_text_is_known_without_it(spark, sf_dir):
     for kept in (filters.filter_stories_with_text, filters.filter_text_stories):
         found = _sorted(kept(marks), "id", "score", "time")
         assert found == _sorted(kept(items), "id", "score", "time") and found
+
+
+def test_posts_move_their_own_texts_alone(spark, sf_dir):
+    posts = item_queries.text_posts(spark, sf_dir)
+    assert "LeftSemi" in _plan(posts)
+    names = ["id", "by", "time", "text", "title", "score", "descendants"]
+    found = _sorted(posts, *names)
+    assert found == _sorted(filters.filter_text_stories(views.items(spark, sf_dir)), *names) and found

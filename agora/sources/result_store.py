@@ -31,7 +31,7 @@ from agora import schemas
 from agora.operators.joins import attach
 from agora.operators.scoring import batch_score
 from agora.sources.memo import table_exists
-from agora.sources.staging import stage
+from agora.sources.staging import stage, stage_steps
 
 DIRECT_FN = "__direct"
 ALL_FUNCTIONS = "__all"
@@ -168,8 +168,10 @@ def key_rows(
     """
     if "arg_hash" in df.columns:
         return df
-    whole = df if read is None else read(df)
-    return stage(whole.withColumn("arg_hash", arg_hash(whole, arg_cols)).select(*df.columns, "arg_hash"), "keyed")
+    # texts that lie apart are moved step by step, which bounds the scratch disk
+    parts = [df] if read is None else read.steps(df) if hasattr(read, "steps") else [read(df)]
+    keyed = [part.withColumn("arg_hash", arg_hash(part, arg_cols)).select(*df.columns, "arg_hash") for part in parts]
+    return stage_steps(keyed, "keyed")
 
 
 def score_incremental(
@@ -189,7 +191,8 @@ def score_incremental(
     Failures are reported in ``error`` and never stored.  ``cache_only`` makes
     any miss an error; ``refresh`` recomputes everything.  ``df`` may come from ``key_rows``.  Where texts are stored apart,
     ``read`` adds them to rows of ``df``: texts are then read twice, to be hashed and
-    to be scored, and neither moved nor stored; the result has no texts.
+    to be scored, and never stored; the result has no texts.  A ``read`` with ``steps`` and
+    ``only``, such as ``TextReader``, moves a part of the texts at a time, and those to be scored alone.
     """
     keyed = key_rows(df, arg_cols, read)
     hashes = keyed.select("arg_hash").distinct()
@@ -205,13 +208,10 @@ def score_incremental(
     if cache_only and not missing.isEmpty():
         raise KeyError(f"result table has no value for some arguments of {fn_id}")
     needed = F.struct(*([text_col] if read is None else [c for c in df.columns if c != "arg_hash"])).alias("row")
-    once = (
-        keyed.select("arg_hash", needed)
-        .join(missing, "arg_hash", "left_semi")
-        .groupBy("arg_hash")
-        .agg(F.first("row").alias("row"))
-        .select("arg_hash", "row.*")
-    )
+    unseen = keyed.select("arg_hash", needed).join(missing, "arg_hash", "left_semi")
+    once = unseen.groupBy("arg_hash").agg(F.first("row").alias("row")).select("arg_hash", "row.*")
+    if hasattr(read, "only"):  # of all rows that may be the first
+        read = read.only(unseen.select("row.*"))
     todo = once if read is None else read(once)
     fresh = stage(batch_score(todo, "arg_hash", text_col, scorer), "scores")
     done = fresh.where(F.col("error").isNull() & F.col("score").isNotNull())

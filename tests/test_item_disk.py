@@ -7,6 +7,8 @@ import pytest
 
 from agora.catalog import QUERIES, item_queries, views
 from agora.operators import filters
+from agora.sources import result_store
+from pyspark.sql import functions as F
 
 #: The fifth document has no text, number 3 is there twice, one has no number.
 IDS = [0, 1, 2, 3, 3, 4, 5, None]
@@ -61,3 +63,23 @@ def test_posts_move_their_own_texts_alone(spark, sf_dir):
     names = ["id", "by", "time", "text", "title", "score", "descendants"]
     found = _sorted(posts, *names)
     assert found == _sorted(filters.filter_text_stories(views.items(spark, sf_dir)), *names) and found
+
+
+def test_hashes_are_found_in_steps(spark, sf_dir, monkeypatch):
+    read, rows = views.text_reader(spark, sf_dir), views.item_rows(spark, sf_dir).select("id", "type", "text_key")
+    counts, steps = [], result_store.stage_steps
+
+    def noted(parts, label):
+        counts.extend(part.count() for part in parts)
+        return steps(parts, label)
+
+    monkeypatch.setattr(result_store, "stage_steps", noted)
+    keyed = result_store.key_rows(rows, ["text"], read)
+    whole = read(rows)
+    exact = whole.withColumn("arg_hash", result_store.arg_hash(whole, ["text"]))
+    names = ["id", "type", "text_key", "arg_hash"]
+    assert keyed.columns == names and _sorted(keyed, *names) == _sorted(exact, *names)
+    assert len(counts) == views.TextReader.STEPS and sum(counts) == rows.count()
+    some = rows.where("id < 100")
+    assert _sorted(read.only(some)(some), "id", "text") == _sorted(read(some), "id", "text")
+    assert some.where(F.col("text_key").isNull()).count() > 0

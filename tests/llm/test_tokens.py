@@ -112,3 +112,19 @@ def test_no_pair_that_pays_is_left():
         last = pair if pair != last else None
     assert max(counts.values()) < 3 and len(rules) == len(lengths)
     assert grammar_tokens.Grammar(100, rules.ravel(), lengths).expand(symbols).tolist() == ids.tolist()
+
+
+def test_whole_shards_are_read_without_taking_symbols_apart(monkeypatch):
+    import pyarrow as pa
+
+    ids = np.random.default_rng(1).integers(0, 5, 4000).astype(np.uint32)
+    symbols, rules, lengths = grammar_tokens.compress(ids, 100)
+    row = {
+        "part": 0, "shard": 0, "first_rule": 100, "rules": rules.tobytes(), "lengths": lengths.tobytes(),
+        "symbols": symbols.tobytes(), "doc_ids": [7, None, 9],
+        "doc_ends": np.array([1500, 1500, 4000], np.int64).tobytes(), "tokens": 4000,
+    }
+    monkeypatch.setattr(grammar_tokens, "decode_range", None)
+    found = next(grammar_tokens._document_rows(iter([pa.RecordBatch.from_pylist([row])]))).to_pylist()
+    assert [(r["doc_id"], r["offset"], r["n_tokens"]) for r in found] == [(7, 0, 1500), (None, 1500, 0), (9, 1500, 2500)]
+    assert [r["ids_crc32"] for r in found] == [zlib.crc32(ids[a:b].tobytes()) for a, b in ((0, 1500), (0, 0), (1500, 4000))]

@@ -56,33 +56,46 @@ SHARDS = (
 DOCUMENTS = "part int, shard int, row int, doc_id long, offset long, n_tokens long, ids_crc32 long"
 
 
-def _pick(at: np.ndarray, keys: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of the pairs ``keys`` at positions ``at`` (ascending): where to replace, and the rank of each one's pair."""
-    if len(keys) < 1 << 32 and int(keys.max()) < 1 << 32:
+def _pick(at: np.ndarray, keys: np.ndarray, bits: int, min_count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs ``keys``, of ``bits`` bits, at positions ``at`` (ascending): where to replace, and the rank of each one's pair."""
+    room = len(keys).bit_length()
+    if bits + room <= 64:
         # key and place in one number: sorting it is twice as fast as sorting indirectly
-        packed = np.sort(keys << np.uint64(32) | np.arange(len(keys), dtype=np.uint64))
-        ordered, order = packed >> np.uint64(32), (packed & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        ordered = np.sort(keys << np.uint64(room) | np.arange(len(keys), dtype=np.uint64))
+        order = (ordered & np.uint64((1 << room) - 1)).view(np.int64)
+        ordered >>= np.uint64(room)
     else:
         order = np.argsort(keys)
         ordered = keys[order]
-    head = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    differs = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=differs[1:])
+    head = np.flatnonzero(differs)
     count = np.diff(np.append(head, len(ordered)))
     often = np.flatnonzero(count >= min_count)
     # the rank of a pair: by its count, then by its ids; 0 if it is too rare
     rank = np.zeros(len(head), np.int32)
     rank[often[np.argsort(count[often], kind="stable")]] = np.arange(1, len(often) + 1)
-    of = np.empty(len(keys), np.int32)
-    of[order] = np.repeat(rank, count)
+    ranks = np.repeat(rank, count)
+    of = np.zeros(len(keys), np.int32)
+    if len(often) * 2 < len(head):  # most pairs are rare: the places of the others alone
+        use = np.flatnonzero(ranks)
+        order, ranks = order[use], ranks[use]
+    of[order] = ranks
     use = np.flatnonzero(of)
-    at, of = at[use], of[use]
-    next_to = at[1:] == at[:-1] + 1
-    before, after, same = np.zeros_like(of), np.zeros_like(of), np.zeros(len(of), dtype=bool)
-    before[1:], after[:-1] = of[:-1] * next_to, of[1:] * next_to
-    same[1:] = next_to & (of[1:] == of[:-1])
-    places = np.arange(len(of))
-    run = np.maximum.accumulate(np.where(same, 0, places))
-    even = (places - run) % 2 == 0
-    chosen = np.flatnonzero(even & (same | (of > before)) & (of >= after))
+    if len(use) < len(of):
+        at, of = at[use], of[use]
+    next_to = at[1:] - at[:-1] == 1
+    less, same = of[1:] < of[:-1], of[1:] == of[:-1]
+    chosen = np.ones(len(of), dtype=bool)
+    chosen[1:] &= ~(next_to & less)  # the one before is more frequent
+    chosen[:-1] &= ~next_to | less | same  # the one behind is
+    # of equal pairs in a row every other one
+    row = np.flatnonzero(next_to & same) + 1
+    first = np.ones(len(row), dtype=bool)
+    first[1:] = row[1:] - row[:-1] != 1
+    starts = np.flatnonzero(first)
+    place = np.arange(len(row)) - np.repeat(starts, np.diff(np.append(starts, len(row))))
+    chosen[row[place % 2 == 0]] = False
     return at[chosen], of[chosen]
 
 
@@ -90,16 +103,17 @@ def compress(
     ids: np.ndarray, first_rule: int, min_count: int = MIN_COUNT
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules (n, 2) and expansion lengths of a sequence of ids below ``first_rule``."""
-    seq = ids.astype(np.uint64)
+    seq = ids.astype(np.uint32)
     live, whole = np.arange(max(len(seq) - 1, 0)), True  # where a pair may have become frequent
-    rules = [np.empty((0, 2), np.uint64)]
+    rules = [np.empty((0, 2), np.uint32)]
     known = np.empty(0, np.int64)
     while len(live) or not whole:
         if not len(live):  # pairs that lost to their neighbours may still be frequent elsewhere
             live, whole = np.arange(max(len(seq) - 1, 0)), True
             continue
-        shift = np.uint64(16 if first_rule + len(known) <= 1 << 16 else 32)
-        at, which = _pick(live, seq[live] << shift | seq[live + 1], min_count)
+        bits = (first_rule + len(known)).bit_length()
+        left, right = (seq[:-1], seq[1:]) if whole else (seq[live], seq[live + 1])
+        at, which = _pick(live, left.astype(np.uint64) << np.uint64(bits) | right, 2 * bits, min_count)
         worth = np.bincount(which, minlength=1) >= 3  # a rule is two symbols long
         keep = worth[which]
         at, which = at[keep], which[keep]
@@ -107,27 +121,28 @@ def compress(
             live = live[:0]
             continue
         number = np.cumsum(worth) - 1
-        pairs = np.zeros((int(worth.sum()), 2), np.uint64)
+        pairs = np.zeros((int(worth.sum()), 2), np.uint32)
         pairs[number[which], 0], pairs[number[which], 1] = seq[at], seq[at + 1]
         size = np.concatenate(([1], known))
         inner = np.maximum(pairs.astype(np.int64) - (first_rule - 1), 0)
-        seq[at] = (first_rule + len(known) + number[which]).astype(np.uint64)
+        seq[at] = (first_rule + len(known) + number[which]).astype(np.uint32)
         known = np.concatenate([known, size[inner].sum(axis=1)])
         rules.append(pairs)
-        gone = np.zeros(len(seq), dtype=bool)
-        gone[at + 1] = True
-        seq = seq[~gone]
+        left = np.ones(len(seq), dtype=bool)
+        left[at + 1] = False
+        seq = seq[left]
         fresh = at - np.arange(len(at))  # where the new symbols are now
-        live, whole = _merged(fresh - 1, fresh, len(seq) - 1), False
-    return seq.astype(np.uint32), np.concatenate(rules).astype(np.uint32), known.astype(np.uint32)
+        live, whole = _beside(fresh, len(seq) - 1), False
+    return seq, np.concatenate(rules), known.astype(np.uint32)
 
 
-def _merged(a: np.ndarray, b: np.ndarray, below: int) -> np.ndarray:
-    """Both lists of positions in one, ascending, without repeats."""
-    flags = np.zeros(below + 1, dtype=bool)
-    flags[a[a >= 0]] = True
-    flags[b] = True
-    return np.flatnonzero(flags[:below])
+def _beside(fresh: np.ndarray, below: int) -> np.ndarray:
+    """The ascending positions ``fresh`` and those before them, ascending, without repeats, in 0..below - 1."""
+    both = np.empty(2 * len(fresh), np.int64)
+    both[::2], both[1::2] = fresh - 1, fresh
+    keep = (both >= 0) & (both < below)
+    keep[1:] &= both[1:] != both[:-1]
+    return both[keep]
 
 
 def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -149,28 +164,16 @@ class Grammar:
 
     def _lay_out(self) -> None:
         """The ids of every rule, one after the other."""
-        rules, first_rule = self.rules, self.first
         self.flat = np.empty(int(self.size.sum()), np.uint32)
-        # rules only use earlier ones, so a rule can be laid out once both its symbols are
-        depth = np.zeros(len(rules), np.int64)
-        inner = rules - first_rule
-        left = np.flatnonzero((inner >= 0).any(axis=1))
-        pending = left
-        while len(pending):
-            below = np.where(inner[pending] >= 0, depth[np.maximum(inner[pending], 0)] + 1, 0).max(axis=1)
-            moved = below > depth[pending]
-            depth[pending[moved]] = below[moved]
-            if not moved.any():
-                break
-        for level in range(int(depth.max()) + 1 if len(depth) else 0):
-            own = np.flatnonzero(depth == level)
-            half = self.lengths(rules[own, 0])
-            for side, shift in ((0, np.zeros_like(half)), (1, half)):
-                values = self.expand(rules[own, side])
-                size = self.lengths(rules[own, side])
-                ends = np.cumsum(size)
-                place = np.repeat(self.start[own] + shift - (ends - size), size) + np.arange(int(ends[-1]))
-                self.flat[place] = values
+        # rules only use earlier ones: up to the first that uses one not laid out, they are laid out at once
+        latest = (self.rules - self.first).max(axis=1, initial=-1)
+        ends = self.start + self.size
+        done = 0
+        while done < len(ends):
+            late = latest[done:] >= done
+            upto = done + int(late.argmax()) if late.any() else len(ends)
+            self.flat[self.start[done] : ends[upto - 1]] = self.expand(self.rules[done:upto].ravel())
+            done = upto
 
     def lengths(self, symbols: np.ndarray) -> np.ndarray:
         """Ids each symbol stands for."""
@@ -252,15 +255,14 @@ def _shard_rows(path: str, end_id: int, shard_tokens: int, min_count: int):
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for batch in batches(source):
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
-                for key, ids in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1).to_pylist())):
-                    keys.append(key)
-                    held.append(ids + end)
-                    size += len(ids) // 4 + 1
-                    if size >= shard_tokens:
-                        yield packed()
-                        keys, held, size, shard = [], [], 0, shard + 1
+            texts = (x.as_py() for x in batch.column(1))
+            for key, ids in zip(batch.column(0).to_pylist(), encoder.stream(texts)):
+                keys.append(key)
+                held.append(ids + end)
+                size += len(ids) // 4 + 1
+                if size >= shard_tokens:
+                    yield packed()
+                    keys, held, size, shard = [], [], 0, shard + 1
         if held:
             yield packed()
 

@@ -128,3 +128,50 @@ def test_whole_shards_are_read_without_taking_symbols_apart(monkeypatch):
     found = next(grammar_tokens._document_rows(iter([pa.RecordBatch.from_pylist([row])]))).to_pylist()
     assert [(r["doc_id"], r["offset"], r["n_tokens"]) for r in found] == [(7, 0, 1500), (None, 1500, 0), (9, 1500, 2500)]
     assert [r["ids_crc32"] for r in found] == [zlib.crc32(ids[a:b].tobytes()) for a, b in ((0, 1500), (0, 0), (1500, 4000))]
+
+
+class Counting:
+    """A tokenizer that counts the characters it encodes."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.seen = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode_batch_fast(self, texts, **options):
+        self.seen += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_known_words_do_not_go_through_the_library_again():
+    from tokenizers import Tokenizer
+
+    encoder = Encoder(tokenizer_path())
+    encoder.encode(["The cat, sat on 12 mats.\nThe end!! of\nit"])
+    counts = []
+    for name, value in list(vars(encoder).items()):
+        if isinstance(value, Tokenizer):
+            counts.append(Counting(value))
+            setattr(encoder, name, counts[-1])
+    text = "The end, of mats. cat\nThe cat!! on 12.\nit sat"
+    whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode([text])[0], np.uint32).tolist() == whole
+    assert sum(x.seen for x in counts) == 0
+
+
+@pytest.mark.parametrize("literal", [False, True])
+def test_pieces_of_all_kinds_encode_like_whole_texts(monkeypatch, literal):
+    from agora.llm import encoding
+
+    monkeypatch.setattr(encoding, "_ROOM", 300)
+    encoder = Encoder(tokenizer_path(), literal_specials=literal, cached=500)
+    rng = random.Random(9)
+    parts = [
+        "it's", "we'LL", "'tis", "''", "d'é", "naïve", "“quoted”", "’s", "x’s", "Привет", "中文字", "か゛", "e\u0301", "²", "½x", "Ⅷ", "a1b22",
+        "3.14", "--", "…", "😀", "\x00", "\x7f", "_x_", "<|endoftext|>", "Ġ", "Ċ", "\u00ad", "\u200b", "the", "cat.", " ", " ", " ", " ", " ", " ", "\n", "\n",
+    ]
+    rare = ["\u00a0", "\t", "\u2003", "\u3000", "\x85", "\x1c", "\r\n", "  "]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12)) + rng.choices(rare, k=rng.random() < 0.1)) for _ in range(3000)]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, np.uint32).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text

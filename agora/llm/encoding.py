@@ -155,7 +155,8 @@ class Encoder:
         for k in range(0, len(odd), _BATCH):
             for i, ids in zip(odd[k : k + _BATCH], self._whole([texts[i] for i in odd[k : k + _BATCH]])):
                 out[i] = ids
-        if len(points):
+        del points
+        if len(kinds):
             ids, cuts = self._cut(text, kinds, first, ends)
             for i, a, b in zip(even, [0, *cuts[:-1]], cuts):
                 out[i] = ids[a:b]
@@ -198,8 +199,9 @@ class Encoder:
         which = pieces.indices.to_numpy()
         sizes = size[which]
         upto = np.cumsum(sizes)
-        place = np.repeat(begin[which] - (upto - sizes), sizes)
-        place += np.arange(len(place))
+        kind = np.int32 if int(upto[-1]) < 1 << 31 else np.int64
+        place = np.repeat((begin[which] - (upto - sizes)).astype(kind), sizes)
+        place += np.arange(len(place), dtype=kind)
         cuts = np.concatenate(([0], upto))[np.searchsorted(at, ends)]
         return flat[place].tobytes(), (cuts * 4).tolist()
 

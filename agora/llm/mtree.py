@@ -15,9 +15,9 @@ Bounds are compared with a margin of half a unit of score, more than rounding ca
 make of them, and scores are integer products, so results are exact and ties go to
 the smaller id.
 
-Queries are a stated set.  They are packed into blocks of ``block_queries``; each
-block meets each tree once, in a task of its own, and the best k of all trees are
-merged per query.  A row is never its own partner; two rows that share an id are one
+Queries are a stated set.  They are packed into blocks of ``block_queries``; a task
+holds a few trees and meets one block after the other, so each block meets each tree once,
+and the best k of all trees are merged per query.  A row is never its own partner; two rows that share an id are one
 another's partner unless they are the same id.
 
 Vectors that are null or hold a null or a value that is not finite take no part,
@@ -38,10 +38,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from agora.llm.common import batches
+from agora.llm.common import batches, shuffle_parts
 from agora.llm.multi_index import Index, usable_rows
 from agora.sources.staging import stage
 
@@ -49,6 +49,9 @@ TREE_ROWS = 8192
 PAGE_ROWS = 512
 FANOUT = 16
 BLOCK_QUERIES = 256
+#: Trees that a task holds at once, and copies of a tree where there are few of them.
+TASK_TREES = 16
+MOST_SHARES = 3
 
 
 def _matrix(vectors: list[bytes], width: int) -> np.ndarray:
@@ -225,23 +228,34 @@ def _block(width: int):
     return make
 
 
+def _tree(row: dict) -> dict[str, np.ndarray]:
+    """A stored tree as arrays, its vectors as doubles."""
+    tree = {x: np.frombuffer(row[x], t) for x, t in zip(_TREE, _KINDS)}
+    for x in ("vectors", "routing"):
+        tree[x] = tree[x].reshape(-1, row["width"]).astype(np.float64)
+    return tree
+
+
 def _meet(k: int):
+    """Each task reads its trees, then one block of queries after the other; the k best of all its trees."""
+
     def rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees: list[dict[str, np.ndarray]] = []
         for batch in batches(source):
             for i in range(batch.num_rows):
                 row = {x: batch.column(x)[i].as_py() for x in batch.schema.names}
-                tree = {x: np.frombuffer(row[x], t) for x, t in zip(_TREE, _KINDS)}
-                for x in ("vectors", "routing"):
-                    tree[x] = tree[x].reshape(-1, row["width"]).astype(np.float64)
+                if row["keys"] is None:
+                    trees.append(_tree(row))
+                    continue
                 keys = np.frombuffer(row["keys"], "<i8")
-                queries = np.frombuffer(row["queries"], "<i4").reshape(len(keys), row["width"])
-                out: list[tuple[int, int, int, int]] = []
+                queries = np.frombuffer(row["queries"], "<i4").reshape(len(keys), -1)
+                out: list[tuple[int, int, int]] = []
                 for key, query in zip(keys.tolist(), queries):
-                    found, computed = search(tree, key, query, k)
-                    out += [(key, own, score, computed if not n else 0) for n, (score, own) in enumerate(found)]
-                columns = list(zip(*out)) if out else [[], [], [], []]
+                    found = [x for tree in trees for x in search(tree, key, query, k)[0]]
+                    out += [(key, own, score) for score, own in heapq.nsmallest(k, found, key=lambda x: (-x[0], x[1]))]
+                columns = list(zip(*out)) if out else [[], [], []]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.int64()) for x in columns], names=["query_id", "vec_id", "score", "computed"]
+                    [pa.array(x, pa.int64()) for x in columns], names=["query_id", "vec_id", "score"]
                 )
 
     return rows
@@ -304,6 +318,7 @@ def _found_in_trees(
     tree_rows: int, page_rows: int, block_queries: int,
 ) -> DataFrame:
     """The k best of each tree for each query."""
+    spark = data.sparkSession
     trees = max(1, math.ceil(size / tree_rows))
     blocks = max(1, math.ceil(n_queries / block_queries))
     # rows of one id may be many; the vector's bytes and a row number deal them out as well
@@ -314,9 +329,22 @@ def _found_in_trees(
         .groupBy("block")
         .applyInArrow(_block(width), "block long, keys binary, queries binary")
     )
-    meetings = packed.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "tree", F.col("tree").cast("long")
-    )
-    pairs = meetings.join(forest, "tree").repartition(min(trees * blocks, 4096), "tree", "block")
-    found = pairs.drop("tree", "block").mapInArrow(_meet(k), "query_id long, vec_id long, score long, computed long")
-    return found.select("query_id", "vec_id", "score")
+    return _meetings(spark, forest, packed, trees, blocks).mapInArrow(_meet(k), "query_id long, vec_id long, score long")
+
+
+def _meetings(spark: SparkSession, forest: DataFrame, packed: DataFrame, trees: int, blocks: int) -> DataFrame:
+    """Trees and the blocks that meet them in one partition, the trees first.
+
+    A partition has up to ``TASK_TREES`` trees and meets all blocks, or where there are few trees a
+    share of them.  Nothing is joined: blocks are as many rows as there are partitions of trees,
+    which the planner could not know, and would take a copy of all of them to the driver.
+    """
+    parts = shuffle_parts(spark)
+    groves = math.ceil(trees / min(TASK_TREES, math.ceil(trees / parts)))
+    shares = min(blocks, MOST_SHARES, math.ceil(parts / groves))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    grown = forest.select("*", F.lit(-1).cast("long").alias("block"), numbers(shares).alias("share"))
+    asked = packed.select("*", numbers(groves).alias("tree")).withColumn("share", F.pmod("block", F.lit(shares)))
+    task = (F.pmod("tree", F.lit(groves)) * shares + F.col("share")).cast("int")
+    dealt = grown.unionByName(asked, allowMissingColumns=True).repartitionById(groves * shares, task)
+    return dealt.sortWithinPartitions("block", "tree").select("keys", "queries", "width", *_TREE)

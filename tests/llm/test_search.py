@@ -195,6 +195,23 @@ def test_top_k_over_trees_and_odd_vectors(spark):
     assert mtree.top_k(df.where("false"), df, 5).count() == 0
 
 
+@pytest.mark.parametrize("tree_rows,block_queries", [(10, 3), (150, 1), (1000, 100)])
+def test_blocks_meet_trees_without_a_join(spark, tree_rows, block_queries):
+    rng = np.random.default_rng(3)
+    rows = [(i // 2, [float(x) for x in rng.integers(-2, 3, 4)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = mtree.top_k(df, df.where("vec_id % 5 = 0"), 4, tree_rows=tree_rows, block_queries=block_queries)
+    # a join would take a copy of the queries for each tree to the driver: the planner sees one copy
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    vectors = [(i, [int(256 * x) for x in v]) for i, v in rows]
+    wanted = []
+    for q in range(0, 150, 5):
+        own = min((np.array(v, "<i4").tobytes(), v) for i, v in vectors if i == q)[1]
+        best = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in vectors if i != q)[:4]
+        wanted += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(wanted)
+
+
 def test_top_k_with_components_beyond_the_trees(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=4).tolist()) for i in range(120)]

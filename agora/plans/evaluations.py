@@ -14,11 +14,10 @@ from agora.functions.stories import day, request_problem, score_request, seriali
 from agora.functions.text import parse_flag, parse_reasoning, unescape_html
 from agora.operators.joins import join_metrics, with_story_info
 from agora.operators.metrics import metrics_by_split, presence_rates
-from agora.operators.prompting import comment_prompt
+from agora.operators.prompting import prompt_steps
 from agora.operators.ranking import bottom_n, top_n
 from agora.operators.sampling import sample_n
 from agora.operators.scoring import Scorer, batch_score, length_scorer, score_columns
-from agora.sources.staging import stage
 
 
 def with_predicted_score(df: DataFrame) -> DataFrame:
@@ -60,20 +59,22 @@ def rate_comments(
     items: DataFrame,
     scorer: Scorer = length_scorer,
     sample_size: int | None = fixed.COMMENT_SAMPLE_SIZE,
+    reader=None,
 ) -> DataFrame:
     """Score comments through their prompt and prepare them for reading.
 
-    ``sample_size`` of None rates every comment.
+    ``sample_size`` of None rates every comment.  Prompts are made and scored in steps.  Where the texts of
+    comments and items are stored apart, ``reader`` adds them.
     """
     chosen = comments if sample_size is None else sample_n(comments, sample_size)
-    prompts = comment_prompt(chosen.select("id"), items, ("v1",))
-    rewards = stage(batch_score(prompts, "id", "prompt_v1", scorer), "rewards").select(
+    prompts = prompt_steps(chosen.select("id"), items, ("v1",), reader)
+    rewards = prompts.each(lambda made: batch_score(made, "id", "prompt_v1", scorer), "rewards").select(
         "id", F.col("score").alias("reward"), F.col("error").alias("reward_error")
     )
     # Titles meet rewards on ids; comment texts are moved once, at the end.
     facts = with_story_info(chosen.select("id", "top_level_parent"), items).join(rewards, "id")
     rated = chosen.join(facts.select("id", "story_title", "reward", "reward_error"), "id")
-    return rated.select(
+    return (rated if reader is None else reader(rated)).select(
         "id",
         day(F.col("time"), fixed.LONG_DATE_FORMAT).alias("date"),
         "by",

@@ -97,3 +97,14 @@ def test_large_threads_are_dealt_out(spark):
     shares = dealt.groupBy("top_level_parent").agg(F.count_distinct("share").alias("n"))
     assert shares.where("top_level_parent = 0").first()["n"] == prompting.STEPS
     assert shares.where("top_level_parent > 0 and n > 1").count() == 0 and dealt.count() == 4000
+
+
+def test_comments_are_rated_in_steps(spark, sf_dir, small_steps, made):
+    found = QUERIES["rated_comments"](spark, sf_dir)
+    assert made["rewards"] > 2
+    items = views.items(spark, sf_dir)
+    asked = items.where("type = 'comment'").select("id", "by", "time", "text", "top_level_parent")
+    whole = evaluations.rate_comments(asked, items, sample_size=None)
+    reports = evaluations.rating_reports(job_queries._rated(whole))
+    wanted = job_queries.tables_tagged(reports).select(*found.columns)
+    assert _sorted(found) == _sorted(wanted) and found.count() == 200

@@ -108,3 +108,19 @@ def test_comments_are_rated_in_steps(spark, sf_dir, small_steps, made):
     reports = evaluations.rating_reports(job_queries._rated(whole))
     wanted = job_queries.tables_tagged(reports).select(*found.columns)
     assert _sorted(found) == _sorted(wanted) and found.count() == 200
+
+
+def test_ancestors_texts_are_read_in_parts(spark, sf_dir, monkeypatch):
+    parts, plain = [], forest.stage_steps
+
+    def noted(tables, label):
+        parts.append((label, len(tables)))
+        return plain(tables, label)
+
+    monkeypatch.setattr(forest, "stage_steps", noted)
+    found = QUERIES["ancestor_chain"](spark, sf_dir)
+    assert parts == [("people", views.TextReader.STEPS)]
+    asked = views.comments(spark, sf_dir).select("id", "top_level_parent")
+    whole = forest.ancestor_chain(asked, views.items(spark, sf_dir), F.md5("text"))
+    wanted = whole.select("id", F.posexplode("chain").alias("depth", "a")).select("id", "depth", "a.author", F.col("a.text").alias("md5"))
+    assert _sorted(found) == _sorted(wanted) and found.count() > 100

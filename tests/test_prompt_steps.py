@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from agora.catalog import QUERIES, job_queries, views
-from agora.operators import forest, models, prompting
+from agora.operators import forest, prompting
 from agora.operators.prompting import comment_prompt, dealt_by_thread, prompt_steps
 from agora.plans import evaluations, pair_dataset
 from agora.sources import staging
@@ -61,12 +61,10 @@ def _sorted(df):
 
 def _pairs(spark, sf_dir):
     """All pairs with their prompts, from items that hold their texts."""
-    items = views.items(spark, sf_dir)
-    found = staging.stage(pair_dataset.split_pairs(pair_dataset.pair_candidates(items)), "pairs")
-    named = pair_dataset.with_prompts(found, items, ("v1",))
-    return named.withColumnsRenamed({f"{s}_prompt_v1": f"{s}_prompt" for s in ("chosen", "rejected")})
+    return job_queries.prompted_pairs(spark, sf_dir)
 
 
+@pytest.mark.parametrize("version", ["v1", "v2"])
 def test_prompts_are_made_in_steps(spark, sf_dir, small_steps, made, version):
     found = QUERIES[f"comment_prompt_{version}"](spark, sf_dir)
     assert made["prompt-digests"] > 2
@@ -110,6 +108,27 @@ def test_comments_are_rated_in_steps(spark, sf_dir, small_steps, made):
     assert _sorted(found) == _sorted(wanted) and found.count() == 200
 
 
+def test_scored_pairs_come_in_steps(spark, sf_dir, smaller_steps, made):
+    pairs = _pairs(spark, sf_dir)
+    lengths = {s: F.round(F.log1p(F.length(f"{s}_prompt")), 6).alias(f"{s}_reward") for s in ("chosen", "rejected")}
+    correct = (F.length("chosen_prompt") > F.length("rejected_prompt")).alias("correct")
+    wanted = pairs.select("chosen", "rejected", *lengths.values(), correct)
+    found = QUERIES["score_pairs"](spark, sf_dir)
+    assert made["judged"] > 1 and _sorted(found) == _sorted(wanted) and found.count() > 4
+    shares = QUERIES["pair_accuracy"](spark, sf_dir)
+    assert shares.agg(F.sum("count")).first()[0] == found.count()
+
+
+def test_pair_rows_come_in_steps(spark, sf_dir, smaller_steps, made):
+    found = QUERIES["pair_rows"](spark, sf_dir)
+    assert made["pair-rows"] > 1
+    steps = [c for c in found.columns if c.startswith("chosen_") or c.startswith("rejected_")]
+    several = {}
+    for row in found.collect():
+        several.setdefault(row["chosen"], set()).add(row["chosen_ids"])
+    assert len(steps) == 4 and all(len(x) == 1 for x in several.values())
+
+
 def test_ancestors_texts_are_read_in_parts(spark, sf_dir, monkeypatch):
     parts, plain = [], forest.stage_steps
 

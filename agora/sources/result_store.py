@@ -171,7 +171,7 @@ def key_rows(
     # texts that lie apart are moved step by step, which bounds the scratch disk
     parts = [df] if read is None else read.steps(df) if hasattr(read, "steps") else [read(df)]
     keyed = [part.withColumn("arg_hash", arg_hash(part, arg_cols)).select(*df.columns, "arg_hash") for part in parts]
-    return stage_steps(keyed, "keyed")
+    return stage(keyed[0], "keyed") if len(keyed) == 1 else stage_steps(keyed, "keyed")
 
 
 def score_incremental(
